@@ -30,7 +30,7 @@ _BLOCKS = "key long, fp long, id long"
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         titles = batch.column("title_key").to_pylist()
-        names = [n.split() for n in batch.column("names").to_pylist()]
+        names = [[x.partition("|")[0] for x in n.split()] for n in batch.column("names").to_pylist()]
         ids = np.asarray(batch.column("rep"))
         words = [t.split() for t in titles]
         parts = [[" ".join(w[i] for i in range(len(w)) if 3 * i // len(w) == k) for w in words] for k in range(3)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import dedupe, survivorship
+from . import dedupe, matching, survivorship
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,6 +15,16 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.match(_read(spark, sf_dir, "paper_new"), _read(spark, sf_dir, "load_to_zilliz")).select("row_id", "id")
+
+
+def p1_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches with their calibrated probabilities."""
+    found = matching.match(_read(spark, sf_dir, "paper_new"), _read(spark, sf_dir, "load_to_zilliz"))
+    return found.withColumnRenamed("confidence", "probability")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.find_repeats(_read(spark, sf_dir, "paper_new"))
 
@@ -24,7 +34,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -38,9 +38,8 @@ def bibliographic_key(key: str | None) -> str:
     return re.sub(r"^journal/", "journals/", out)
 
 
-NORMAL = T.StructType(
+_FIELDS = T.StructType(
     [
-        T.StructField("id", T.LongType()),
         T.StructField("cid", T.LongType()),
         T.StructField("title_key", T.StringType()),
         T.StructField("names", T.StringType()),
@@ -51,6 +50,10 @@ NORMAL = T.StructType(
 )
 
 
+def _schema(id_type: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("id", id_type), *_FIELDS.fields])
+
+
 def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         col = {n: batch.column(n).to_pylist() for n in batch.schema.names}
@@ -63,22 +66,22 @@ def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             got = [of(x) for x in col[name]] if name in col else [""] * len(titles)
             keys.append(pa.array([None if not x else h for x, h in zip(got, fp.hash_strings(got).view(np.int64).tolist())], pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(col["id"], pa.int64()), pa.array(cid.view(np.int64)), pa.array(titles), pa.array(names), pa.array(years, pa.int16()), *keys],
-            names=[f.name for f in NORMAL],
+            [batch.column("id"), pa.array(cid.view(np.int64)), pa.array(titles), pa.array(names), pa.array(years, pa.int16()), *keys],
+            names=["id", *(f.name for f in _FIELDS)],
         )
 
 
 def normal_records(df: DataFrame, id_column: str, title: str = "title", authors: str = "authors", year: str = "year", doi: str | None = None, dblp_key: str | None = None) -> DataFrame:
-    """One row (``NORMAL``) per row of ``df``: its id and the normal forms of its fields.
+    """One row (id, cid, title_key, names, year, doi_key, dblp_key) per row of ``df``: its id and the normal forms of its fields.
 
     ``cid`` is a 64-bit hash of title, family names and year together. Null or empty fields give empty normal forms, an
     unbelievable year gives 0. Other columns of ``df`` are not read."""
-    cols = [F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{title}`").cast("string").alias("title"), F.col(f"`{authors}`").alias("authors"), F.expr(f"try_cast(`{year}` as bigint)").alias("year")]
+    cols = [F.col(f"`{id_column}`").alias("id"), F.col(f"`{title}`").cast("string").alias("title"), F.col(f"`{authors}`").alias("authors"), F.expr(f"try_cast(`{year}` as bigint)").alias("year")]
     if doi:
         cols.append(F.col(f"`{doi}`").alias("doi"))
     if dblp_key:
         cols.append(F.col(f"`{dblp_key}`").alias("dblp_key"))
-    return df.select(*cols).mapInArrow(_normal, NORMAL)
+    return df.select(*cols).mapInArrow(_normal, _schema(df.schema[id_column].dataType))
 
 
 def contents(normal: DataFrame) -> DataFrame:
@@ -97,19 +100,20 @@ def with_both(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
 def same_paper(ta: str, na: str, ya: int, tb: str, nb: str, yb: int) -> bool:
     """Whether two normal records describe one paper: the same content words up to typing errors, at least half of the
     shorter author list shared, years (if known) at most two apart. A short title also needs half of all authors and years at
-    most one apart; without authors on a side, a long title and years at most one apart are needed."""
+    most one apart, a title that is cut off years at most one apart; without authors on a side, a whole, long title and years
+    at most one apart are needed."""
     apart = abs(ya - yb) if ya and yb else 0
     if apart > 2:
         return False
     wa, wb = ta.split(), tb.split()
-    more_a, more_b, typos = text.title_difference(wa, wb)
-    if more_a or more_b or typos > max(1, min(len(wa), len(wb)) // 2):
+    more_a, more_b, typos, cut = text.title_difference(wa, wb)
+    few = min(len(wa), len(wb))
+    if more_a or more_b or (cut and apart > 1) or typos > max(2, 1.2 * few):
         return False
     la, lb = na.split(), nb.split()
-    short = min(len(wa), len(wb)) < SHORT_TITLE
     if not la or not lb:
-        return not short and apart <= 1
+        return few >= SHORT_TITLE and apart <= 1 and not cut
     shared = text.names_shared(la, lb)
-    if short:
+    if few < SHORT_TITLE:
         return apart <= 1 and 2 * shared >= max(len(la), len(lb))
     return shared > 0 and 2 * shared >= min(len(la), len(lb))

@@ -13,7 +13,7 @@ STOP_WORDS = frozenset(
 # Letters that NFKD leaves whole.
 _FOLD = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ß": "ss", "ı": "i"})
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,60}>")
-_LABEL = re.compile(r"^\s*(?:[\[(]\s*(?:full\s+)?(?:paper|article|research)\s*[\])]|(?:full\s+paper|paper|article|title)\s*:)\s*")
+_LABEL = re.compile(r"^[\s\"'“„]*(?:\s*(?:[\[(]\s*(?:full\s+)?(?:paper|article|research)\s*[\])]|(?:full\s+paper|paper|article|title)\s*:))+\s*")
 _WORD = re.compile(r"[^\W_]+(?:\+)?")
 _ROMAN = re.compile(r"^[ivx]+$")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -45,25 +45,45 @@ def title_tokens(title: str | None) -> list[str]:
     return [w for w in words if w not in STOP_WORDS] or words
 
 
-def surname(name: str | None) -> str:
-    """Folded family name of a personal name in any of the usual layouts; an empty string if there is none."""
+def _raw_name(name: str) -> str:
+    """A name with mojibake, letters read as digits, remarks in brackets and footnote marks mended."""
+    if "Ã" in name or "Å" in name:
+        try:
+            name = name.encode("cp1252").decode("utf-8")
+        except UnicodeError:
+            pass
+    name = re.sub(r"\([^()]*\)|\[[^\[\]]*\]", " ", name)
+    name = re.sub(r"(?<=[^\W\d_])[01](?=[^\W\d_])", lambda m: "lo"[m.group() == "0"], name)
+    return re.sub(r"[\d\s*†‡§,;]+$", "", name).strip()
+
+
+def surname(name: str | None) -> tuple[str, str]:
+    """(family name, other long word) of a personal name, folded; empty strings if there is none.
+
+    Without a comma the last word counts as the family name, unless initials follow it ("Surname FM"). The other word (mostly
+    the given name) lets "Surname Given" be recognised when it is compared with "Given Surname"."""
     if not name:
-        return ""
-    text = fold(name).replace(".", ". ")
-    text = re.sub(r"[\d*†‡]+$", "", text.strip()).strip()
-    if "," in text:
-        text = text.split(",")[0]
-    words = [w for w in re.sub(r"[^\w\s'-]", " ", text).split() if len(w) > 1 and w not in PARTICLES and w not in HONORIFICS]
-    words = [w.strip("'-") for w in words]
+        return "", ""
+    raw = _raw_name(name)
+    head, _, tail = raw.partition(",")
+    clean = lambda t: [w.strip("'-") for w in re.sub(r"[^\w\s'-]", " ", fold(t).replace(".", " ")).split()]
+    long = lambda ws: [w for w in ws if len(w) > 1 and w not in PARTICLES and w not in HONORIFICS]
+    if tail:
+        words, given = long(clean(head)), long(clean(tail))
+        if words:
+            return words[-1], given[0] if given and len(given[0]) > 2 else ""
+        words = given
+    else:
+        parts = raw.split()
+        if len(parts) > 1 and len(last := re.sub(r"[.-]", "", parts[-1])) <= 3 and last.isupper() and not raw.isupper():
+            parts = parts[:-1]
+        elif len(parts) > 1 and len(last) == 1:
+            parts = parts[:-1]
+        words = long(clean(" ".join(parts)))
     if not words:
-        return ""
-    if "," in (name or "") or len(words) == 1:
-        return words[-1]
-    # "Surname FM": the last word of the raw name is all capitals and short
-    raw = re.sub(r"[\d*†‡\s]+$", "", name).split()
-    if len(raw) > 1 and len(raw[-1].replace(".", "").replace("-", "")) <= 3 and raw[-1].replace("-", "").isupper() and len(words) > 1:
-        return words[-2] if words[-1] == fold(raw[-1]).replace(".", "") else words[-1]
-    return words[-1]
+        return "", ""
+    other = words[0] if len(words) > 1 and len(words[0]) > 2 else ""
+    return words[-1], other
 
 
 # Author entries that name nobody.
@@ -71,15 +91,15 @@ NOBODY = frozenset(["", "et al", "et al.", "and others", "others", "anonymous",
 
 
 def surnames(authors) -> list[str]:
-    """Distinct family-name keys of an author list, sorted."""
+    """Distinct names of an author list as "family|other" (``surname``), sorted."""
     if authors is None:
         return []
     out = set()
     for name in authors:
         if name and fold(name).strip(" .;,") not in NOBODY:
-            key = surname(name)
+            key, other = surname(name)
             if len(key) > 1:
-                out.add(key)
+                out.add(f"{key}|{other}")
     return sorted(out)
 
 
@@ -137,12 +157,43 @@ def _slight(word: str) -> bool:
     return any(len(s) > 1 and osa(word, s, 1) <= 1 for s in STOP_WORDS)
 
 
-def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int]:
-    """(words of a without partner in b, words of b without partner in a, partners that differ by a typing error).
+# Words by which a title announces a later paper of its own.
+FOLLOW_UPS = frozenset("part ii iii iv v revisited beyond lessons second look ten years later extended extension update again mobile readers follow followup".split())
 
-    Words split or joined by a space or hyphen count as partners; so do mistyped stop words without any partner."""
+
+def _near(a: str, b: str) -> bool:
+    """Words that agree even with several errors in one word."""
+    if words_agree(a, b):
+        return True
+    limit = int(0.4 * max(len(a), len(b)))
+    return limit > 0 and a.isalpha() and b.isalpha() and not _ROMAN.match(a) and not _ROMAN.match(b) and osa(a, b, limit) <= limit
+
+
+def _follows(words: list[str]) -> bool:
+    return any(w in FOLLOW_UPS or (len(w) > 5 and any(len(f) > 5 and words_agree(w, f) for f in FOLLOW_UPS)) for w in words)
+
+
+def _is_cut(short: list[str], long: list[str]) -> bool:
+    """Whether ``short`` is ``long`` cut off at its end, within or between words, or without a name of one or two words at its
+    beginning. Words that announce a follow-up are never what is cut off."""
+    n = len(short)
+    if n < 3 or n > len(long) or len("".join(short)) * 5 < len("".join(long)) * 2:
+        return False
+    tail, at = short[-1], long[n - 1]
+    if (at.startswith(tail) or _near(at[: len(tail)], tail) or _near(at, tail)) and not _follows(long[n:]) and (at == tail or not _follows([at])):
+        if all(_near(x, y) for x, y in zip(short[:-1], long)):
+            return True
+    k = len(long) - n
+    return 1 <= k <= 2 and not _follows(long[:k]) and all(_near(x, y) for x, y in zip(short, long[k:]))
+
+
+def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int, bool]:
+    """(words of a without partner in b, words of b without partner in a, partners that differ by typing errors, cut off).
+
+    Words split or joined by a space or hyphen count as partners; so do mistyped stop words without any partner. If one title
+    is the other one cut off (``_is_cut``), the missing words do not count."""
     if a == b:
-        return 0, 0, 0
+        return 0, 0, 0, False
     rest_b = list(b)
     rest_a = []
     for w in a:
@@ -159,10 +210,11 @@ def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int]:
         else:
             rest_b.remove(hit)
             typos += 1
-    if left_a and rest_b and (len(left_a) > 1 or len(rest_b) > 1):
-        joined_a, joined_b = "".join(left_a), "".join(rest_b)
-        if words_agree(joined_a, joined_b):
-            return 0, 0, typos + 1
+    if not left_a and not rest_b:
+        return 0, 0, typos, False
+    if _is_cut(a, b) or _is_cut(b, a):
+        return 0, 0, typos, True
+    if left_a and rest_b and len(left_a) + len(rest_b) > 2:
         for one, many in ((left_a, rest_b), (rest_b, left_a)):
             for w in list(one):
                 for i in range(len(many) - 1):
@@ -171,26 +223,34 @@ def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int]:
                         del many[i : i + 2]
                         typos += 1
                         break
-    left_a = [w for w in left_a if not _slight(w)]
-    left_b = [w for w in rest_b if not _slight(w)]
-    return len(left_a), len(left_b), typos
+    # several errors in one word
+    for w in list(left_a):
+        hit = next((x for x in rest_b if _near(w, x)), None)
+        if hit is not None:
+            left_a.remove(w)
+            rest_b.remove(hit)
+            typos += 2
+    left_a, left_b = [w for w in left_a if not _slight(w)], [w for w in rest_b if not _slight(w)]
+    return len(left_a), len(left_b), typos, False
 
 
 def names_shared(a: list[str], b: list[str]) -> int:
-    """Family names of a that have a partner in b, up to a typing error."""
+    """Names of a ("family|other") that have a partner in b: family names equal up to a typing error, or swapped words."""
     if a == b:
         return len(a)
-    rest = list(b)
+    rest = [x.partition("|") for x in b]
     n = 0
     later = []
-    for w in a:
-        if w in rest:
-            rest.remove(w)
-            n += 1
+    for name in a:
+        w, _, o = name.partition("|")
+        hit = next((x for x in rest if x[0] == w), None)
+        if hit is None:
+            later.append((w, o))
         else:
-            later.append(w)
-    for w in later:
-        hit = next((x for x in rest if _names_agree(w, x)), None)
+            rest.remove(hit)
+            n += 1
+    for w, o in later:
+        hit = next((x for x in rest if _names_agree(w, x[0]) or (x[2] and words_agree(w, x[2]) and (not o or words_agree(o, x[0]))) or (o and words_agree(o, x[0]) and (not x[2] or words_agree(w, x[2])))), None)
         if hit is not None:
             rest.remove(hit)
             n += 1

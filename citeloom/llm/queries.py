@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import dedupe, matching, survivorship
+from . import canonical, dedupe, matching, names, packing, survivorship, tokens, vectors
+from .graph import stage
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,8 +34,41 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivorship.survivors(_read(spark, sf_dir, "paper_new"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.close_pairs(_read(spark, sf_dir, "paper_prod")).select("uid_a", "uid_b")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = lambda t: _read(spark, sf_dir, t)
+    return canonical.map_column(read("coverage_input"), "input_id", "dblp_source", read("source_mapping"), read("source_list"))
+
+
+def p6_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of typed venues that are in no list."""
+    read = lambda t: _read(spark, sf_dir, t)
+    return canonical.misses(read("coverage_input"), "dblp_source", read("source_mapping"), read("source_list"))
+
+
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(_read(spark, sf_dir, "documents"))
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    counts = tokens.token_counts(documents).join(documents.select("doc_id", "source"), "doc_id")
+    return packing.pack(stage(counts, "counts"), _read(spark, sf_dir, "embed_window"))
+
+
+def p8_room_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.room_left(p8_containers(spark, sf_dir))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.variant_pairs(_read(spark, sf_dir, "load_to_zilliz"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,6 +16,8 @@ from . import text
 
 #: Limits of a believable year; others count as unknown.
 YEARS = (1900, 2100)
+#: Records whose known years lie further apart are never one paper.
+YEARS_APART = 2
 SHORT_TITLE = 4  # content words; shorter titles ("Foreword") say little
 _DOI = re.compile(r"10\.\d{4,9}/[^\s?#]+")
 _REC = re.compile(r"^(?:https?://[^/]+/(?:rec/)?|dblp:)")
@@ -92,9 +94,10 @@ def contents(normal: DataFrame) -> DataFrame:
 
 
 def with_both(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (a, b) with title_key, names and year of both, as ta, na, ya and tb, nb, yb."""
+    """Pairs (a, b) with title_key, names and year of both, as ta, na, ya and tb, nb, yb, if their years agree."""
     of = lambda df, end, key: df.select(F.col("rep").alias(key), F.col("title_key").alias("t" + end), F.col("names").alias("n" + end), F.col("year").alias("y" + end))
-    return pairs.join(of(left, "a", "a"), "a").join(of(right, "b", "b"), "b")
+    both = pairs.join(of(left, "a", "a"), "a").join(of(right, "b", "b"), "b")
+    return both.where(f"ya = 0 or yb = 0 or abs(ya - yb) <= {YEARS_APART}")
 
 
 def same_paper(ta: str, na: str, ya: int, tb: str, nb: str, yb: int) -> bool:
@@ -103,7 +106,7 @@ def same_paper(ta: str, na: str, ya: int, tb: str, nb: str, yb: int) -> bool:
     most one apart, a title that is cut off years at most one apart; without authors on a side, a whole, long title and years
     at most one apart are needed."""
     apart = abs(ya - yb) if ya and yb else 0
-    if apart > 2:
+    if apart > YEARS_APART:
         return False
     wa, wb = ta.split(), tb.split()
     more_a, more_b, typos, cut = text.title_difference(wa, wb)

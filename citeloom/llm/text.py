@@ -110,6 +110,9 @@ def osa(a: str, b: str, limit: int) -> int:
     la, lb = len(a), len(b)
     if abs(la - lb) > limit:
         return limit + 1
+    # an edit changes at most one letter of each word's set of letters
+    if len(set(a) - set(b)) > limit or len(set(b) - set(a)) > limit:
+        return limit + 1
     start = 0
     while start < la and start < lb and a[start] == b[start]:
         start += 1
@@ -152,7 +155,7 @@ def words_agree(a: str, b: str) -> bool:
 
 def _slight(word: str) -> bool:
     """A mistyped stop word."""
-    if not word.isalpha() or len(word) > 5 or _ROMAN.match(word):
+    if len(word) > 5 or not word.isalpha() or _ROMAN.match(word):
         return False
     return any(len(s) > 1 and osa(word, s, 1) <= 1 for s in STOP_WORDS)
 
@@ -191,7 +194,8 @@ def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int, bool]:
     """(words of a without partner in b, words of b without partner in a, partners that differ by typing errors, cut off).
 
     Words split or joined by a space or hyphen count as partners; so do mistyped stop words without any partner. If one title
-    is the other one cut off (``_is_cut``), the missing words do not count."""
+    is the other one cut off (``_is_cut``), the missing words do not count. Titles with less than a third of their words in
+    common are not looked at further."""
     if a == b:
         return 0, 0, 0, False
     rest_b = list(b)
@@ -201,6 +205,8 @@ def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int, bool]:
             rest_b.remove(w)
         else:
             rest_a.append(w)
+    if len(rest_a) + len(rest_b) > 5 and 3 * (len(a) - len(rest_a)) < min(len(a), len(b)):
+        return len(rest_a), len(rest_b), 0, False
     typos = 0
     left_a = []
     for w in rest_a:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import canonical, dedupe, matching, names, packing, survivorship, tokens, vectors
+from . import canonical, dedupe, matching, names, packing, quality, survivorship, tokens, vectors
 from .graph import stage
 
 
@@ -67,8 +67,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.variant_pairs(_read(spark, sf_dir, "load_to_zilliz"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.not_prose(quality.text_statistics(_read(spark, sf_dir, "documents")))
+
+
+def p9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.text_statistics(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left, "p9_found": p9_found, "p9_statistics": p9_statistics}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -44,13 +44,14 @@ _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>")
 _HIDDEN = re.compile(r"[\u200b-\u200f\ufeff\u00ad\u2060]")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _BULLET = re.compile(r"^\s*(?:[-–—•*·▪◦‣o+]\s|\(?\d{1,3}[.)\]]\s|\[\d{1,4}\]|\(?[a-z][.)]\s|\d+(?:\.\d+)*\s{2,})")
-_FORMAL = re.compile(r"[{}=\\]|https?:|\w@\w|<[a-z]+\s+\w+=|::|\bkey=|\"\w+\":|</(?:author|title|year|td|tr|li|article)>|Tel\.|&[a-z]+;.*&[a-z]+;")
+_FORMAL = re.compile(r"[{}\\]|\w=[\"\w]|==|https?:|\w@\w|<[a-z]+\s+\w+=|::|\bkey=|\"\w+\":|</(?:author|title|year|td|tr|li|article)>|Tel\.|&[a-z]+;.*&[a-z]+;")
 _COLUMNS = re.compile(r"\||\t|;|\s{3,}|,(?=\S)|\s[/·•>]\s")
 _REFERENCE = re.compile(r"\b(?:1[89]|20)\d\d\b.{0,80}\d+\s*[-–]\s*\d+|\(\d{4}\)\.|\bpp?\.\s*\d|\bdoi\b|\bvol\.|et al\.,|\bIn Proc", re.I)
 _DOTS = re.compile(r"(?:\.\s?){4,}|…{2,}|…\s*…")
 _END = re.compile(r"[.!?。！？:][\"'”’»)\]]*$")
+_INNER_END = re.compile(r"[^\W\d_]{3}[.?!] [^\W\d_]")
 _VOWEL = re.compile(r"[aeiouyàâäáãåæèéêëìíîïòóôöõøùúûüýœ]", re.I)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[\"“¿¡(]?[A-ZÀ-ÞÄÖÜ])|(?<=[。！？])")
+_SENTENCE = re.compile(r"(?<=[^\W\d_]{3}[.!?])\s+(?=[\"“¿¡(]?[^\W\d_])|(?<=[。！？])")
 
 
 def _goes_on(before: str, line: str) -> bool:
@@ -61,6 +62,9 @@ def _goes_on(before: str, line: str) -> bool:
     last = before.rstrip()[-1:]
     if last in "-\u00ad" and first.isalpha() and len(before.strip()) > 20:
         return True
+    words = _WORD.findall(before)
+    if first.isalpha() and (last.isalnum() and words and len(words) > 2 and (fold(words[-1]) in BINDING or fold(words[-1]) in SMALL or _INNER_END.search(before))):
+        return True
     return first.islower() and (last.isalnum() or last in ",)'’\"”") and len(before.strip()) > 15
 
 
@@ -121,7 +125,7 @@ def line_statistics(line: str, repeated: bool) -> tuple[int, ...]:
         _bin(binding, 0, 0.07, 0.14),
         _bin(small, 0, 0.12, 0.3),
         _bin(digits, 0.01, 0.06, 0.2),
-        _bin(symbols, 0.005, 0.03, 0.1),
+        _bin(symbols, 0.005, 0.03, 0.1, 0.25),
         end,
         _bin(n, 2, 5, 9, 16),
         begin,
@@ -138,7 +142,7 @@ def line_statistics(line: str, repeated: bool) -> tuple[int, ...]:
 def sure_state(s: tuple[int, ...]) -> int:
     """State of a line by simple rules, or -1."""
     binding, small, digits, symbols, end, n, begin, capital, odd, formal, columns, reference, dots, repeated = s
-    if odd == 2 or formal and binding <= 1 or repeated and n <= 1 and binding == 0:
+    if symbols == 4 and columns <= 1 or odd == 2 or formal and binding <= 1 or repeated and n <= 1 and binding == 0:
         return 3
     if columns >= 2 and binding == 0 and (digits >= 2 or symbols >= 2):
         return 2
@@ -177,7 +181,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k[j] for k, _ in rows], pa.int32()) for j in range(3)] + [pa.array([c for _, c in rows], pa.int64())], names=["what", "state", "bin", "n"])
 
 
-BINS = (4, 4, 4, 4, 3, 5, 4, 4, 3, 2, 4, 2, 2, 2)
+BINS = (4, 4, 4, 5, 3, 5, 4, 4, 3, 2, 4, 2, 2, 2)
 
 
 def fit(documents: DataFrame, most: int = FIT_DOCUMENTS) -> tuple[list[np.ndarray], np.ndarray]:

@@ -9,6 +9,7 @@ query's k-th best estimate are compared with the full vectors.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,10 +28,11 @@ PROBES = 3
 #: Members of a cell that one task holds at once; larger cells are split into blocks of this size.
 BLOCK = 4_000
 #: Width of the error bound, in standard deviations.
-EPSILON = 3.0
+EPSILON = 2.5
 _SEED = 5
 
 
+@lru_cache(maxsize=4)
 def rotation(dim: int, seed: int = _SEED) -> np.ndarray:
     """A random orthogonal matrix, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -116,8 +118,9 @@ def _assign(centres: dict[str, np.ndarray], dim: int, probes: int):
     return of
 
 
-def search_cell(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, qids: np.ndarray, k: int, rotate: np.ndarray, epsilon: float = EPSILON) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query ids, member ids, cosine) of the k most similar members of each query, itself left out.
+def search_cell(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, qids: np.ndarray, k: int, rotate: np.ndarray, least: float = -2.0, epsilon: float = EPSILON) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query ids, member ids, cosine) of the k most similar members of each query, itself left out; only members whose
+    cosine may reach ``least`` are compared in full, so only those at least so similar are sure to be found.
 
     Unit residuals to the members' mean are coded with one bit a dimension. With u the member's residual direction, o its
     code and q the rotated query residual, <u, q> is about <o, q> / <o, u>, with an error of at most
@@ -143,7 +146,7 @@ def search_cell(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, qids: np.nd
         lower = np.where(own, -np.inf, estimate - bound)
         kk = min(k, lower.shape[1])
         worst = -np.partition(-lower, kk - 1, axis=1)[:, kk - 1]
-        keep = (estimate + bound >= worst[:, None]) & ~own
+        keep = (estimate + bound >= np.maximum(worst, least)[:, None]) & ~own
         i, j = np.nonzero(keep)
         cosine = np.einsum("ij,ij->i", q[i].astype(np.float64), x[j].astype(np.float64))
         order = np.lexsort((ids[j], -cosine, i))
@@ -164,7 +167,7 @@ def _search(k: int, dim: int, least: float):
         if not member.any():
             return _FOUND.empty_table()
         out = []
-        for a, b, c in search_cell(ids[member], x[member], x, ids, k, rotation(dim)):
+        for a, b, c in search_cell(ids[member], x[member], x, ids, k, rotation(dim), least):
             ok = c >= least
             out.append(pa.table([a[ok], b[ok], c[ok]], schema=_FOUND))
         return pa.concat_tables(out)

@@ -92,3 +92,13 @@ def requested(keys: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Each requested key with whether it was found."""
     found = rows.select(key).where(F.col(key).isNotNull()).distinct().withColumn("found", F.lit(True))
     return keys.select(key).where(X.has_value(F.col(key))).distinct().join(found, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+def numbered_slice(rows: DataFrame, ordinal: str, start: int, end: int) -> DataFrame:
+    """Rows whose saved ordinal lies in [start, end)."""
+    return rows.where((F.col(ordinal) >= start) & (F.col(ordinal) < end))
+
+
+def skip(rows: DataFrame, *order: str, n: int) -> DataFrame:
+    """All but the first ``n`` rows in an order that leaves no ties."""
+    return rows.orderBy(*order).offset(n)

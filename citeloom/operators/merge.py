@@ -66,6 +66,18 @@ def move_to_excluded(table: DataFrame, excluded: DataFrame, keys: DataFrame) ->
     return table.join(wanted, "dblp_key", "left_anti"), excluded.select("key", "dblp_key", "doi", "title").unionByName(added)
 
 
+def first_found(keys: DataFrame, tables: list[DataFrame], key: str, columns: list[str]) -> DataFrame:
+    """Each key with the columns of the first table, in the given order, that holds it; nulls where none does.
+
+    The tables are tagged with their rank and combined in one aggregation, so a key is shuffled once whatever their number."""
+    ranked = None
+    for rank, table in enumerate(tables):
+        part = table.where(F.col(key).isNotNull()).select(key, F.lit(rank).alias("_rank"), F.struct(*columns).alias("_row"))
+        ranked = part if ranked is None else ranked.unionAll(part)
+    best = ranked.groupBy(key).agg(F.min_by("_row", F.struct("_rank", "_row")).alias("_row"))
+    return keys.select(key).distinct().join(best, key, "left").select(key, *(F.col(f"_row.`{c}`").alias(c) for c in columns))
+
+
 class VersionedTable:
     """A keyed table as Parquet versions beside a pointer file; readers see the old version until the pointer is changed."""
 

@@ -311,6 +311,13 @@ def column_backfill(read):
     return filled.select("row_id", F.array_join(F.array_sort(F.coalesce("names", F.array().cast("array<string>"))), "|").alias("names"))
 
 
+@query(f"""with k as (select distinct dblp_key from paper_new where dblp_key is not null), p as (select dblp_key, min(title) as t from paper_prod group by 1), n as (select dblp_key, min(title) as t from paper_new group by 1)
+select k.dblp_key, case when p.dblp_key is not null then p.t else n.t end as title from k left join p using (dblp_key) left join n using (dblp_key)""")
+def first_found_title(read):
+    """The title of each key in production, or else in the staging collection."""
+    return merge.first_found(read("paper_new").where("dblp_key is not null").select("dblp_key"), [read("paper_prod"), read("paper_new")], "dblp_key", ["title"])
+
+
 @query(f"""select paper_uid, concat_ws(chr(10), nullif({_t('title')}, ''), nullif({_t('abstract')}, '')) as text from paper_prod where {_t('title')} <> '' and {_t('abstract')} <> '' and has_embedding is distinct from true""")
 def texts_to_embed(read):
     return changes.to_embed(read("paper_prod"))

@@ -179,3 +179,11 @@ def paper_records(dump: DataFrame, venues: DataFrame) -> DataFrame:
     rows = dump.withColumn("dblp_source", X.collapse(F.col("dblp_source"))).join(F.broadcast(listed), "dblp_source").withColumn("doi", X.first_doi(F.col("links")))
     uid = X.paper_uid(F.col("doi"), F.col("dblp_key"), F.col("title"), F.col("authors"), F.col("year"), F.col("dblp_source"))
     return rows.select(uid.alias("paper_uid"), "dblp_key", "title", "authors", "source", "dblp_source", "year", "doi", F.lit("").alias("abstract"), F.array().cast("array<string>").alias("keywords"), F.lit(None).cast("bigint").alias("citation_count"), "full_paper")
+
+
+def saved_results(spark: SparkSession, path: str) -> DataFrame:
+    """Saved look-up results with typed columns; a similarity above 1 is a percentage."""
+    rows = dimension(spark, path, ["status", "similarity", "paper_uid"])
+    number = F.regexp_replace(X.trim_all(F.col("similarity")), "%$", "").try_cast("double")
+    out = rows.withColumn("similarity", F.when(number > 1, number / 100).otherwise(number))
+    return out.withColumn("source_mismatch", X.to_flag(F.col("source_mismatch"))) if "source_mismatch" in rows.columns else out

@@ -55,6 +55,15 @@ def test_versioned_table(spark, tmp_path):
     assert [tuple(r) for r in table.read().collect()] == [(2, "c", None)]
 
 
+def test_first_found_and_slices(spark):
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    one, two = spark.createDataFrame([("a", 1)], "k string, n int"), spark.createDataFrame([("a", 9), ("b", 2), ("b", 3)], "k string, n int")
+    assert {tuple(r) for r in merge.first_found(keys, [one, two], "k", ["n"]).collect()} == {("a", 1), ("b", 2), ("c", None)}
+    rows = spark.range(10)
+    assert filters.numbered_slice(rows, "id", 2, 5).count() == 3
+    assert sorted(r.id for r in filters.skip(rows, "id", n=7).collect()) == [7, 8, 9]
+
+
 def test_change_classes(spark):
     base = {"title": "T", "abstract": "A", "source": "s", "keywords": None, "authors": ["x"]}
     new = papers(spark, *({"paper_uid": str(n), **base, **d} for n, d in enumerate([{}, {"title": " t "}, {"title": "U"}, {"keywords": []}, {"authors": ["y"]}, {}, {}])), {"paper_uid": " "})

@@ -45,6 +45,11 @@ def test_free_csv_and_pipe_table(spark, tmp_path):
     assert [tuple(r) for r in readers.pipe_table(spark, str(tmp_path / "t.md"), ["abrv", "full"]).collect()] == [("A", "Alpha")]
 
 
+def test_saved_results(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("status,similarity,paper_uid\nmatched,87.5%,a\nmatched,0.4,b\nmissing,,\n")
+    assert [r.similarity for r in readers.saved_results(spark, str(tmp_path / "r.csv")).collect()] == [0.875, 0.4, None]
+
+
 def test_writers(spark, tmp_path):
     rows = spark.createDataFrame([("b", "S 1"), ("a", "s-1"), (None, "S/1")], "k string, source string")
     writers.sorted_values(rows, "k", str(tmp_path / "k"))

@@ -138,10 +138,12 @@ def osa(a: str, b: str, limit: int) -> int:
 
 
 def words_agree(a: str, b: str) -> bool:
-    """The same word up to a typing error: one edit, or two from 7 letters on. Digits and signs must be equal, and words of
-    two or three letters must begin alike and not be numerals."""
+    """The same word up to a typing error: one edit, or two from 7 letters on. Digits and signs must be equal, the
+    first or the last letter too, and words of two or three letters must begin alike and not be numerals."""
     if a == b:
         return True
+    if not a or not b or (a[0] != b[0] and a[-1] != b[-1]):
+        return False
     if not (a.isalpha() and b.isalpha()):
         sign_a, sign_b = _LETTERS.sub("", a), _LETTERS.sub("", b)
         if sign_a != sign_b:
@@ -169,7 +171,7 @@ def _near(a: str, b: str) -> bool:
     if words_agree(a, b):
         return True
     limit = int(0.4 * max(len(a), len(b)))
-    return limit > 0 and a.isalpha() and b.isalpha() and not _ROMAN.match(a) and not _ROMAN.match(b) and osa(a, b, limit) <= limit
+    return limit > 0 and (a[0] == b[0] or a[-1] == b[-1]) and a.isalpha() and b.isalpha() and not _ROMAN.match(a) and not _ROMAN.match(b) and osa(a, b, limit) <= limit
 
 
 def _follows(words: list[str]) -> bool:

@@ -213,7 +213,7 @@ def close_pairs(papers: DataFrame, k: int = 5, least: float = 0.80, uid: str = "
     rows = papers.where(usable(F.col(vector)) & F.col(uid).isNotNull())
     rows = rows.select(F.col(uid).alias("uid"), F.col(model).alias("model"), F.col(vector).cast("array<float>").alias("vector"))
     numbered = rows.withColumn("id", F.xxhash64("uid"))
-    names = numbered.select("id", "uid")
+    names = numbered.select("id", "uid").distinct()
     found = neighbours(numbered, k, least=least - 1e-4)
     pairs = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "cosine").where(F.col("cosine") >= least).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     named = pairs.join(names.select(F.col("id").alias("a"), F.col("uid").alias("ua")), "a").join(names.select(F.col("id").alias("b"), F.col("uid").alias("ub")), "b")

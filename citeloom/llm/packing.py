@@ -36,59 +36,63 @@ def fill(items: list[tuple[str, int, int, int]], capacity: int, share: dict[str,
     for sizes, queue in queues.values():
         queue.sort()
         sizes.extend(q[0] for q in queue)
+    # a deficit is what stood at the start, plus the share of all that was packed, less what the source gave
+    given: dict[str, int] = dict.fromkeys(queues, 0)
+    packed = 0
     out: list[list[tuple[str, int, int, int]]] = []
     left = len(items)
     while left:
         room, box = capacity, []
         while room:
-            pick = None
-            for source in sorted(queues, key=lambda s: (-deficit.get(s, 0.0), s)):
-                at = bisect_right(queues[source][0], room) - 1
-                if at >= 0:
-                    pick = source, at
-                    break
+            pick, behind = None, 0.0
+            for source, (sizes, _) in queues.items():
+                if sizes[0] <= room:
+                    d = deficit.get(source, 0.0) + share.get(source, 0.0) * packed - given[source]
+                    if pick is None or d > behind or (d == behind and source < pick):
+                        pick, behind = source, d
             if pick is None:
                 break
-            source, at = pick
-            sizes, queue = queues[source]
+            sizes, queue = queues[pick]
+            at = bisect_right(sizes, room) - 1
             size, i, piece = queue.pop(at)
             sizes.pop(at)
             if not queue:
-                del queues[source]
-            box.append((source, size, -i, -piece))
+                del queues[pick]
+            box.append((pick, size, -i, -piece))
             room -= size
             left -= 1
-            for s in share:
-                deficit[s] = deficit.get(s, 0.0) + share[s] * size
-            deficit[source] = deficit.get(source, 0.0) - size
+            packed += size
+            given[pick] += size
         out.append(box)
+    for s in {*share, *given}:
+        deficit[s] = deficit.get(s, 0.0) + share.get(s, 0.0) * packed - given.get(s, 0)
     return out
 
 
-def _pack_shard(table: pa.Table) -> pa.Table:
-    rows = table.to_pylist()
-    first = rows[0]
-    capacity = first["capacity_tokens"]
-    share = {s["source"]: s["share"] for s in first["shares"]}
-    deficit = {s["source"]: s["behind"] for s in first["shares"]}
+def _pack_shard(table: pa.Table, sources: pa.Table) -> pa.Table:
+    if not table.num_rows:
+        return _OUT.empty_table()
+    window, capacity, shard = (table.column(c)[0].as_py() for c in ("window_name", "capacity_tokens", "shard"))
+    share, deficit = {}, {}
+    for s in sources.to_pylist():
+        share[s["source"]], deficit[s["source"]] = s["share"], s["behind"]
     whole, items = [], []
-    for r in rows:
-        full, rest = divmod(r["tokens"], capacity) if r["tokens"] > capacity else (0, r["tokens"])
-        for k in range(full):
-            whole.append((r["source"], capacity, r["doc_id"], k))
+    for i, source, tokens in zip(table.column("doc_id").to_pylist(), table.column("source").to_pylist(), table.column("tokens").to_pylist()):
+        full, rest = divmod(tokens, capacity) if tokens > capacity else (0, tokens)
+        whole += [(source, capacity, i, k) for k in range(full)]
         if rest or not full:
-            items.append((r["source"], rest, r["doc_id"], full))
+            items.append((source, rest, i, full))
     boxes = [[w] for w in sorted(whole, key=lambda w: (w[2], w[3]))]
     for source, size, _, _ in whole:
-        for s in share:
-            deficit[s] = deficit.get(s, 0.0) + share[s] * size
         deficit[source] = deficit.get(source, 0.0) - size
+    for s in share:
+        deficit[s] = deficit.get(s, 0.0) + share[s] * capacity * len(whole)
     empty = [i for i in items if not i[1]]
     boxes += fill([i for i in items if i[1]], capacity, share, deficit)
     # documents without tokens need no room: they stand in the shard's first container
     if empty:
         boxes[:1] = [(boxes[0] if boxes else []) + sorted(empty, key=lambda e: e[2])]
-    out = [(first["window_name"], capacity, first["shard"], n, i, piece, source, piece * capacity, size) for n, box in enumerate(boxes) for source, size, i, piece in box]
+    out = [(window, capacity, shard, n, i, piece, source, piece * capacity, size) for n, box in enumerate(boxes) for source, size, i, piece in box]
     return pa.table([pa.array([o[k] for o in out], f.type) for k, f in enumerate(_OUT)], schema=_OUT)
 
 
@@ -115,10 +119,9 @@ def pack(counts: DataFrame, windows: DataFrame, shares: DataFrame | None = None,
     own = Window.partitionBy("window_name", "capacity_tokens", "source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     grid = shard_sum.withColumn("earlier", F.coalesce(F.sum("all").over(before), F.lit(0))).join(F.broadcast(shares))
     grid = grid.join(held, ["window_name", "capacity_tokens", "shard", "source"], "left").withColumn("mine", F.coalesce(F.sum("held").over(own), F.lit(0)))
-    carried = grid.groupBy("window_name", "capacity_tokens", "shard").agg(F.collect_list(F.struct("source", "share", (F.col("share") * F.col("earlier") - F.col("mine")).alias("behind"))).alias("shares"))
-    rows = dealt.drop("shards").join(carried, ["window_name", "capacity_tokens", "shard"])
+    carried = grid.select("window_name", "shard", "source", "share", (F.col("share") * F.col("earlier") - F.col("mine")).alias("behind")).toDF("in_window", "in_shard", "source", "share", "behind")
     schema = "window_name string, capacity_tokens int, shard int, container int, doc_id long, piece int, source string, start_token long, tokens long"
-    return rows.groupBy("window_name", "shard").applyInArrow(_pack_shard, schema)
+    return dealt.drop("shards").groupBy("window_name", "shard").cogroup(carried.groupBy("in_window", "in_shard")).applyInArrow(_pack_shard, schema)
 
 
 def room_left(packed: DataFrame) -> DataFrame:

@@ -210,7 +210,9 @@ def map_values(values: DataFrame, column: str, entries: DataFrame, long_names: D
             yield pd.DataFrame({"value": batch["value"], "source": [f[0] for f in found], "dblp_source": [f[1] for f in found], "score": [f[2] for f in found]})
 
     distinct = values.select(F.col(f"`{column}`").alias("value")).where(F.col("value").rlike(r"(?U)\S")).distinct()
-    return distinct.mapInPandas(of, "value string, source string, dblp_source string, score double")
+    # looking values up is costly, so they are spread over all tasks however few bytes they have
+    spread = distinct.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return spread.mapInPandas(of, "value string, source string, dblp_source string, score double")
 
 
 def map_column(rows: DataFrame, id_column: str, column: str, entries: DataFrame, long_names: DataFrame) -> DataFrame:

@@ -50,6 +50,9 @@ _REFERENCE = re.compile(r"\b(?:1[89]|20)\d\d\b.{0,80}\d+\s*[-–]\s*\d+|\(\d{4}\
 _DOTS = re.compile(r"(?:\.\s?){4,}|…{2,}|…\s*…")
 _END = re.compile(r"[.!?。！？:][\"'”’»)\]]*$")
 _INNER_END = re.compile(r"[^\W\d_]{3}[.?!] [^\W\d_]")
+_DIGIT = re.compile(r"\d")
+_SIGN = re.compile(r"[^\w\s.,'’()\"?!-]|_")
+_SYMBOL = re.compile(r"[^\w\s]|_")
 _VOWEL = re.compile(r"[aeiouyàâäáãåæèéêëìíîïòóôöõøùúûüýœ]", re.I)
 _SENTENCE = re.compile(r"(?<=[^\W\d_]{3}[.!?])\s+(?=[\"“¿¡(]?[^\W\d_])|(?<=[。！？])")
 
@@ -116,8 +119,8 @@ def line_statistics(line: str, repeated: bool) -> tuple[int, ...]:
         upper = plain.isupper()
         capital = 0.0 if upper else sum(w[0].isupper() for w in words[1:]) / max(1, n - 1)
         odd = sum(len(w) > 3 and not _VOWEL.search(w) for w in words) / max(1, n)
-    digits = sum(c.isdigit() for c in plain) / size
-    symbols = sum(not (c.isalnum() or c.isspace() or c in ".,'’-()\"?!") for c in plain) / size
+    digits = len(_DIGIT.findall(plain)) / size
+    symbols = len(_SIGN.findall(plain)) / size
     end = 0 if _END.search(plain.strip()) else 1 if plain.rstrip().endswith((",", ";")) else 2
     stripped = plain.lstrip()
     begin = 0 if _BULLET.match(plain) else 1 if stripped[:1].islower() else 2 if stripped[:1].isalpha() else 3
@@ -221,16 +224,17 @@ def decode(stats: list[tuple[int, ...]], emission: list[np.ndarray], transition:
 def _statistics(text: str, emission, transition) -> tuple:
     lines, stats = _described(text)
     states = decode(stats, emission, transition)
-    sizes = [len(re.sub(r"\s", "", x)) for x in lines]
+    sizes = [len("".join(x.split())) for x in lines]
     total = max(1, sum(sizes))
     words = _WORD.findall(text)
-    visible = max(1, sum(not c.isspace() for c in text))
+    visible = max(1, len("".join(text.split())))
+    common = [fold(w) for w in words]
     return (
         len(words),
         sum(map(len, words)) / len(words) if words else 0.0,
-        sum(not (c.isalnum() or c.isspace()) for c in text) / visible,
+        len(_SYMBOL.findall(text)) / visible,
         sum(s[4] == 0 for s in stats) / len(stats) if stats else 0.0,
-        sum(fold(w) in BINDING or fold(w) in SMALL for w in words) / len(words) if words else 0.0,
+        sum(w in BINDING or w in SMALL for w in common) / len(words) if words else 0.0,
         len(lines),
         *(sum(z for z, st in zip(sizes, states) if st == k) / total for k in range(len(STATES))),
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.udfs import sequence_ratio
+from ..functions.udfs import piece_keys, sequence_ratio, window_keys
 
 TERMINAL = ("found", "not_found")
 
@@ -60,31 +60,43 @@ def accept_match(title: Column, overlap: Column, apart: Column, generic: Column)
 def best_matches(papers: DataFrame, others: DataFrame, uid: str = "paper_uid", other: str = "id") -> DataFrame:
     """(uid, other, title_similarity, overlap, reason): the best accepted candidate of each paper, or reason 'ambiguous'.
 
-    Candidates share a normal title's first and last three words or its six longest words (whatever their order) and have years
-    at most one apart or unknown; titles are compared by matching blocks, authors by shared names. The best by title, overlap and
-    year distance is ambiguous if the runner-up is within 0.02 and 0.25 of it. Generic titles are blocked with a year."""
+    All pairs with years at most one apart or unknown are decided by ``accept_match`` on titles compared by matching blocks and
+    authors by shared names; the best by title, overlap and year distance is ambiguous if the runner-up is within 0.02 and 0.25
+    of it. Only pairs that the rule cannot accept are left out before: an accepted pair shares a name or, with both years known,
+    a piece of a title of at least 0.985."""
 
-    def keyed(df: DataFrame, key: str) -> DataFrame:
-        t = X.match_title(F.col("title"))
-        words = F.split(t, " ")
-        ends = F.concat_ws(" ", F.slice(words, 1, 3))
-        tail = F.concat_ws(" ", F.slice(F.reverse(words), 1, 3))
-        longest = F.concat_ws(" ", F.array_sort(F.transform(F.slice(F.reverse(F.array_sort(F.transform(F.array_distinct(words), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), 1, 6), lambda e: e["w"])))
+    def normal(df: DataFrame, key: str) -> DataFrame:
         year = F.nullif(X.year_or_null(F.col("year")), F.lit(0))
-        generic = X.is_generic_title(F.col("title"))
-        blocks = F.array(F.concat(F.lit("b:"), ends, F.lit("|"), tail), F.concat(F.lit("w:"), longest))
-        blocks = F.when(generic, F.transform(blocks, lambda b: F.concat(b, F.lit("@"), F.coalesce(year.cast("string"), F.lit(""))))).otherwise(blocks)
-        return df.select(F.col(key), t.alias("t"), "authors", year.alias("y"), generic.alias("g"), F.explode(blocks).alias("block")).where("t <> ''")
-
-    a = keyed(papers, uid).withColumnsRenamed({"authors": "a1", "y": "y1"})
-    b = keyed(others, other).select(F.col(other), F.col("t").alias("t2"), F.col("authors").alias("a2"), F.col("y").alias("y2"), "block")
-    pairs = a.join(b, "block").where("y1 is null or y2 is null or abs(y1 - y2) <= 1").dropDuplicates([uid, other])
-    scored = pairs.withColumn("title_similarity", sequence_ratio("t", "t2")).withColumn("overlap", X.author_overlap(F.col("a1"), F.col("a2"))).withColumn("apart", F.abs(F.col("y1") - F.col("y2")))
+        return df.select(key, X.match_title(F.col("title")).alias("t"), "authors", year.alias("y"), X.is_generic_title(F.col("title")).alias("g"), F.xxhash64(key).alias("h")).where("t <> ''")
+
+    def keyed(df: DataFrame, one: bool) -> DataFrame:
+        names = F.array_distinct(F.filter(F.transform(F.coalesce("authors", F.array().cast("array<string>")), X.match_author), lambda x: x != ""))
+        # years in pairs: a paper is in one of them, a candidate in those of the year before and the year after
+        spans = F.array(F.floor(F.col("y") / 2)) if one else F.array_distinct(F.array(F.floor((F.col("y") - 1) / 2), F.floor((F.col("y") + 1) / 2)))
+        spans = F.when(F.col("y").isNotNull(), spans).otherwise(F.array().cast("array<bigint>"))
+        always, unknown = ("b", "a") if one else ("a", "b")
+        spans_of_names = F.array_union(F.transform(spans, lambda x: x.cast("string")), F.when(F.col("y").isNull(), F.array(F.lit(always), F.lit(unknown))).otherwise(F.array(F.lit(always))))
+        by_name = F.flatten(F.transform(names, lambda x: F.transform(spans_of_names, lambda s: F.xxhash64(x, s))))
+        held = df.select("h", F.length("t").alias("n"), "y", by_name.alias("by_name"), spans.alias("spans"), (window_keys if one else piece_keys)("t").alias("pieces"))
+        by_title = F.flatten(F.transform("pieces", lambda x: F.transform("spans", lambda s: F.xxhash64(x, s))))
+        return held.select("h", "n", "y", F.explode(F.concat("by_name", by_title)).alias("key"))
+
+    a, b = normal(papers, uid), normal(others, other)
+    b = b.select(other, F.col("t").alias("t2"), F.col("authors").alias("a2"), F.col("y").alias("y2"), F.col("h").alias("h2"))
+    left = keyed(a, True)
+    right = keyed(b.select(F.col("t2").alias("t"), F.col("a2").alias("authors"), F.col("y2").alias("y"), F.col("h2").alias("h")), False).toDF("h2", "n2", "y2", "key")
+    near = left.join(right, "key").where("y is null or y2 is null or abs(y - y2) <= 1").where("abs(n - n2) <= if(y is not null and y2 is not null, 0.1, 0.015) * (n + n2) + 0.000001").select("h", "h2").distinct()
+    pairs = near.join(a.withColumnsRenamed({"authors": "a1", "y": "y1"}), "h").join(b, "h2").where("y1 is null or y2 is null or abs(y1 - y2) <= 1")
+    pairs = pairs.withColumn("overlap", X.author_overlap(F.col("a1"), F.col("a2"))).withColumn("apart", F.abs(F.col("y1") - F.col("y2")))
+    # a title_similarity of s leaves at most (1 - s) of all signs unmatched, and so no more to edit
+    known = F.col("apart").isNotNull()
+    room = F.when(known & (F.col("overlap") >= 0.5), 0.10).when(known & (F.col("overlap") >= 0.25), 0.06).when(known | (F.col("overlap") > 0), 0.015).otherwise(-1.0)
+    pairs = pairs.where(F.levenshtein("t", "t2") <= room * (F.length("t") + F.length("t2")) + 0.000001)
+    scored = pairs.withColumn("title_similarity", sequence_ratio("t", "t2"))
     scored = scored.withColumn("reason", accept_match(F.col("title_similarity"), F.col("overlap"), F.col("apart"), F.col("g"))).where(~F.col("reason").isin("below_threshold", "generic_title"))
-    # the two best of each paper through a bounded aggregation
+    # the two best of each paper in one pass over the scored pairs
     order = F.struct(F.col("title_similarity").alias("s"), F.col("overlap").alias("o"), (-F.coalesce("apart", F.lit(99))).alias("d"), F.col(other).alias("i"), F.col("reason").alias("r"))
-    best = scored.withColumn("_o", order).groupBy(uid).agg(F.max("_o").alias("one"))
-    second = scored.withColumn("_o", order).join(best, uid).where("_o <> one").groupBy(uid).agg(F.max("_o").alias("two"))
-    both = best.join(second, uid, "left")
+    ranked = scored.select(uid, order.alias("_o")).withColumn("_n", F.row_number().over(Window.partitionBy(uid).orderBy(F.desc("_o")))).where("_n <= 2")
+    both = ranked.groupBy(uid).agg(F.max(F.when(F.col("_n") == 1, F.col("_o"))).alias("one"), F.max(F.when(F.col("_n") == 2, F.col("_o"))).alias("two"))
     close = F.coalesce((F.col("one.s") - F.col("two.s") < 0.02) & (F.col("one.o") - F.col("two.o") < 0.25), F.lit(False))
     return both.select(uid, F.col("one.i").alias(other), F.round("one.s", 4).alias("title_similarity"), F.round("one.o", 4).alias("overlap"), F.when(close, "ambiguous").otherwise(F.col("one.r")).alias("reason"))

@@ -125,3 +125,40 @@ def test_event_windows_stream(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, incremental.windows(events, "ts", "event_type", "value").collect()))
     firsts = incremental.run_to_end(incremental.first_seen_stream(stream, "user_id", "ts"), spark, "firsts", str(tmp_path / "c2"))
     assert firsts.count() == incremental.first_seen(events, "user_id", "ts", "event_id").count() == 3
+
+
+def test_best_match_finds_all_that_the_rule_accepts(spark):
+    """Against every pair: typing errors in every place, unknown years, generic and long titles, with and without shared names."""
+    import difflib
+    import random
+    import re
+
+    rng = random.Random(3)
+    words = "query graph visual aligning progressive topic models museum curation rendering scatter network study of for the".split()
+    old, new = [], []
+    for i in range(60):
+        title = " ".join(rng.choices(words, k=rng.choice([1, 2, 4, 6, 9, 70])))
+        old.append((f"o{i}", title, rng.sample(["Ann Bo", "Cy Do", "Ed Fu", "Gi Ho"], rng.randint(0, 3)), rng.choice([None, 2000, 2001, 2002, 2003])))
+    for i in range(240):
+        _, title, authors, year = rng.choice(old)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(title))
+            title = title[:at] + rng.choice(["", "q", title[at] + "x"]) + title[at + 1 :]
+        new.append((f"n{i}", title, rng.choice([authors, authors[:1], []]), rng.choice([year, year, None, 2001])))
+    a = spark.createDataFrame(new, "paper_uid string, title string, authors array<string>, year bigint")
+    b = spark.createDataFrame(old, "id string, title string, authors array<string>, year bigint")
+    want = {}
+    for u, t, p, y in new:
+        for i, s, q, z in old:
+            m, n = (re.sub(" +", " ", x).strip() for x in (t, s))
+            if not m or not n or (y and z and abs(y - z) > 1):
+                continue
+            overlap = len({*p} & {*q}) / max(len(p), len(q)) if p and q else 0.0
+            r = 1.0 if m == n else difflib.SequenceMatcher(None, m, n).ratio()
+            near = bool(y and z)
+            if len(m.split()) <= 2 and not overlap:
+                continue
+            if r >= 0.985 and (near or overlap > 0) or r >= 0.94 and near and overlap >= 0.25 or r >= 0.90 and near and overlap >= 0.5:
+                want[u] = max(want.get(u, (0, 0)), (round(r, 4), round(overlap, 4)))
+    got = {r.paper_uid: (r.title_similarity, r.overlap) for r in enrich.best_matches(a, b).collect()}
+    assert len(want) > 80 and got == want

@@ -22,7 +22,7 @@ from .graph import components, stage
 
 #: Bits (of 64) in which the title fingerprints of two records of one paper may differ.
 HAMMING = 24
-#: Members of one key that are compared with each other; further ones see as many neighbours in fingerprint order.
+#: Members of one key that are compared at once; more are compared block by block.
 RUN = 256
 _BLOCKS = "key long, fp long, id long"
 
@@ -68,7 +68,7 @@ def close_pairs(blocks: DataFrame, hamming: int = HAMMING, run: int = RUN) -> Da
     """Distinct pairs (a < b) of records that share a key and whose title fingerprints are close."""
 
     def of(batches):
-        return fp.pairs_of_sorted(batches, hamming, run, False)
+        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True)
 
     return blocks.repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
 

@@ -9,6 +9,9 @@ import pyarrow as pa
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
+#: Comparisons of a crowded run that are held at once.
+SLICE = 2_000_000
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64: a well-spread 64-bit hash of 64-bit numbers."""
@@ -57,13 +60,15 @@ def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool) -> Iterator[pa.RecordBatch]:
+def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False) -> Iterator[pa.RecordBatch]:
     """Pairs of ids within runs of one key, out of a stream sorted by (key, fp).
 
     Columns in: key, fp, id and, if ``two_sides``, side. Out: a, b (a < b, or with sides: a of side 0 and b of side 1) whose
-    fingerprints differ in at most ``limit`` bits. A run of more than ``most`` members is not held as a whole: each further
-    member, in the order of fingerprints, is compared with the ``most`` members before it and with the run's leaders (members
-    that were close to no earlier leader), so that time stays linear and near copies stay linked."""
+    fingerprints differ in at most ``limit`` bits. With ``whole`` these are all pairs of a run: one of more than ``most`` members
+    is compared block by block as it arrives, and time grows with the square of its members. Else such a run is not held as a
+    whole: each further member, in the order of fingerprints, is compared with the ``most`` members before it and with the run's
+    leaders (members that were close to no earlier leader), so that time stays linear, near copies stay linked and pairs that
+    are close only to each other can be missed."""
     keep: list[np.ndarray] | None = None
     run_seen, leaders = 0, None
 
@@ -109,6 +114,16 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                 res.append(emit(ids, sides, near, np.full(len(near), k)))
         return res
 
+    def every(ids, fps, sides, fresh):
+        """Members from ``fresh`` on against all members before them, a batch of pairs for each slice of comparisons."""
+        for lo in range(fresh, len(ids), most):
+            new = np.arange(lo, min(lo + most, len(ids)))
+            for start in range(0, new[-1], max(1, SLICE // most)):
+                old = np.arange(start, min(start + max(1, SLICE // most), new[-1]))
+                j, i = np.nonzero((popcount(fps[old][None, :] ^ fps[new][:, None]) <= limit) & (old[None, :] < new[:, None]))
+                if len(i):
+                    yield out(*emit(ids, sides, old[i], new[j]))
+
     for batch in batches:
         cols = [np.asarray(batch.column(n)) for n in ("key", "fp", "id")] + ([np.asarray(batch.column("side"))] if two_sides else [])
         cols[1] = cols[1].view(np.uint64) if cols[1].dtype == np.int64 else cols[1].astype(np.uint64)
@@ -126,7 +141,13 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
         for r in {0, len(cut) - 1}:
             lo, n = cut[r], length[r]
             first, last = r == 0 and run_seen > 0, r == len(cut) - 1
-            if first and run_seen > most or n > most:
+            if whole and n > most:
+                yield from every(ids[lo : lo + n], fps[lo : lo + n], sides[lo : lo + n] if two_sides else None, old - lo if first and run_seen > most else 0)
+                length[r] = 0
+                if last:
+                    run_seen = n
+                    keep = [c[lo:] for c in cols]
+            elif not whole and (first and run_seen > most or n > most):
                 fresh = old - lo if first and run_seen > most else 0
                 a, f, s = ids[lo : lo + n], fps[lo : lo + n], sides[lo : lo + n] if two_sides else None
                 res += hot(a, f, s, max(1, fresh))
@@ -149,6 +170,10 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
         big = np.nonzero(length > most)[0]
         for r in big:
             a, f, s = ids[cut[r] : cut[r] + length[r]], fps[cut[r] : cut[r] + length[r]], sides[cut[r] : cut[r] + length[r]] if two_sides else None
+            if whole:
+                yield from every(a, f, s, 0)
+                length[r] = 0
+                continue
             res += hot(a, f, s, 1)
             _, more = _lead(None, a, f, s, 0, limit, most)
             for x, y, sx, sy in more:

@@ -73,7 +73,7 @@ def candidates(left: DataFrame, right: DataFrame, hamming: int = HAMMING, run: i
     two = right.select("rep", "title_key", "names").mapInArrow(_bands(1), schema)
 
     def of(batches):
-        return fp.pairs_of_sorted(batches, hamming, run, True)
+        return fp.pairs_of_sorted(batches, hamming, run, True, whole=True)
 
     return one.unionAll(two).repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
 

@@ -5,6 +5,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from citeloom.llm import dedupe, fingerprints, matching, records, survivorship
 from citeloom.llm.graph import components
@@ -117,3 +118,36 @@ def test_same_paper_rules():
     assert records.same_paper(*base, base[0], "", 2001) and not records.same_paper("foreword", "", 2001, "foreword", "", 2001)
     assert records.doi_key("DOI: 10.1234/A.)") == "10.1234/a" and records.doi_key(None) == ""
     assert records.bibliographic_key("https://d.example/rec/conf/X/1.html") == records.bibliographic_key("DBLP:conf/x/1") == "conf/x/1"
+
+
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_pairs_of_a_crowded_key_are_all_found(two_sides):
+    """A pair close only to each other, far apart in order, after more strangers than a run holds at once; cut into batches."""
+    rng = np.random.default_rng(5)
+    fps = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    fps[:40] = fps[40:80] ^ np.uint64(1 << 63)
+    fps.sort()
+    ids, sides = np.arange(900, dtype=np.int64), rng.integers(0, 2, 900).astype(np.int8)
+    keys = np.full(900, 7, dtype=np.int64)
+    cols = [keys, fps.view(np.int64), ids] + ([sides] if two_sides else [])
+    names = ["key", "fp", "id"] + (["side"] if two_sides else [])
+    for size in (900, 130):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + size]) for c in cols], names=names) for i in range(0, 900, size)]
+        got = []
+
+        class Rows:  # stands for the sorted blocks of a table; runs what the operator maps over them
+            def mapInArrow(self, of, schema):
+                rows = iter(batches) if schema.startswith("a ") else iter(())
+                got.extend((a, b) for out in of(rows) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
+                return self
+
+            def __getattr__(self, name):
+                return lambda *args: self
+
+        if two_sides:
+            matching.candidates(Rows(), Rows(), 4, 64)
+        else:
+            dedupe.close_pairs(Rows(), 4, 64)
+        near = [(int(i), int(j)) for i, j in np.argwhere(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4, 1))]
+        want = [(i, j) if not two_sides or sides[i] == 0 else (j, i) for i, j in near if not two_sides or sides[i] != sides[j]]
+        assert want and sorted(got) == sorted(want)

@@ -6,15 +6,17 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session; where that is unset, a folder of our own."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. It has to be set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = tempfile.mkdtemp(prefix="citeloom-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
@@ -32,8 +34,14 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     Alternating large-star and small-star; windows keep each hub's neighbours in sorted, spillable partitions. No edges: no
     rows. Loops and repeated edges do no harm."""
-    star = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    def kept(df: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        out = stage(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), name)
+        return out, (seen.get["n"], seen.get["h"])
+
+    star, before = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    if not before[0]:
+        return star.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for _ in range(rounds):
         both = star.unionAll(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
@@ -44,8 +52,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         )
         low = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
         small = low.select("u", F.col("m").alias("v")).unionAll(low.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        star = stage(small.where("u <> v").distinct(), "star")
-        now = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        star, now = kept(small.where("u <> v").distinct(), "star")
         if now == before:
             break
         before = now

@@ -86,3 +86,28 @@ def test_venues(spark):
 def test_weighted_distance():
     d = canonical.weighted_distance
     assert d("abc", "abc") == 0 and d("abc", "acb") == 0.7 and d("abc", "abbc") == 0.6 and d("abc", "abp") == 1 and d("gas", "gad") == 0.7 and d("", "ab") == 2
+
+
+def test_words_of_a_name_are_assigned_one_to_one():
+    same = lambda a, b: names.same_person(names.parse(a), names.parse(b))
+    assert same("Ann Beth Kortelund", "Ann Bob Kortelund") == 0 and same("Maria Garcia Lopez", "Maria Gonzalez Lopez") == 0
+    assert same("Lopez Maria Garcia", "Garcia Lopez Maria") == 3 and same("Ann B. Kortelund", "Ann Beth Kortelund") == 2
+    assert same("Ann Kortelund", "Ann Kortelund-Smid") == 1 and same("Robert Kortelund", "Bob Kortelnud") == 3
+    left, cost, pairs = names.assign(["maria", "garcia", "b"], ["garcai", "bella", "mari"])
+    assert left == 0 and set(pairs) == {("maria", "mari"), ("garcia", "garcai"), ("b", "bella")}
+    assert names.assign([], ["a"]) == (0, 0, []) and names.assign(["ann"], ["bob"])[0] == 1
+
+
+def test_links_do_not_depend_on_how_common_a_name_is(spark):
+    letters = "abcdefghiklmnoprstuvwxz"
+    for others in (5, 60, 3000):
+        crowd = ["".join(letters[(i * 7 + k * (3 + i // 23)) % 23] for k in range(7)).capitalize() + letters[i % 23] + letters[i // 23 % 23] + letters[i // 529 % 23] + " Kortelund" for i in range(others)]
+        df = spark.createDataFrame([([n],) for n in ["Robert Kortelund", "Bob Kortelnud", "J. Kortelund", "Jürgen Kortelund", *crowd]], "authors array<string>")
+        got = {tuple(r) for r in names.variant_pairs(df).collect()}
+        assert ("Bob Kortelnud", "Robert Kortelund") in got, others
+
+
+def test_near_words_that_are_both_names_are_no_errors(spark):
+    first = ["Wei", "Jun", "Lan", "Hao", "Min", "Qiang", "Tao"]
+    df = spark.createDataFrame([([f"{g} {f}"],) for g in first for f in ("Zhang", "Zheng")] + [(["Tao Zhagn"],)], "authors array<string>")
+    assert {tuple(r) for r in names.variant_pairs(df).collect()} == {("Tao Zhagn", "Tao Zhang")}

@@ -1,9 +1,11 @@
 """Problem 5: the most similar vectors of every vector, by randomly rotated one-bit codes.
 
-Vectors are put into cells of a coarse partition (each into its nearest cell; queries look into several cells). Within a cell the
-residual to the cell's centre is rotated at random and kept as one bit a dimension with two correction scalars. From the bits
-alone the inner product of a query with each member is estimated, with an error bound; only members whose bound reaches the
-query's k-th best estimate are compared with the full vectors.
+Vectors are put into cells of a coarse partition, whose number grows with the vectors: one level of centres, and beyond what a
+bounded sample can fit, a second level of centres of residuals. The residual of a vector to its cell's centre is rotated at random
+and kept as one bit a dimension, packed, with three scalars; a query's residual is kept as planes of bits. Only these codes are sent
+to the cells. There the inner product of a query with each member is estimated by AND and bit counts, with an error bound, and a
+member is kept if its bound reaches the query's k-th best estimate and the least similarity asked for. Full vectors are joined to
+what is left, each pair once. Equal vectors are searched once.
 """
 
 from __future__ import annotations
@@ -12,23 +14,27 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import stage
+
 DIM = 128
-#: The partition is fitted on at most so many vectors of each model, chosen by a hash of the id.
-FIT_ROWS = 20_000
+#: The cells are fitted on about so many vectors, chosen by a hash of the id; all vectors are indexed.
+FIT_ROWS = 8_000
 #: Members that a cell should have on average; the number of cells follows the number of vectors.
 CELL = 500
-MOST_CELLS = 20_000
+#: Vectors of the sample that a centre needs; more cells are made by a second level.
+PER_CENTRE = 8
 #: Cells that each query looks into.
-PROBES = 3
-#: Members of a cell that one task holds at once; larger cells are split into blocks of this size.
+PROBES = 4
+#: Members, and queries, of a cell that one task holds at once; larger cells are split into blocks of both.
 BLOCK = 4_000
 #: Width of the error bound, in standard deviations.
-EPSILON = 2.5
+EPSILON = 3.0
+#: Bits by which a query's numbers are told apart.
+PLANES = 4
 _SEED = 5
 
 
@@ -39,12 +45,50 @@ def rotation(dim: int, seed: int = _SEED) -> np.ndarray:
     return (q * np.sign(np.diag(r))).astype(np.float32)
 
 
-def codes(units: np.ndarray, rotate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(packed bits, correction) of unit vectors: correction is the inner product of the rotated vector with its code."""
-    turned = units @ rotate
-    bits = turned > 0
-    correction = np.abs(turned).sum(axis=1) / np.sqrt(units.shape[1])
-    return np.packbits(bits, axis=1), correction.astype(np.float32)
+def _pack(bits: np.ndarray) -> np.ndarray:
+    """(rows, words) of 64-bit numbers from (rows, dim) of bits."""
+    packed = np.packbits(bits, axis=-1)
+    short = -packed.shape[-1] % 8
+    if short:
+        packed = np.concatenate([packed, np.zeros((*packed.shape[:-1], short), np.uint8)], axis=-1)
+    return np.ascontiguousarray(packed).view(np.uint64)
+
+
+def codes(residuals: np.ndarray, rotate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(packed bits, length, correction) of residuals; the correction is the inner product of the rotated direction with its code."""
+    norm = np.linalg.norm(residuals, axis=1)
+    turned = (residuals / np.maximum(norm, 1e-12)[:, None]) @ rotate
+    correction = np.maximum(np.abs(turned).sum(axis=1) / np.sqrt(residuals.shape[1]), 1e-6)
+    return _pack(turned > 0), norm.astype(np.float32), correction.astype(np.float32)
+
+
+def query_planes(residuals: np.ndarray, rotate: np.ndarray, planes: int = PLANES) -> tuple[np.ndarray, np.ndarray]:
+    """(planes of packed bits (rows, planes, words), scalars (rows, 4): smallest number, step, sum, length) of query residuals."""
+    turned = residuals @ rotate
+    low = turned.min(axis=1)
+    step = np.maximum((turned.max(axis=1) - low) / (2**planes - 1), 1e-12)
+    level = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+    bits = np.stack([_pack((level >> j) & 1) for j in range(planes)], axis=1)
+    return bits, np.stack([low, step, turned.sum(axis=1), np.linalg.norm(residuals, axis=1)], axis=1).astype(np.float32)
+
+
+def estimates(bits: np.ndarray, norm: np.ndarray, correction: np.ndarray, planes: np.ndarray, scalars: np.ndarray, dim: int, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray]:
+    """(estimate, error bound), each (queries, members), of the inner products of residuals, from codes alone.
+
+    With u a member's direction, o its code and q a rotated query residual, <u, q> is about <o, q> / <o, u>, with an error of at
+    most epsilon * sqrt((1 - <o, u>^2) / <o, u>^2) * |q| / sqrt(dim - 1) but for rare cases, and that of the query's steps."""
+    low, step, total, length = (scalars[:, k : k + 1] for k in range(4))
+    count = np.zeros((len(planes), len(bits)), np.int32)
+    for j in range(planes.shape[1]):
+        part = np.zeros_like(count, dtype=np.uint16)
+        for w in range(bits.shape[1]):
+            part += np.bitwise_count(planes[:, j, w, None] & bits[None, :, w])
+        count += part.astype(np.int32) << j
+    ones = np.bitwise_count(bits).sum(axis=1).astype(np.float32)
+    product = (2 * (low * ones[None, :] + step * count) - total) / np.sqrt(dim)
+    scale = (norm / correction)[None, :]
+    variance = (length**2) * ((1 - np.minimum(correction, 1) ** 2) / (dim - 1))[None, :] + step**2 / 6
+    return scale * product, epsilon * scale * np.sqrt(variance)
 
 
 def usable(vector, dim: int = DIM):
@@ -53,16 +97,17 @@ def usable(vector, dim: int = DIM):
     return F.coalesce((F.size(vector) == dim) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _centres(vectors: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
-    """Spherical k-means of unit vectors."""
+def _centres(vectors: np.ndarray, cells: int, rounds: int = 8, unit: bool = True) -> np.ndarray:
+    """k-means; of unit vectors with centres of length one."""
     rng = np.random.default_rng(_SEED)
     centres = vectors[rng.permutation(len(vectors))[:cells]].copy()
     for _ in range(rounds):
-        near = np.concatenate([(vectors[i : i + 4096] @ centres.T).argmax(axis=1) for i in range(0, len(vectors), 4096)])
+        half = (centres**2).sum(axis=1) / 2
+        near = np.concatenate([(vectors[i : i + 4096] @ centres.T - half).argmax(axis=1) for i in range(0, len(vectors), 4096)])
         sums = np.zeros_like(centres)
         np.add.at(sums, near, vectors)
-        norm = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(norm > 0, sums / np.maximum(norm, 1e-12), centres)
+        size = np.linalg.norm(sums, axis=1) if unit else np.bincount(near, minlength=cells)
+        centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1e-12)[:, None], centres)
     return centres.astype(np.float32)
 
 
@@ -73,148 +118,218 @@ def _unit(batch: pa.RecordBatch, dim: int) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def fit_cells(vectors: DataFrame, dim: int = DIM, cell: int = CELL, fit_rows: int = FIT_ROWS) -> dict[str, np.ndarray]:
-    """Centres of the cells of each model, fitted on at most ``fit_rows`` vectors of it."""
-    counts = {r["model"]: r["n"] for r in vectors.groupBy("model").agg(F.count("*").alias("n")).collect()}
-    out = {}
-    for model, n in counts.items():
-        share = min(1.0, fit_rows / n)
-        some = vectors.where(F.col("model") == model).where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("vector").limit(2 * fit_rows)
-        rows = some.toArrow()
-        x = np.concatenate([_unit(b, dim) for b in rows.to_batches()]) if rows.num_rows else np.zeros((0, dim), np.float32)
-        if not len(x):
-            x = np.eye(1, dim, dtype=np.float32)
-        cells = int(min(MOST_CELLS, max(1, round(n / cell)), max(1, len(x) // 8)))
-        out[model] = _centres(x, cells)
-    return out
+class Cells:
+    """A coarse partition: centres, and centres of residuals for a second level (one zero vector if there is none)."""
 
+    def __init__(self, first: np.ndarray, second: np.ndarray):
+        self.first, self.second = first, second
+        self.half = ((first**2).sum(axis=1)[:, None] + (second**2).sum(axis=1)[None, :]) / 2 + first @ second.T
 
-def _assign(centres: dict[str, np.ndarray], dim: int, probes: int):
-    """Rows for the cells: each vector as member of its nearest cell and as query of its ``probes`` nearest ones."""
+    def nearest(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """(rows, probes) of the nearest cells, the nearest first; fewer if there are fewer."""
+        out = []
+        wide = min(len(self.first), 2 * probes if len(self.second) > 1 else probes)
+        most = min(probes, wide * len(self.second))
+        for s in range(0, len(x), 256):
+            part = x[s : s + 256]
+            near = part @ self.first.T
+            top = np.argpartition(-(near - self.half[:, 0]), wide - 1, axis=1)[:, :wide]
+            score = np.take_along_axis(near, top, 1)[:, :, None] + (part @ self.second.T)[:, None, :] - self.half[top]
+            flat = score.reshape(len(part), -1)
+            best = np.argsort(-flat, axis=1, kind="stable")[:, :most]
+            out.append(np.take_along_axis(top, best // len(self.second), 1) * len(self.second) + best % len(self.second))
+        return np.concatenate(out)
+
+    def centre(self, cell: np.ndarray) -> np.ndarray:
+        return self.first[cell // len(self.second)] + self.second[cell % len(self.second)]
+
+
+def fit_cells(vectors: DataFrame, dim: int = DIM, cell: int = CELL, fit_rows: int = FIT_ROWS) -> Cells | None:
+    """Cells for ``vectors``, fitted on about ``fit_rows`` of them, of all models together; None if there are none."""
+    n = vectors.count()
+    if not n:
+        return None
+    some = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(min(1.0, fit_rows / n) * 1_000_000)).select("vector").limit(2 * fit_rows).toArrow()
+    x = np.concatenate([_unit(b, dim) for b in some.to_batches()]) if some.num_rows else np.eye(1, dim, dtype=np.float32)
+    wanted = max(1, round(n / cell))
+    first = _centres(x, int(min(wanted, max(1, len(x) // PER_CENTRE))))
+    more = int(min(-(-wanted // len(first)), max(1, len(x) // PER_CENTRE)))
+    if more == 1:
+        return Cells(first, np.zeros((1, dim), np.float32))
+    return Cells(first, _centres(x - first[(x @ first.T).argmax(axis=1)], more, unit=False))
+
+
+_CODES = "model string, cell long, member boolean, id long, bits binary, s0 float, s1 float, s2 float, s3 float, s4 float"
+
+
+def _encode(cells: Cells, dim: int, probes: int):
+    """Rows for the cells: each vector as member of its nearest cell and as query of its ``probes`` nearest ones, as codes."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rotate = rotation(dim)
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _unit(batch, dim)
-            models = np.array(batch.column("model").to_pylist(), dtype=object)
-            ids = np.asarray(batch.column("id"))
-            for model in set(models.tolist()):
-                at = np.nonzero(models == model)[0]
-                c = centres[model]
-                near = x[at] @ c.T
-                k = min(probes, near.shape[1])
-                top = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < near.shape[1] else np.tile(np.arange(k), (len(at), 1))
-                first = near.argmax(axis=1)
-                rows = np.repeat(at, k)
-                cell = top.ravel()
-                member = (cell == np.repeat(first, k)).astype(np.int8)
-                flat = pa.array(x[rows].ravel())
-                vectors = pa.FixedSizeListArray.from_arrays(flat, dim).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([model] * len(rows)), pa.array(cell.astype(np.int32)), pa.array(member), pa.array(ids[rows]), vectors], names=["model", "cell", "member", "id", "vector"]
-                )
+            model, ids = batch.column("model"), batch.column("id")
+            near = cells.nearest(x, probes)
+            for k in range(-1, near.shape[1]):
+                cell = near[:, max(k, 0)]
+                centre = cells.centre(cell)
+                if k < 0:
+                    bits, norm, correction = codes(x - centre, rotate)
+                    scalars = [norm, correction, (x * centre).sum(axis=1)]
+                else:
+                    bits, four = query_planes(x - centre, rotate)
+                    scalars = [*four.T, ((x - centre) * centre).sum(axis=1)]
+                scalars += [np.zeros(len(x), np.float32)] * (5 - len(scalars))
+                raw = np.ascontiguousarray(bits).reshape(len(x), -1)
+                held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(raw.shape[1] * 8), len(x), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([model, pa.array(cell.astype(np.int64)), pa.array(np.full(len(x), k < 0)), ids, held, *(pa.array(np.ascontiguousarray(s, dtype=np.float32)) for s in scalars)], names=["model", "cell", "member", "id", "bits", "s0", "s1", "s2", "s3", "s4"])
 
     return of
 
 
-def search_cell(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, qids: np.ndarray, k: int, rotate: np.ndarray, least: float = -2.0, epsilon: float = EPSILON) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query ids, member ids, cosine) of the k most similar members of each query, itself left out; only members whose
-    cosine may reach ``least`` are compared in full, so only those at least so similar are sure to be found.
-
-    Unit residuals to the members' mean are coded with one bit a dimension. With u the member's residual direction, o its
-    code and q the rotated query residual, <u, q> is about <o, q> / <o, u>, with an error of at most
-    epsilon * sqrt((1 - <o, u>^2) / <o, u>^2) * |q| / sqrt(dim - 1) but for rare cases."""
-    dim = x.shape[1]
-    centre = x.mean(axis=0)
-    residual = x - centre
-    norm = np.linalg.norm(residual, axis=1)
-    unit = residual / np.maximum(norm, 1e-12)[:, None]
-    packed, correction = codes(unit, rotate)
-    signs = (np.unpackbits(packed, axis=1, count=dim).astype(np.float32) * 2 - 1) / np.sqrt(dim).astype(np.float32)
-    correction = np.maximum(correction, 1e-6)
-    spread = epsilon * np.sqrt(np.maximum(0, 1 - correction**2)) / correction / np.sqrt(dim - 1)
-    to_centre = x @ centre
-    for start in range(0, len(queries), 512):
-        q, qi = queries[start : start + 512], qids[start : start + 512]
-        r = q - centre
-        turned = r @ rotate
-        # <x, q> = <x, centre> + <residual, q - centre> + <residual, centre> is kept as <x, centre> + <residual, r>
-        estimate = to_centre[None, :] + norm[None, :] * (turned @ signs.T) / correction[None, :]
-        bound = norm[None, :] * spread[None, :] * np.linalg.norm(r, axis=1)[:, None]
-        own = ids[None, :] == qi[:, None]
-        lower = np.where(own, -np.inf, estimate - bound)
+def shortlist(ids: np.ndarray, bits: np.ndarray, member: np.ndarray, qids: np.ndarray, planes: np.ndarray, query: np.ndarray, k: int, dim: int, least: float, epsilon: float = EPSILON) -> Iterator[tuple[np.ndarray, ...]]:
+    """(query ids, member ids, lower bound, upper bound) of members whose upper bound reaches ``least`` and the k-th best lower bound
+    of the query in this block. ``member``: (members, 3) length, correction, <vector, centre>; ``query``: (queries, 5) the four
+    scalars of ``query_planes`` and <residual, centre>."""
+    for start in range(0, len(qids), 256):
+        part = slice(start, start + 256)
+        product, bound = estimates(bits, member[:, 0], member[:, 1], planes[part], query[part, :4], dim, epsilon)
+        # <x, q> = <x, centre> + <centre, q - centre> + <x - centre, q - centre>
+        product += member[None, :, 2] + query[part, 4:5]
+        own = ids[None, :] == qids[part, None]
+        lower = np.where(own, -np.inf, product - bound)
         kk = min(k, lower.shape[1])
         worst = -np.partition(-lower, kk - 1, axis=1)[:, kk - 1]
-        keep = (estimate + bound >= np.maximum(worst, least)[:, None]) & ~own
-        i, j = np.nonzero(keep)
-        cosine = np.einsum("ij,ij->i", q[i].astype(np.float64), x[j].astype(np.float64))
-        order = np.lexsort((ids[j], -cosine, i))
-        i, j, cosine = i[order], j[order], cosine[order]
-        rank = np.arange(len(i)) - np.concatenate([[0], np.cumsum(np.bincount(i, minlength=len(q)))[:-1]])[i]
+        i, j = np.nonzero((product + bound >= np.maximum(worst, least)[:, None]) & ~own)
+        yield qids[part][i], ids[j], lower[i, j].astype(np.float32), (product + bound)[i, j].astype(np.float32)
+
+
+def search_cell(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, qids: np.ndarray, k: int, rotate: np.ndarray, least: float = -2.0, epsilon: float = EPSILON) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query ids, member ids, cosine) of the k most similar members of each query, itself left out, by codes and then by the full
+    vectors of the shortlist: the whole search in one block (``ids`` ascending)."""
+    centre = x.mean(axis=0)
+    bits, norm, correction = codes(x - centre, rotate)
+    planes, four = query_planes(queries - centre, rotate)
+    member = np.stack([norm, correction, x @ centre], axis=1)
+    query = np.concatenate([four, ((queries - centre) @ centre)[:, None]], axis=1)
+    at = {q: n for n, q in enumerate(qids.tolist())}
+    for a, b, _, _ in shortlist(ids, bits, member, qids, planes, query, k, x.shape[1], least, epsilon):
+        i, j = np.array([at[q] for q in a.tolist()], dtype=np.int64), np.searchsorted(ids, b)
+        cosine = np.einsum("ij,ij->i", queries[i].astype(np.float64), x[j].astype(np.float64))
+        order = np.lexsort((b, -cosine, i))
+        i, b, cosine = i[order], b[order], cosine[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
         top = rank < k
-        yield qi[i[top]], ids[j[top]], cosine[top]
+        yield qids[i[top]], b[top], cosine[top]
 
 
-_FOUND = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("cosine", pa.float64())])
+_FOUND = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("low", pa.float32()), ("high", pa.float32())])
 
 
 def _search(k: int, dim: int, least: float):
+    words = -(-dim // 64)
+
     def of(table: pa.Table) -> pa.Table:
-        x = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        member = table.column("member").to_numpy()
         ids = table.column("id").to_numpy()
-        member = table.column("member").to_numpy() == 1
-        if not member.any():
+        scalars = np.stack([table.column(f"s{n}").to_numpy() for n in range(5)], axis=1)
+        raw = table.column("bits").to_pylist()
+        m, q = np.nonzero(member)[0], np.nonzero(~member)[0]
+        if not len(m) or not len(q):
             return _FOUND.empty_table()
-        out = []
-        for a, b, c in search_cell(ids[member], x[member], x, ids, k, rotation(dim), least):
-            ok = c >= least
-            out.append(pa.table([a[ok], b[ok], c[ok]], schema=_FOUND))
+        bits = np.frombuffer(b"".join(raw[i] for i in m), np.uint64).reshape(len(m), words)
+        planes = np.frombuffer(b"".join(raw[i] for i in q), np.uint64).reshape(len(q), -1, words)
+        out = [pa.table(list(x), schema=_FOUND) for x in shortlist(ids[m], bits, scalars[m, :3], ids[q], planes, scalars[q], k, dim, least)]
         return pa.concat_tables(out)
 
     return of
 
 
+def _cosines(dim: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+            x, y = flat("va"), flat("vb")
+            x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
+            cosine = np.einsum("ij,ij->i", x, y) / np.linalg.norm(x, axis=1) / np.linalg.norm(y, axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(cosine)], names=["a", "b", "cosine"])
+
+    return of
+
+
+def index(vectors: DataFrame, dim: int = DIM, probes: int = PROBES, cell: int = CELL) -> DataFrame | None:
+    """The codes of all vectors by cell, as members and as queries, written once; None if there are none. The cells (at most
+    twice ``FIT_ROWS`` / ``PER_CENTRE`` centres) are broadcast."""
+    cells = fit_cells(vectors, dim, cell)
+    if cells is None:
+        return None
+    shared = vectors.sparkSession.sparkContext.broadcast((cells.first, cells.second))
+
+    def encode(batches):
+        return _encode(Cells(*shared.value), dim, probes)(batches)
+
+    return stage(vectors.select("id", "model", "vector").mapInArrow(encode, _CODES), "codes")
+
+
 def neighbours(vectors: DataFrame, k: int = 5, dim: int = DIM, probes: int = PROBES, least: float = -2.0, cell: int = CELL, block: int = BLOCK) -> DataFrame:
     """(id, other, cosine): the k most similar other vectors of the same model of every vector, ties to the smaller id.
 
     ``vectors`` has id (bigint, unique), model and vector (usable, length ``dim``). Pairs below ``least`` are left out (after
     the k best are chosen). The result is approximate: a neighbour is missed if its cell is not among the query's."""
     held = vectors.select("id", F.coalesce("model", F.lit("")).alias("model"), "vector")
-    centres = fit_cells(held, dim, cell)
-    context = held.sparkSession.sparkContext
-    if not centres:
+    rows = index(held, dim, probes, cell)
+    if rows is None:
         return held.sparkSession.createDataFrame([], "id long, other long, cosine double")
-    shared = context.broadcast(centres)
-
-    def assign(batches):
-        return _assign(shared.value, dim, probes)(batches)
-
-    def members(batches):
-        for batch in _assign(shared.value, dim, 1)(batches):
-            yield batch.select(["model", "cell"])
-
-    rows = held.mapInArrow(assign, "model string, cell int, member byte, id long, vector array<float>")
-    # a crowded cell is cut into blocks of members; its queries are sent to each block. There are at most MOST_CELLS cells a model
-    crowd = held.mapInArrow(members, "model string, cell int").groupBy("model", "cell").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")).where("blocks > 1")
-    rows = rows.join(F.broadcast(crowd), ["model", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("member", F.when(own == F.col("block"), F.col("member")).otherwise(0).cast("byte"))
-    rows = rows.select("model", "cell", "block", "id", "vector", "member")
-    found = rows.groupBy("model", "cell", "block").applyInArrow(_search(k, dim, least), "id long, other long, cosine double")
-    best = found.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cosine")).alias("minus"), "other"))), 1, k).alias("top"))
-    return best.select("id", F.explode("top").alias("t")).select("id", F.col("t.other").alias("other"), (-F.col("t.minus")).alias("cosine"))
+    # a crowded cell is cut into blocks of members and of queries, and every block meets every other
+    crowd = stage(rows.groupBy("model", "cell").agg(*(F.ceil(F.count_if(c) / F.lit(block)).cast("int").alias(n) for n, c in (("ms", F.col("member")), ("qs", ~F.col("member"))))).where("ms > 1 or qs > 1"), "crowd")
+    keys = ["model", "cell"]
+    if not crowd.isEmpty():
+        wide = rows.join(crowd, keys, "left").withColumn("ms", F.greatest(F.coalesce("ms", F.lit(1)), F.lit(1))).withColumn("qs", F.greatest(F.coalesce("qs", F.lit(1)), F.lit(1)))
+        own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+        every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        wide = wide.withColumn("mb", F.explode(F.when(F.col("member"), F.array(own("ms"))).otherwise(every("ms"))))
+        rows = wide.withColumn("qb", F.explode(F.when(F.col("member"), every("qs")).otherwise(F.array(own("qs"))))).drop("ms", "qs")
+        keys = ["model", "cell", "mb", "qb"]
+    found = rows.groupBy(*keys).applyInArrow(_search(k, dim, least), "id long, other long, low float, high float")
+    ordered = Window.partitionBy("id").orderBy(F.desc("low")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kept = found.withColumn("kth", F.nth_value("low", k).over(ordered)).where("kth is null or high >= kth")
+    pairs = kept.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    full = lambda end: held.select(F.col("id").alias(end), F.col("vector").alias("v" + end))
+    exact = pairs.join(full("a"), "a").join(full("b"), "b").mapInArrow(_cosines(dim), "a long, b long, cosine double").where(F.col("cosine") >= least)
+    exact = stage(exact, "cosines")
+    both = exact.select(F.col("a").alias("id"), F.col("b").alias("other"), "cosine").unionAll(exact.select(F.col("b").alias("id"), F.col("a").alias("other"), "cosine"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "other"))
+    return both.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
 
 def close_pairs(papers: DataFrame, k: int = 5, least: float = 0.80, uid: str = "paper_uid", vector: str = "embedding", model: str = "embedding_model") -> DataFrame:
-    """p5: (uid_a, uid_b, cosine), smaller uid first: rows of one model with cosine of at least ``least``, at least one of which
-    is among the k most similar rows of the other. Rows with unusable vectors or a null uid take no part; a null model is a
-    model of its own."""
+    """p5: (uid_a, uid_b), smaller uid first: rows of one model with cosine of at least ``least``, at least one of which is among
+    the k most similar rows of the other. Rows with unusable vectors or a null uid take no part; a null model is a model of its own.
+
+    Equal vectors of a model are searched once: each of them has its copies with the smallest uids as its nearest rows, and then
+    the nearest other vectors' rows."""
     rows = papers.where(usable(F.col(vector)) & F.col(uid).isNotNull())
-    rows = rows.select(F.col(uid).alias("uid"), F.col(model).alias("model"), F.col(vector).cast("array<float>").alias("vector"))
-    numbered = rows.withColumn("id", F.xxhash64("uid"))
-    names = numbered.select("id", "uid").distinct()
-    found = neighbours(numbered, k, least=least - 1e-4)
-    pairs = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "cosine").where(F.col("cosine") >= least).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
-    named = pairs.join(names.select(F.col("id").alias("a"), F.col("uid").alias("ua")), "a").join(names.select(F.col("id").alias("b"), F.col("uid").alias("ub")), "b")
-    return named.select(F.least("ua", "ub").alias("uid_a"), F.greatest("ua", "ub").alias("uid_b"), "cosine")
+    rows = rows.select(F.col(uid).alias("uid"), F.coalesce(F.col(model), F.lit("")).alias("model"), F.col(vector).cast("array<float>").alias("vector"))
+    rows = rows.withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64(F.lit(1), "vector"))
+    same = ["model", "h1", "h2"]
+    copied = rows.groupBy(*same).agg(F.count("*").alias("n"), F.min("uid").alias("rep")).where("n > 1")
+    copies = stage(rows.select("uid", *same).join(copied, same).select("uid", "rep", "n"), "copies")
+    single = rows.join(copies.where("uid <> rep").select("uid"), "uid", "left_anti").withColumn("id", F.monotonically_increasing_id()).select("id", "uid", "model", "vector")
+    single = stage(single, "vectors")
+    found = neighbours(single, k, least=least)
+    name = lambda key, to: single.select(F.col("id").alias(key), F.col("uid").alias(to))
+    found = found.join(name("id", "one"), "id").join(name("other", "two"), "other").select("one", "two", "cosine")
+    first = copies.withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("uid"))).where(F.col("at") <= k + 1)
+    # the rows of the vectors found, in order, as far as a row's own copies leave room
+    sizes = copies.where("uid = rep").select(F.col("rep").alias("one"), "n")
+    wide = found.join(first.select(F.col("rep").alias("two"), F.col("uid").alias("row")), "two", "left").withColumn("row", F.coalesce("row", "two")).join(sizes, "one", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("one").orderBy(F.desc("cosine"), "row"))
+    wide = wide.where(F.col("n") <= k).withColumn("place", place).where(F.col("place") <= k + 1 - F.col("n"))
+    own = copies.where(F.col("n") <= k).select(F.col("rep").alias("one"), F.col("uid").alias("mine"))
+    others = wide.join(own, "one", "left").select(F.coalesce("mine", "one").alias("x"), F.col("row").alias("y"))
+    among = copies.select("rep", F.col("uid").alias("x")).join(first.select("rep", F.col("uid").alias("y"), "at"), "rep").where("x <> y")
+    among = among.withColumn("place", F.row_number().over(Window.partitionBy("x").orderBy("at"))).where(F.col("place") <= k).select("x", "y")
+    return others.unionAll(among).select(F.least("x", "y").alias("uid_a"), F.greatest("x", "y").alias("uid_b")).where("uid_a < uid_b").distinct()

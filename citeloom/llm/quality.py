@@ -3,15 +3,16 @@
 Each line (long ones in sentence-like parts) is described by binned statistics. Simple rules label the lines of a bounded sample
 where they are sure; from their counts, gathered by Spark, come the emission and transition tables of a model with the states
 prose, list, table and junk. Every document's lines are then decoded with it, and the shares of its characters in each state
-are its label shares.
+are its label shares. Characters are counted and lines decoded with numpy for many documents at once; words are looked up in a table
+of words met before.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,45 +50,76 @@ _COLUMNS = re.compile(r"\||\t|;|\s{3,}|,(?=\S)|\s[/·•>]\s")
 _REFERENCE = re.compile(r"\b(?:1[89]|20)\d\d\b.{0,80}\d+\s*[-–]\s*\d+|\(\d{4}\)\.|\bpp?\.\s*\d|\bdoi\b|\bvol\.|et al\.,|\bIn Proc", re.I)
 _DOTS = re.compile(r"(?:\.\s?){4,}|…{2,}|…\s*…")
 _END = re.compile(r"[.!?。！？:][\"'”’»)\]]*$")
+_ENDS = frozenset(".!?。！？:")
 _INNER_END = re.compile(r"[^\W\d_]{3}[.?!] [^\W\d_]")
+_LINES = re.compile(r"\r\n|[\n\r\u2028\u2029\x0b\x0c]")
 _DIGIT = re.compile(r"\d")
 _SIGN = re.compile(r"[^\w\s.,'’()\"?!-]|_")
 _SYMBOL = re.compile(r"[^\w\s]|_")
 _VOWEL = re.compile(r"[aeiouyàâäáãåæèéêëìíîïòóôöõøùúûüýœ]", re.I)
-_SENTENCE = re.compile(r"(?<=[^\W\d_]{3}[.!?])\s+(?=[\"“¿¡(]?[^\W\d_])|(?<=[。！？])")
+_STOP = re.compile(r"[.!?]\s+(?=[\"“¿¡(]?[^\W\d_])|[。！？]")
+_CELLS = re.compile(r"[|\t;,/·•>]|\s{3}")
+
+
+def _letters(text: str) -> bool:
+    return len(text) == 3 and text.isalnum() and not any(map(str.isdecimal, text))
+
+
+def sentences(line: str) -> list[str]:
+    """A line cut after a full stop between a word and a letter, without the blanks there, and after Chinese ones."""
+    out, at = [], 0
+    for hit in _STOP.finditer(line):
+        k = hit.start()
+        if line[k] in "。！？":
+            out.append(line[at : k + 1])
+        elif _letters(line[max(0, k - 3) : k]):
+            out.append(line[at : k + 1])
+        else:
+            continue
+        at = hit.end()
+    out.append(line[at:])
+    return out
+
+
+def _in_columns(line: str) -> bool:
+    return _CELLS.search(line) is not None and len(_COLUMNS.findall(line)) > 1
 
 
 def _goes_on(before: str, line: str) -> bool:
-    """Whether a line is the rest of a sentence that was wrapped."""
-    if _BULLET.match(line) or len(_COLUMNS.findall(before)) > 1 or len(_COLUMNS.findall(line)) > 1:
+    """Whether a line is the rest of a sentence that was wrapped (neither is in columns)."""
+    if _BULLET.match(line):
         return False
     first = line.lstrip()[:1]
     last = before.rstrip()[-1:]
     if last in "-\u00ad" and first.isalpha() and len(before.strip()) > 20:
         return True
-    words = _WORD.findall(before)
-    if first.isalpha() and (last.isalnum() and words and len(words) > 2 and (fold(words[-1]) in BINDING or fold(words[-1]) in SMALL or _INNER_END.search(before))):
-        return True
+    if first.isalpha() and last.isalnum():
+        words = _WORD.findall(before)
+        if len(words) > 2 and (_known[words[-1]] & 0x10001 or _INNER_END.search(before)):
+            return True
     return first.islower() and (last.isalnum() or last in ",)'’\"”") and len(before.strip()) > 15
 
 
 def units(text: str) -> list[str]:
     """The non-blank lines of a text, wrapped ones put together; long ones in sentence-like parts."""
-    joined: list[str] = []
-    before = ""
-    for line in re.split(r"\r\n|[\n\r\u2028\u2029\x0b\x0c]", text):
-        if joined and before.strip() and line.strip() and _goes_on(before, line):
-            joined[-1] += " " + line
-        elif line.strip():
-            joined.append(line)
+    joined: list[list[str]] = []
+    before, columns = "", False
+    for line in _LINES.split(text):
+        if line.strip():
+            here = _in_columns(line)
+            if joined and not columns and not here and before.strip() and _goes_on(before, line):
+                joined[-1].append(line)
+            else:
+                joined.append([line])
+            columns = here
         before = line
     out = []
-    for line in joined:
+    for line in map(" ".join, joined):
         if len(line) <= 2 * PART:
             out.append(line)
             continue
         part = ""
-        for piece in _SENTENCE.split(line):
+        for piece in sentences(line):
             part = f"{part} {piece}" if part else piece
             if len(part) >= PART:
                 out.append(part)
@@ -97,49 +129,124 @@ def units(text: str) -> list[str]:
     return out
 
 
-def _bin(value: float, *edges: float) -> int:
-    return sum(value > e for e in edges)
-
-
-def line_statistics(line: str, repeated: bool) -> tuple[int, ...]:
-    """Binned statistics of a line."""
-    plain = _HIDDEN.sub("", _TAG.sub(" ", line)).replace("\xa0", " ")
-    words = _WORD.findall(plain)
-    low = [fold(w) for w in words]
-    n = len(words)
-    size = max(1, len(plain.strip()))
-    han = len(_HAN.findall(plain))
-    if han * 3 > size:
-        binding = len(_HAN_BINDING.findall(plain)) / max(1, han) * 2.2
-        small, n = 0.15, max(n, han // 2)
-        capital = odd = 0.0
-    else:
-        binding = sum(w in BINDING for w in low) / max(1, n)
-        small = sum(w in SMALL for w in low) / max(1, n)
-        upper = plain.isupper()
-        capital = 0.0 if upper else sum(w[0].isupper() for w in words[1:]) / max(1, n - 1)
-        odd = sum(len(w) > 3 and not _VOWEL.search(w) for w in words) / max(1, n)
-    digits = len(_DIGIT.findall(plain)) / size
-    symbols = len(_SIGN.findall(plain)) / size
-    end = 0 if _END.search(plain.strip()) else 1 if plain.rstrip().endswith((",", ";")) else 2
-    stripped = plain.lstrip()
-    begin = 0 if _BULLET.match(plain) else 1 if stripped[:1].islower() else 2 if stripped[:1].isalpha() else 3
-    return (
-        _bin(binding, 0, 0.07, 0.14),
-        _bin(small, 0, 0.12, 0.3),
-        _bin(digits, 0.01, 0.06, 0.2),
-        _bin(symbols, 0.005, 0.03, 0.1, 0.25),
-        end,
-        _bin(n, 2, 5, 9, 16),
-        begin,
-        _bin(capital, 0.05, 0.25, 0.6),
-        _bin(odd, 0.1, 0.4),
-        int(bool(_FORMAL.search(line))),
-        _bin(len(_COLUMNS.findall(plain)) / max(1, n), 0.02, 0.15, 0.4),
-        int(bool(_REFERENCE.search(plain))),
-        int(bool(_DOTS.search(plain))),
-        int(repeated),
-    )
+# classes of characters, as bits of a table over the code points below 65,536
+_CLASSES = {"digit": _DIGIT, "sign": _SIGN, "han": _HAN, "symbol": _SYMBOL, "space": re.compile(r"\s"), "formal": re.compile(r"[{}\\=@:<&]"), "cell": re.compile(r"[|;]"), "comma": re.compile(","), "slash": re.compile(r"[/·•>]"), "tab": re.compile("\t")}
+_BIT = {name: np.uint16(1 << k) for k, name in enumerate(_CLASSES)}
+
+
+@lru_cache(maxsize=1)
+def _table() -> np.ndarray:
+    out = np.zeros(65_536, dtype=np.uint16)
+    for name, pattern in _CLASSES.items():
+        for c in range(65_536):
+            if not 0xD800 <= c < 0xE000 and pattern.match(chr(c)):
+                out[c] |= _BIT[name]
+    return out
+
+
+# what is counted of a word, 16 bits each: binding, small, begins with a capital, long without a vowel
+class _Words(dict):
+    MOST = 200_000
+
+    def __missing__(self, word: str) -> int:
+        low = fold(word)
+        if len(self) >= self.MOST:
+            self.clear()
+        self[word] = out = (low in BINDING) | (low in SMALL) << 16 | word[0].isupper() << 32 | (len(word) > 3 and not _VOWEL.search(word)) << 48
+        return out
+
+
+_known = _Words()
+
+
+def _over(values: np.ndarray, *edges: float) -> np.ndarray:
+    return sum((values > e).astype(np.int8) for e in edges)
+
+
+def _plain(line: str) -> str:
+    if "<" in line:
+        line = _TAG.sub(" ", line)
+    return line if line.isascii() else _HIDDEN.sub("", line).replace("\xa0", " ")
+
+
+def _begin(stripped: str) -> int:
+    first, second = stripped[:1], stripped[1:2]
+    if (first in "-–—•*·▪◦‣o+([" or first.isdigit() or second in (".", ")")) and _BULLET.match(stripped):
+        return 0
+    return 1 if first.islower() else 2 if first.isalpha() else 3
+
+
+def _refers(plain: str, digits: int) -> bool:
+    if not digits:
+        low = plain.lower()
+        if "doi" not in low and "vol." not in low and "et al.," not in low and "in proc" not in low:
+            return False
+    return bool(_REFERENCE.search(plain))
+
+
+def describe(texts: list[str]) -> dict[str, np.ndarray]:
+    """Of all lines (``units``) of the texts: document number, visible size, words, letters of words, binding or small words, and
+    the binned statistics ``stats`` (lines, 14)."""
+    doc, lines, again = [], [], []
+    for n, text in enumerate(texts):
+        own = units(text)
+        seen = Counter(x.strip() for x in own)
+        lines += own
+        doc += [n] * len(own)
+        again += [seen[x.strip()] > 2 for x in own]
+    plain = [_plain(x) for x in lines]
+    found = [_WORD.findall(x) for x in plain]
+    packed = np.array([sum(map(_known.__getitem__, ws)) for ws in found], dtype=np.uint64)
+    field = lambda k: (packed >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.float64)
+    words = np.array([len(ws) for ws in found], dtype=np.float64)
+    letters = np.array([sum(map(len, ws)) for ws in found], dtype=np.int64)
+    # characters of all lines, one after the other, each line closed by a blank
+    flat = np.frombuffer((" ".join(plain) + " ").encode("utf-32-le", "replace"), dtype=np.uint32)
+    kinds = _table()[np.minimum(flat, 65_535)]
+    length = np.array([len(x) + 1 for x in plain], dtype=np.int64)
+    start = np.cumsum(length) - length
+    count = lambda hits: np.add.reduceat(hits, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
+    of = lambda name: (kinds & _BIT[name]) != 0
+    space = of("space")
+    inner = space.copy()
+    inner[start + length - 1] = False  # the closing blank is none of the line's own
+    at_end = np.zeros(len(flat), dtype=bool)
+    at_end[start + length - 1] = True
+    after, before = np.append(inner[1:], False), np.append(False, inner[:-1])
+    digits, signs, han, tabs = count(of("digit")), count(of("sign")), count(of("han")), count(of("tab"))
+    slashes = count(of("slash") & after & before)
+    columns = count(of("cell")) + count(of("comma") & ~after & ~np.append(at_end[1:], False)) + slashes
+    mixed = (count(inner & after & before) > 0) | (slashes > 1) | (tabs > 0)
+    formal = count(of("formal")) > 0
+    size = np.array([max(1, len(x.strip())) for x in plain], dtype=np.float64)
+    for k in np.nonzero(mixed)[0]:
+        columns[k] = len(_COLUMNS.findall(plain[k]))
+    n = np.maximum(1, words)
+    binding, small, capital, odd = field(0) / n, field(1) / n, np.zeros(len(n)), field(3) / n
+    first = np.array([bool(ws) and ws[0][0].isupper() for ws in found], dtype=np.float64)
+    shout = np.array([x.isupper() for x in plain], dtype=bool)
+    capital = np.where(shout, 0.0, (field(2) - first) / np.maximum(1, words - 1))
+    chinese = han * 3 > size
+    for k in np.nonzero(chinese)[0]:
+        binding[k] = len(_HAN_BINDING.findall(plain[k])) / max(1, han[k]) * 2.2
+        small[k], capital[k], odd[k] = 0.15, 0.0, 0.0
+        words[k] = max(words[k], han[k] // 2)
+    n = np.maximum(1, words)
+    bare = [x.strip() for x in plain]
+    end = [0 if x.rstrip("\"'”’»)]")[-1:] in _ENDS and x else 1 if x[-1:] in (",", ";") else 2 for x in bare]
+    stats = np.stack(
+        [
+            _over(binding, 0, 0.07, 0.14), _over(small, 0, 0.12, 0.3), _over(digits / size, 0.01, 0.06, 0.2), _over(signs / size, 0.005, 0.03, 0.1, 0.25), np.array(end, dtype=np.int8), _over(words, 2, 5, 9, 16),
+            np.array([_begin(x.lstrip()) for x in plain], dtype=np.int8), _over(capital, 0.05, 0.25, 0.6), _over(odd, 0.1, 0.4),
+            np.array([bool((f or "<" in x or "Tel." in x) and _FORMAL.search(x)) for f, x in zip(formal, lines)], dtype=np.int8), _over(columns / n, 0.02, 0.15, 0.4),
+            np.array([_refers(x, d) for x, d in zip(plain, digits)], dtype=np.int8), np.array([(".." in x or ". ." in x or "…" in x) and bool(_DOTS.search(x)) for x in plain], dtype=np.int8), np.array(again, dtype=np.int8),
+        ],
+        axis=1,
+    ) if lines else np.zeros((0, len(BINS)), np.int8)
+    return {
+        "doc": np.array(doc, dtype=np.int64), "size": np.array([len("".join(x.split())) for x in lines], dtype=np.int64), "words": np.array([len(ws) for ws in found], dtype=np.int64), "letters": letters,
+        "common": np.array([sum(1 for w in ws if _known[w] & 0x10001) for ws in found], dtype=np.int64), "symbols": count(of("symbol")), "stats": stats,
+    }
 
 
 def sure_state(s: tuple[int, ...]) -> int:
@@ -160,30 +267,42 @@ def sure_state(s: tuple[int, ...]) -> int:
     return -1
 
 
-def _described(text: str) -> tuple[list[str], list[tuple[int, ...]]]:
-    lines = units(text)
-    seen = Counter(x.strip() for x in lines)
-    return lines, [line_statistics(x, seen[x.strip()] > 2) for x in lines]
-
-
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts for the model: of each statistic's bins by sure state, and of sure states that follow each other."""
     for batch in batches:
         counts: Counter = Counter()
-        for text in batch.column("text").to_pylist():
-            before = -1
-            for s in _described(text)[1]:
-                state = sure_state(s)
+        for texts in _portions(batch.column("text").to_pylist()):
+            got = describe(texts)
+            states = [sure_state(tuple(x)) for x in got["stats"].tolist()]
+            before, last = -1, -1
+            for d, state, s in zip(got["doc"].tolist(), states, got["stats"].tolist()):
+                before = before if d == last else -1
                 if state >= 0:
                     for k, b in enumerate(s):
                         counts[(k, state, b)] += 1
                     if before >= 0:
                         counts[(-1, before, state)] += 1
-                before = state
+                before, last = state, d
         rows = list(counts.items())
         yield pa.RecordBatch.from_arrays([pa.array([k[j] for k, _ in rows], pa.int32()) for j in range(3)] + [pa.array([c for _, c in rows], pa.int64())], names=["what", "state", "bin", "n"])
 
 
+#: Characters of the texts that are described at once (a longer text is described alone).
+PORTION = 2_000_000
+
+
+def _portions(texts: list[str]) -> Iterator[list[str]]:
+    out, size = [], 0
+    for t in texts:
+        if out and size + len(t) > PORTION:
+            yield out
+            out, size = [], 0
+        out.append(t)
+        size += len(t)
+    if out:
+        yield out
+
+
 BINS = (4, 4, 4, 5, 3, 5, 4, 4, 3, 2, 4, 2, 2, 2)
 
 
@@ -203,49 +322,55 @@ def fit(documents: DataFrame, most: int = FIT_DOCUMENTS) -> tuple[list[np.ndarra
     return [np.log(e / e.sum(axis=1, keepdims=True)) for e in emission], np.log(transition / transition.sum(axis=1, keepdims=True))
 
 
-def decode(stats: list[tuple[int, ...]], emission: list[np.ndarray], transition: np.ndarray) -> list[int]:
-    """The most likely states of a document's lines."""
-    if not stats:
-        return []
-    s = np.array(stats)
-    score = TEMPER * sum(emission[k][:, s[:, k]] for k in range(s.shape[1])).T
-    best = score[0].copy()
-    back = np.zeros((len(s), len(STATES)), dtype=np.int8)
-    for i in range(1, len(s)):
-        step = best[:, None] + transition
-        back[i] = step.argmax(axis=0)
-        best = step.max(axis=0) + score[i]
-    states = [int(best.argmax())]
-    for i in range(len(s) - 1, 0, -1):
-        states.append(int(back[i][states[-1]]))
-    return states[::-1]
-
-
-def _statistics(text: str, emission, transition) -> tuple:
-    lines, stats = _described(text)
-    states = decode(stats, emission, transition)
-    sizes = [len("".join(x.split())) for x in lines]
-    total = max(1, sum(sizes))
-    words = _WORD.findall(text)
-    visible = max(1, len("".join(text.split())))
-    common = [fold(w) for w in words]
-    return (
-        len(words),
-        sum(map(len, words)) / len(words) if words else 0.0,
-        len(_SYMBOL.findall(text)) / visible,
-        sum(s[4] == 0 for s in stats) / len(stats) if stats else 0.0,
-        sum(w in BINDING or w in SMALL for w in common) / len(words) if words else 0.0,
-        len(lines),
-        *(sum(z for z, st in zip(sizes, states) if st == k) / total for k in range(len(STATES))),
-    )
+def decode(doc: np.ndarray, stats: np.ndarray, emission: list[np.ndarray], transition: np.ndarray) -> np.ndarray:
+    """The most likely states of all lines; ``doc`` (ascending) tells whose lines they are. All documents go forward together, line
+    by line, the longest ones first, so that those with lines left are always the first rows."""
+    if not len(doc):
+        return np.zeros(0, np.int8)
+    score = TEMPER * sum(emission[k].T[stats[:, k]] for k in range(stats.shape[1]))
+    _, begin, length = np.unique(doc, return_index=True, return_counts=True)
+    order = np.argsort(-length, kind="stable")
+    begin, length = begin[order], length[order]
+    back = np.zeros((len(doc), len(STATES)), dtype=np.int8)
+    best = score[begin].copy()
+    left = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")  # documents with so many lines
+    for i in range(1, length[0]):
+        m = left[i]
+        step = best[:m, :, None] + transition
+        at = begin[:m] + i
+        back[at] = step.argmax(axis=1)
+        best[:m] = step.max(axis=1) + score[at]
+    out = np.zeros(len(doc), dtype=np.int8)
+    now = best.argmax(axis=1).astype(np.int8)
+    for i in range(length[0] - 1, -1, -1):
+        m = left[i]
+        at = begin[:m] + i
+        out[at] = now[:m]
+        if i:
+            now[:m] = back[at, now[:m]]
+    return out
+
+
+def _statistics(texts: list[str], emission, transition) -> list[np.ndarray]:
+    """The ``COLUMNS`` of the texts."""
+    got = describe(texts)
+    doc, n = got["doc"], len(texts)
+    states = decode(doc, got["stats"], emission, transition)
+    total = lambda values: np.bincount(doc, weights=values, minlength=n)
+    lines, words, size = total(np.ones(len(doc))), total(got["words"]), total(got["size"])
+    over = lambda a, b: a / np.maximum(1, b)
+    return [
+        words.astype(np.int64), over(total(got["letters"]), words), over(total(got["symbols"]), size), over(total(got["stats"][:, 4] == 0), lines), over(total(got["common"]), words), lines.astype(np.int64),
+        *(over(total(np.where(states == k, got["size"], 0)), size) for k in range(len(STATES))),
+    ]
 
 
 COLUMNS = ("words", "mean_word_length", "symbol_ratio", "ended_lines", "common_words", "lines", "prose", "list", "table", "junk")
 
 
 def text_statistics(documents: DataFrame, id_column: str = "doc_id", text: str = "text", most: int = FIT_DOCUMENTS) -> DataFrame:
-    """One row per document: its id, words, mean_word_length, symbol_ratio (of visible characters), ended_lines (share of lines
-    that end in punctuation), common_words (share), lines, and the shares of visible characters in prose, list, table and junk.
+    """One row per document: its id, words (without those of markup), mean_word_length, symbol_ratio (of visible characters, without
+    markup), ended_lines (share of lines that end in punctuation), common_words (share), lines, and the shares of visible characters in prose, list, table and junk.
 
     Null, empty and blank texts have zeros throughout. Whole texts are read; other columns are not."""
     rows = documents.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
@@ -255,9 +380,11 @@ def text_statistics(documents: DataFrame, id_column: str = "doc_id", text: str =
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emission, transition = shared.value
         for batch in batches:
-            got = [_statistics(t, emission, transition) for t in batch.column("text").to_pylist()]
-            arrays = [pa.array([g[k] for g in got], pa.int64() if c in ("words", "lines") else pa.float64()) for k, c in enumerate(COLUMNS)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], names=[id_column, *COLUMNS])
+            at = 0
+            for texts in _portions(batch.column("text").to_pylist()):
+                got = _statistics(texts, emission, transition)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, len(texts)), *map(pa.array, got)], names=[id_column, *COLUMNS])
+                at += len(texts)
 
     schema = f"`{id_column}` long, " + ", ".join(f"{c} {'long' if c in ('words', 'lines') else 'double'}" for c in COLUMNS)
     return rows.mapInArrow(of, schema)

@@ -1,12 +1,15 @@
 """Problem 1: records of two tables that describe the same papers, without a common key.
 
 Candidates come from MinHash bands across attributes: two MinHash values of the title's trigrams with one of the family names,
-or five of the title's alone. Each candidate pair gets similarity features; a logistic classifier, fitted on pairs that simple
-rules label with confidence, and Platt scaling on held-out labels turn them into a probability.
+or five of the title's alone. Each candidate pair gets similarity features of title, year and authors. What they mean is learned: a
+bounded sample of pairs is labelled weakly by another view, the words of the abstracts, where both records have one and these agree or
+differ clearly; all other pairs stay unlabelled. Gradient-boosted trees are fitted on one half of the labelled pairs, and Platt scaling
+on the other half turns their scores into probabilities. No rule stands behind the classifier.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,13 @@ HAMMING = 26
 RUN = 256
 #: At most about so many labelled pairs are used to fit the classifier and its calibration.
 TRAINING_PAIRS = 20_000
-FEATURES = ("missing_a", "missing_b", "typos", "names_min", "names_max", "no_names", "apart", "no_year", "short", "cut")
+FEATURES = ("missing_a", "missing_b", "typos", "names_min", "names_max", "no_names", "apart", "no_year", "short", "cut", "follows", "named")
+#: Abstracts are compared if both have so many different words; from the first share of the fewer words in common on they tell one
+#: paper, up to the second two papers, and between them nothing.
+LEAST_WORDS, ALIKE, UNLIKE = 15, 0.8, 0.45
+#: Trees of the classifier, their depth, and how much of each is taken.
+ROUNDS, DEPTH, RATE = 60, 3, 0.2
+_LONG = re.compile(r"[^\W\d_]{4,}")
 
 
 def _minhash(hashes: np.ndarray, counts: np.ndarray, functions: int, seed: int) -> np.ndarray:
@@ -100,17 +109,18 @@ def compare(ta: str, na: str, ya: int, tb: str, nb: str, yb: int) -> tuple[float
         float(not (ya and yb)),
         float(min(len(wa), len(wb)) < records.SHORT_TITLE),
         float(cut),
+        float(text.follows(wa, wb)),
+        float(min(few, 4)),
     )
 
 
-def weak_label(f: tuple[float, ...]) -> int:
-    """1 or 0 where the rules are sure, -1 where they are not."""
-    more_a, more_b, typos, few, many, no_names, apart, no_year, short, cut = f
-    if more_a + more_b == 0 and typos <= 1 and few >= 0.5 and not no_names and apart <= (1 if short or cut else 2) and (not short or many >= 0.5):
-        return 1
-    if more_a + more_b >= 1 or (not no_names and few == 0) or apart > (1 if cut else 2) or (short and many < 0.4 and not no_names):
-        return 0
-    return -1
+def weak_label(a: str | None, b: str | None) -> int:
+    """1 or 0 where the words of two abstracts clearly agree or differ, -1 where they tell nothing."""
+    x, y = set(_LONG.findall(text.fold(a or ""))), set(_LONG.findall(text.fold(b or "")))
+    if min(len(x), len(y)) < LEAST_WORDS:
+        return -1
+    share = len(x & y) / min(len(x), len(y))
+    return 1 if share >= ALIKE else 0 if share <= UNLIKE else -1
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,50 +128,73 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [batch.column(n).to_pylist() for n in ("ta", "na", "ya", "tb", "nb", "yb")]
         rows = [compare(*x) for x in zip(*cols)]
         arrays = [pa.array([r[k] for r in rows], pa.float32()) for k in range(len(FEATURES))]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays, pa.array([weak_label(r) for r in rows], pa.int8())], names=["a", "b", *FEATURES, "label"])
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], names=["a", "b", *FEATURES])
 
 
 def pair_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b, the FEATURES, label) of candidate pairs."""
-    schema = "a long, b long, " + ", ".join(f"{f} float" for f in FEATURES) + ", label byte"
+    """(a, b, the FEATURES) of candidate pairs."""
+    schema = "a long, b long, " + ", ".join(f"{f} float" for f in FEATURES)
     return records.with_both(pairs, left, right).mapInArrow(_features, schema)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
-    """Weights (the last one constant) by Newton steps, classes weighted alike."""
-    x = np.column_stack([x, np.ones(len(x))])
-    share = y.mean()
-    w = np.where(y == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
-    beta = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (w * (y - p)) - ridge * beta
-        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta)), gradient)
-        beta += step
-        if np.abs(step).max() < 1e-6:
-            break
-    return beta
-
-
-def fit(features: DataFrame, most: int = TRAINING_PAIRS) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, (slope, offset) of the calibration), fitted on about ``most`` labelled pairs chosen by a hash of the pair.
-
-    With one class only, weights that follow the rules' order are returned."""
-    labelled = features.where("label >= 0")
-    total = labelled.count()
-    share = min(1.0, most / max(1, total))
-    some = labelled.where(F.pmod(F.xxhash64("a", "b"), F.lit(1_000_000)) < int(share * 1_000_000)).select(*FEATURES, "label").limit(2 * most).toPandas()
-    x, y = some[list(FEATURES)].to_numpy(float), some["label"].to_numpy(float)
-    if len(y) < 20 or y.min() == y.max():
-        return np.array([-4.0, -4.0, -2.0, 3.0, 1.0, 0.0, -1.5, 0.0, 0.0, 0.0, 0.5]), np.array([1.0, 0.0])
-    odd = np.arange(len(y)) % 2 == 1
-    beta = _logistic(x[~odd], y[~odd])
-    if y[odd].min() == y[odd].max():
-        return beta, np.array([1.0, 0.0])
-    score = np.column_stack([x[odd], np.ones(odd.sum())]) @ beta
-    # Platt's targets keep the calibration away from 0 and 1
-    n1, n0 = y[odd].sum(), (1 - y[odd]).sum()
-    t = np.where(y[odd] == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+class Boosted:
+    """Gradient-boosted trees of a fixed depth for yes and no, over numbers with few different values."""
+
+    def __init__(self, start: float, trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        """trees: (feature of each inner node, threshold, value of each leaf); a row goes right if its number is larger."""
+        self.start, self.trees = start, trees
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), self.start)
+        for feature, threshold, leaf in self.trees:
+            node = np.zeros(len(x), dtype=np.int64)
+            for _ in range(DEPTH):
+                node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > threshold[node])
+            out += leaf[node - len(feature)]
+        return out
+
+    @staticmethod
+    def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, ridge: float = 2.0, least: float = 1.0) -> Boosted:
+        cuts = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, 33)[:-1])) for k in range(x.shape[1])]
+        tests = [(k, c, x[:, k] > c) for k in range(x.shape[1]) for c in cuts[k] if (x[:, k] > c).any()]
+        right = np.array([t[2] for t in tests], dtype=np.float64) if tests else np.zeros((0, len(x)))
+        share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        model = Boosted(float(np.log(share / (1 - share))), [])
+        score = np.full(len(y), model.start)
+        inner = 2**DEPTH - 1
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-score))
+            g, h = y - p, p * (1 - p)
+            feature, threshold, leaf = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf), np.zeros(inner + 1)
+            node = np.zeros(len(y), dtype=np.int64)
+            for level in range(DEPTH):
+                for n in range(2**level - 1, 2 ** (level + 1) - 1):
+                    at = node == n
+                    if len(tests) and at.sum() > 1:
+                        gr, hr = right[:, at] @ g[at], right[:, at] @ h[at]
+                        gl, hl = g[at].sum() - gr, h[at].sum() - hr
+                        gain = gr**2 / (hr + ridge) + gl**2 / (hl + ridge) - g[at].sum() ** 2 / (h[at].sum() + ridge)
+                        gain[(hr < least) | (hl < least)] = 0
+                        best = int(gain.argmax())
+                        if gain[best] > 1e-6:
+                            feature[n], threshold[n] = tests[best][0], tests[best][1]
+                node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > threshold[node])
+            for n in range(inner + 1):
+                at = node - inner == n
+                leaf[n] = RATE * g[at].sum() / (h[at].sum() + ridge)
+            model.trees.append((feature, threshold, leaf))
+            score += leaf[node - inner]
+        return model
+
+
+#: Without enough labelled pairs (records without abstracts), weights in the order of ``FEATURES`` and a constant.
+DEFAULT = np.array([-4.0, -4.0, -2.0, 3.0, 1.0, 0.0, -1.5, 0.0, 0.0, 0.0, -1.0, 0.0, 0.5])
+
+
+def platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """(slope, offset) of the probabilities that scores stand for; Platt's targets keep them away from 0 and 1."""
+    n1, n0 = y.sum(), (1 - y).sum()
+    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, c = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * score + c, -30, 30)))
@@ -172,21 +205,68 @@ def fit(features: DataFrame, most: int = TRAINING_PAIRS) -> tuple[np.ndarray, np
         a, c = a + d[0], c + d[1]
         if np.abs(d).max() < 1e-6:
             break
-    return beta, np.array([a, c])
+    return float(a), float(c)
+
+
+def labelled(features: DataFrame, left: DataFrame, right: DataFrame, papers: tuple[DataFrame, DataFrame], keys: tuple[str, str], abstract: str = "abstract", most: int = TRAINING_PAIRS) -> DataFrame:
+    """(FEATURES, label, half) of about ``most`` pairs, chosen by a hash of the pair, that the abstracts of their first records
+    label. ``left`` and ``right``: contents with rep and first (id of a record)."""
+    total = features.count()
+    share = int(min(1.0, most / max(1, total)) * 1_000_000)
+    some = features.where(F.pmod(F.xxhash64("a", "b"), F.lit(1_000_000)) < share).limit(2 * most).withColumn("half", F.pmod(F.xxhash64("b", "a"), F.lit(2)))
+    for side, (contents, rows, key, of) in enumerate(zip((left, right), papers, keys, ("a", "b"))):
+        # the sample has a proven bound, so that the texts are not shuffled
+        ids = contents.select(F.col("rep").alias(of), F.col("first").alias(f"_{of}"))
+        some = ids.join(F.broadcast(some), of)
+        texts = rows.select(F.col(f"`{key}`").alias(f"_{of}"), F.col(f"`{abstract}`").cast("string").alias(f"t{of}")).where(f"t{of} is not null")
+        some = texts.join(F.broadcast(some), f"_{of}").dropDuplicates(["a", "b"]).drop(f"_{of}")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label = pa.array([weak_label(x, y) for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist())], pa.int8())
+            yield pa.RecordBatch.from_arrays([*(batch.column(f) for f in FEATURES), label, batch.column("half").cast(pa.int8())], names=[*FEATURES, "label", "half"])
+
+    return some.select("ta", "tb", "half", *FEATURES).mapInArrow(of, ", ".join(f"{f} float" for f in FEATURES) + ", label byte, half byte").where("label >= 0")
+
+
+def fit(sample: DataFrame | None) -> tuple[Boosted | np.ndarray, tuple[float, float]]:
+    """(classifier, (slope, offset)) from ``labelled`` pairs, or the default weights if there are too few of a kind."""
+    if sample is not None:
+        rows = sample.toPandas()
+        x, y, half = rows[list(FEATURES)].to_numpy(float), rows["label"].to_numpy(float), rows["half"].to_numpy()
+        if all(min((y[half == k] == v).sum() for v in (0, 1)) >= 10 for k in (0, 1)):
+            order = np.lexsort((*x.T, y))  # the same model whatever the order of rows
+            x, y, half = x[order], y[order], half[order]
+            model = Boosted.fit(x[half == 0], y[half == 0])
+            return model, platt(model.score(x[half == 1]), y[half == 1])
+    return DEFAULT, (1.0, 0.0)
+
 
+def _score(model: Boosted | np.ndarray, x: np.ndarray) -> np.ndarray:
+    return model.score(x) if isinstance(model, Boosted) else x @ model[:-1] + model[-1]
 
-def match(left: DataFrame, right: DataFrame, left_id: str = "row_id", right_id: str = "id", least: float = 0.5) -> DataFrame:
+
+def match(left: DataFrame, right: DataFrame, left_id: str = "row_id", right_id: str = "id", least: float = 0.5, abstract: str = "abstract") -> DataFrame:
     """(left id, right id, confidence) of every pair of records that describes one paper with at least ``least`` confidence.
 
-    Both tables need title, authors and year; other columns are not read. Copies are compared once and expanded at the end.
-    A record without a usable title matches nothing; nulls in other fields count as unknown. Empty tables give no rows."""
+    Both tables need title, authors and year, which alone decide; ``abstract``, if both have it, labels the sample that the
+    classifier is fitted on. Other columns are not read. Copies are compared once and expanded at the end. A record without a
+    usable title matches nothing; nulls in other fields count as unknown. Empty tables give no rows."""
     normal = [stage(records.normal_records(df, key), "normal") for df, key in ((left, left_id), (right, right_id))]
-    reps = [stage(records.contents(n).drop("rep").withColumn("rep", F.col("cid")), "contents") for n in normal]
+    reps = [stage(records.contents(n).withColumnRenamed("rep", "first").withColumn("rep", F.col("cid")), "contents") for n in normal]
     features = stage(pair_features(candidates(*reps), *reps), "features")
-    beta, (slope, offset) = fit(features)
-    score = sum((F.col(f).cast("double") * float(b) for f, b in zip(FEATURES, beta)), F.lit(float(beta[-1])))
-    # a word that only one title has is never a typing error: such pairs are other papers whatever else agrees
-    scored = features.where("missing_a = 0 and missing_b = 0").select("a", "b", (1 / (1 + F.exp(-(score * float(slope) + float(offset))))).alias("confidence")).where(F.col("confidence") >= least)
+    sample = labelled(features, *reps, (left, right), (left_id, right_id), abstract) if abstract in left.columns and abstract in right.columns else None
+    shared = left.sparkSession.sparkContext.broadcast(fit(sample))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, (slope, offset) = shared.value
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(f), dtype=np.float64) for f in FEATURES], axis=1)
+            p = 1 / (1 + np.exp(-np.clip(slope * _score(model, x) + offset, -30, 30)))
+            kept = pa.array(p >= least)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept), pa.array(p).filter(kept)], names=["a", "b", "confidence"])
+
+    scored = features.mapInArrow(of, "a long, b long, confidence double")
     rows = [n.select(F.col("id").alias(name), F.col("cid").alias(key)).distinct() for n, name, key in ((normal[0], "_left", "a"), (normal[1], "_right", "b"))]
     found = scored.join(rows[0], "a").join(rows[1], "b").groupBy("_left", "_right").agg(F.max("confidence").alias("confidence"))
     return found.select(F.col("_left").alias(left_id), F.col("_right").alias(right_id), "confidence")

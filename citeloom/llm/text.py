@@ -242,6 +242,12 @@ def title_difference(a: list[str], b: list[str]) -> tuple[int, int, int, bool]:
     return len(left_a), len(left_b), typos, False
 
 
+def follows(a: list[str], b: list[str]) -> bool:
+    """Whether one title has a word that the other lacks and that announces a follow-up."""
+    x, y = set(a), set(b)
+    return _follows([*(x - y), *(y - x)])
+
+
 def names_shared(a: list[str], b: list[str]) -> int:
     """Names of a ("family|other") that have a partner in b: family names equal up to a typing error, or swapped words."""
     if a == b:

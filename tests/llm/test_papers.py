@@ -151,3 +151,42 @@ def test_pairs_of_a_crowded_key_are_all_found(two_sides):
         near = [(int(i), int(j)) for i, j in np.argwhere(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4, 1))]
         want = [(i, j) if not two_sides or sides[i] == 0 else (j, i) for i, j in near if not two_sides or sides[i] != sides[j]]
         assert want and sorted(got) == sorted(want)
+
+
+def test_classifier_learns_what_no_single_feature_tells():
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 3, (4000, len(matching.FEATURES))).astype(float)
+    y = ((x[:, 0] == 0) | ((x[:, 0] == 1) & (x[:, 6] == 0))).astype(float)
+    noisy = np.where(rng.random(len(y)) < 0.03, 1 - y, y)
+    model = matching.Boosted.fit(x[:2000], noisy[:2000])
+    slope, offset = matching.platt(model.score(x[2000:3000]), noisy[2000:3000])
+    p = 1 / (1 + np.exp(-(slope * model.score(x[3000:]) + offset)))
+    assert ((p > 0.5) == y[3000:]).mean() > 0.99
+    # probabilities mean what they say on rows that were not used: about three in a hundred are wrong
+    assert abs(p.mean() - noisy[3000:].mean()) < 0.03 and 0.9 < p[p > 0.5].mean() < 0.995
+
+
+def test_abstracts_label_pairs_that_the_features_leave_open():
+    words = " ".join(f"{a}{b}word" for a in "abcdefgh" for b in "klmn")
+    assert matching.weak_label(words, words.upper() + " more.") == 1 and matching.weak_label(words, words.replace("word", "else")) == 0
+    assert matching.weak_label(words, None) == -1 and matching.weak_label("too few words", words) == -1
+    half = " ".join(w if i % 5 < 3 else w[::-1] for i, w in enumerate(words.split()))
+    assert matching.weak_label(words, half) == -1
+
+
+def test_matching_learns_from_abstracts_in_the_tables(spark):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvwz"), 8))
+    texts = {k: " ".join(word() for _ in range(40)) for k in [*range(150), *range(5000, 5150)]}
+    say = texts.get
+    left, right = [], []
+    for k in range(150):
+        title, names = " ".join(f"{'bcdfghklmn'[(k + j) % 10]}{'aeiou'[(k // 10 + j) % 5]}{'rstvwxzpqy'[(k // 50 + 3 * j) % 10]}item{'aeioubcdfg'[(k * j) % 10]}" for j in range(6)), [f"Ann Fam{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100]}er"]
+        left.append((k, title, names, 2000, say(k)))
+        right.append((f"R{k}", title, names, 2000, say(k)))
+        if k % 2:  # a later paper of the same people with nearly the same title
+            right.append((f"S{k}", title + " revisited", names, 2002, say(k + 5000)))
+    a = spark.createDataFrame(left, "row_id bigint, title string, authors array<string>, year bigint, abstract string")
+    b = spark.createDataFrame(right, "id string, title string, authors array<string>, year bigint, abstract string")
+    got = {(r.row_id, r.id) for r in matching.match(a, b).collect()}
+    assert got == {(k, f"R{k}") for k in range(150)}

@@ -4,8 +4,8 @@ Vectors are put into cells of a coarse partition, whose number grows with the ve
 bounded sample can fit, a second level of centres of residuals. The residual of a vector to its cell's centre is rotated at random
 and kept as one bit a dimension, packed, with three scalars; a query's residual is kept as planes of bits. Only these codes are sent
 to the cells. There the inner product of a query with each member is estimated by AND and bit counts, with an error bound, and a
-member is kept if its bound reaches the query's k-th best estimate and the least similarity asked for. Full vectors are joined to
-what is left, each pair once. Equal vectors are searched once.
+member is kept if its bound reaches the query's k-th best estimate and the least similarity asked for. Each pair left is compared in
+full in one of the groups that found it, and each such group gets a vector that it needs once. Equal vectors are searched once.
 """
 
 from __future__ import annotations
@@ -226,7 +226,9 @@ def search_cell(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, qids: np.nd
         yield qids[i[top]], b[top], cosine[top]
 
 
-_FOUND = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("low", pa.float32()), ("high", pa.float32())])
+_FOUND = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("other", pa.int64()), ("low", pa.float32()), ("high", pa.float32())])
+#: Pairs whose full vectors are held at once.
+SLICE = 50_000
 
 
 def _search(k: int, dim: int, least: float):
@@ -242,20 +244,25 @@ def _search(k: int, dim: int, least: float):
             return _FOUND.empty_table()
         bits = np.frombuffer(b"".join(raw[i] for i in m), np.uint64).reshape(len(m), words)
         planes = np.frombuffer(b"".join(raw[i] for i in q), np.uint64).reshape(len(q), -1, words)
-        out = [pa.table(list(x), schema=_FOUND) for x in shortlist(ids[m], bits, scalars[m, :3], ids[q], planes, scalars[q], k, dim, least)]
+        g = table.column("g")[0].as_py()
+        out = [pa.table([np.full(len(x[0]), g), *x], schema=_FOUND) for x in shortlist(ids[m], bits, scalars[m, :3], ids[q], planes, scalars[q], k, dim, least)]
         return pa.concat_tables(out)
 
     return of
 
 
 def _cosines(dim: int):
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
-            x, y = flat("va"), flat("vb")
-            x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
-            cosine = np.einsum("ij,ij->i", x, y) / np.linalg.norm(x, axis=1) / np.linalg.norm(y, axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(cosine)], names=["a", "b", "cosine"])
+    def of(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
+        ids = vectors.column("id").to_numpy()
+        order = np.argsort(ids)
+        x = vectors.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)[order]
+        ids = ids[order]
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+        i, j = np.searchsorted(ids, a), np.searchsorted(ids, b)
+        cosine = [np.einsum("ij,ij->i", x[i[s : s + SLICE]], x[j[s : s + SLICE]]) for s in range(0, len(i), SLICE)]
+        return pa.table([a, b, np.concatenate(cosine) if cosine else np.zeros(0)], names=["a", "b", "cosine"])
 
     return of
 
@@ -293,12 +300,13 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = DIM, probes: int = PRO
         wide = wide.withColumn("mb", F.explode(F.when(F.col("member"), F.array(own("ms"))).otherwise(every("ms"))))
         rows = wide.withColumn("qb", F.explode(F.when(F.col("member"), every("qs")).otherwise(F.array(own("qs"))))).drop("ms", "qs")
         keys = ["model", "cell", "mb", "qb"]
-    found = rows.groupBy(*keys).applyInArrow(_search(k, dim, least), "id long, other long, low float, high float")
+    found = rows.withColumn("g", F.xxhash64(*keys)).groupBy(*keys).applyInArrow(_search(k, dim, least), "g long, id long, other long, low float, high float")
     ordered = Window.partitionBy("id").orderBy(F.desc("low")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     kept = found.withColumn("kth", F.nth_value("low", k).over(ordered)).where("kth is null or high >= kth")
-    pairs = kept.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    full = lambda end: held.select(F.col("id").alias(end), F.col("vector").alias("v" + end))
-    exact = pairs.join(full("a"), "a").join(full("b"), "b").mapInArrow(_cosines(dim), "a long, b long, cosine double").where(F.col("cosine") >= least)
+    pairs = kept.groupBy(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).agg(F.min("high").alias("high"), F.min("g").alias("g"))
+    pairs = stage(pairs.where(F.col("high") >= least).select("g", "a", "b"), "pairs")
+    needed = pairs.select(F.col("g").alias("at"), F.explode(F.array("a", "b")).alias("id")).distinct().join(held.select("id", "vector"), "id")
+    exact = pairs.groupBy("g").cogroup(needed.groupBy("at")).applyInArrow(_cosines(dim), "a long, b long, cosine double").where(F.col("cosine") >= least)
     exact = stage(exact, "cosines")
     both = exact.select(F.col("a").alias("id"), F.col("b").alias("other"), "cosine").unionAll(exact.select(F.col("b").alias("id"), F.col("a").alias("other"), "cosine"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "other"))

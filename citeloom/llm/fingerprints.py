@@ -60,15 +60,16 @@ def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False) -> Iterator[pa.RecordBatch]:
+def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False, fresh: bool = False) -> Iterator[pa.RecordBatch]:
     """Pairs of ids within runs of one key, out of a stream sorted by (key, fp).
 
-    Columns in: key, fp, id and, if ``two_sides``, side. Out: a, b (a < b, or with sides: a of side 0 and b of side 1) whose
-    fingerprints differ in at most ``limit`` bits. With ``whole`` these are all pairs of a run: one of more than ``most`` members
+    Columns in: key, fp, id and, if ``two_sides`` or ``fresh``, side. Out: a, b (a < b, or with two sides: a of side 0 and b of side
+    1) whose fingerprints differ in at most ``limit`` bits; with ``fresh`` at least one of them is of side 1. With ``whole`` these are all pairs of a run: one of more than ``most`` members
     is compared block by block as it arrives, and time grows with the square of its members. Else such a run is not held as a
     whole: each further member, in the order of fingerprints, is compared with the ``most`` members before it and with the run's
     leaders (members that were close to no earlier leader), so that time stays linear, near copies stay linked and pairs that
     are close only to each other can be missed."""
+    sided = two_sides or fresh
     keep: list[np.ndarray] | None = None
     run_seen, leaders = 0, None
 
@@ -82,6 +83,8 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
             swap = sides[i] == 1
         else:
             ok = ids[i] != ids[j]
+            if fresh:
+                ok &= (sides[i] == 1) | (sides[j] == 1)
             i, j = i[ok], j[ok]
             swap = ids[i] > ids[j]
         return np.where(swap, ids[j], ids[i]), np.where(swap, ids[i], ids[j])
@@ -101,6 +104,8 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                 ok = popcount(fps[i] ^ fps[j]) <= limit
                 if two_sides:
                     ok &= sides[i] != sides[j]
+                elif fresh:
+                    ok &= (sides[i] == 1) | (sides[j] == 1)
                 res.append(emit(ids, sides, i[ok], j[ok]))
         return res
 
@@ -125,7 +130,7 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                     yield out(*emit(ids, sides, old[i], new[j]))
 
     for batch in batches:
-        cols = [np.asarray(batch.column(n)) for n in ("key", "fp", "id")] + ([np.asarray(batch.column("side"))] if two_sides else [])
+        cols = [np.asarray(batch.column(n)) for n in ("key", "fp", "id")] + ([np.asarray(batch.column("side"))] if sided else [])
         cols[1] = cols[1].view(np.uint64) if cols[1].dtype == np.int64 else cols[1].astype(np.uint64)
         if not len(cols[0]):
             continue
@@ -136,20 +141,20 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
         key = cols[0]
         cut = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
         length = np.diff(np.concatenate([cut, [len(key)]]))
-        ids, fps, sides = cols[2], cols[1], cols[3] if two_sides else None
+        ids, fps, sides = cols[2], cols[1], cols[3] if sided else None
         # the first run may go on from before, the last one may go on after
         for r in {0, len(cut) - 1}:
             lo, n = cut[r], length[r]
             first, last = r == 0 and run_seen > 0, r == len(cut) - 1
             if whole and n > most:
-                yield from every(ids[lo : lo + n], fps[lo : lo + n], sides[lo : lo + n] if two_sides else None, old - lo if first and run_seen > most else 0)
+                yield from every(ids[lo : lo + n], fps[lo : lo + n], sides[lo : lo + n] if sided else None, old - lo if first and run_seen > most else 0)
                 length[r] = 0
                 if last:
                     run_seen = n
                     keep = [c[lo:] for c in cols]
             elif not whole and (first and run_seen > most or n > most):
                 fresh = old - lo if first and run_seen > most else 0
-                a, f, s = ids[lo : lo + n], fps[lo : lo + n], sides[lo : lo + n] if two_sides else None
+                a, f, s = ids[lo : lo + n], fps[lo : lo + n], sides[lo : lo + n] if sided else None
                 res += hot(a, f, s, max(1, fresh))
                 leaders, more = _lead(leaders if first else None, a, f, s, max(0, fresh), limit, most)
                 for x, y, sx, sy in more:
@@ -169,7 +174,7 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                 leaders = None
         big = np.nonzero(length > most)[0]
         for r in big:
-            a, f, s = ids[cut[r] : cut[r] + length[r]], fps[cut[r] : cut[r] + length[r]], sides[cut[r] : cut[r] + length[r]] if two_sides else None
+            a, f, s = ids[cut[r] : cut[r] + length[r]], fps[cut[r] : cut[r] + length[r]], sides[cut[r] : cut[r] + length[r]] if sided else None
             if whole:
                 yield from every(a, f, s, 0)
                 length[r] = 0
@@ -186,7 +191,7 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
         if res:
             yield out(np.concatenate([r[0] for r in res]), np.concatenate([r[1] for r in res]))
     if keep is not None and 1 < run_seen <= most:
-        res = within(np.array([0]), np.array([len(keep[0])]), keep[2], keep[1], keep[3] if two_sides else None)
+        res = within(np.array([0]), np.array([len(keep[0])]), keep[2], keep[1], keep[3] if sided else None)
         if res:
             yield out(np.concatenate([r[0] for r in res]), np.concatenate([r[1] for r in res]))
 

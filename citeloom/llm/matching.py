@@ -56,7 +56,7 @@ def _bands(side: int):
             n = _minhash(fp.hash_strings([x for ns in names for x in ns]), np.array([len(ns) for ns in names], dtype=np.int64), NAME_BANDS, 2)
             named = np.array([bool(ns) and bool(x) for ns, x in zip(names, titles)])
             long = np.array([x.count(" ") + 1 >= records.SHORT_TITLE for x in titles])
-            title = fp.fingerprint(titles, 64).view(np.int64)
+            title = np.asarray(batch.column("fp"))
             keys, rows = [], []
             for k in range(NAME_BANDS):
                 keys.append(fp.mix(t[2 * k] ^ fp.mix(t[2 * k + 1] ^ fp.mix(n[k] + np.uint64(k))))[named])
@@ -78,8 +78,8 @@ def _bands(side: int):
 def candidates(left: DataFrame, right: DataFrame, hamming: int = HAMMING, run: int = RUN) -> DataFrame:
     """Distinct pairs (a, b) of contents of ``left`` and ``right`` that share a band and have close title fingerprints."""
     schema = "key long, fp long, id long, side byte"
-    one = left.select("rep", "title_key", "names").mapInArrow(_bands(0), schema)
-    two = right.select("rep", "title_key", "names").mapInArrow(_bands(1), schema)
+    one = left.select("rep", "fp", "title_key", "names").mapInArrow(_bands(0), schema)
+    two = right.select("rep", "fp", "title_key", "names").mapInArrow(_bands(1), schema)
 
     def of(batches):
         return fp.pairs_of_sorted(batches, hamming, run, True, whole=True)
@@ -253,7 +253,7 @@ def match(left: DataFrame, right: DataFrame, left_id: str = "row_id", right_id:
     classifier is fitted on. Other columns are not read. Copies are compared once and expanded at the end. A record without a
     usable title matches nothing; nulls in other fields count as unknown. Empty tables give no rows."""
     normal = [stage(records.normal_records(df, key), "normal") for df, key in ((left, left_id), (right, right_id))]
-    reps = [stage(records.contents(n).withColumnRenamed("rep", "first").withColumn("rep", F.col("cid")), "contents") for n in normal]
+    reps = [stage(records.contents(n), "contents") for n in normal]
     features = stage(pair_features(candidates(*reps), *reps), "features")
     sample = labelled(features, *reps, (left, right), (left_id, right_id), abstract) if abstract in left.columns and abstract in right.columns else None
     shared = left.sparkSession.sparkContext.broadcast(fit(sample))

@@ -98,7 +98,7 @@ def fresh_pairs(known: DataFrame, new: DataFrame, hamming: int = HAMMING, run: i
     """As ``close_pairs`` over rows of both tables, without the pairs of two known records."""
 
     def of(batches):
-        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True, fresh=True)
+        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True, one_new=True)
 
     both = known.select("key", "fp", "id", F.lit(0).cast("byte").alias("side")).unionAll(new.select("key", "fp", "id", F.lit(1).cast("byte").alias("side")))
     return both.repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
@@ -234,6 +234,6 @@ def append_batch(batch: DataFrame, index: DataFrame | None, accepted: DataFrame
 
     ``repeats`` has (row_id, matched_row_id): the first row of the paper that the row describes, in history or in the batch."""
     done = step(batch, index, accepted, id_column, hamming, run)
-    repeats = _resolved(done.placed, done.merges).where("id <> first").select(F.col("id").alias("row_id"), F.col("first").alias("matched_row_id"))
-    old = done.placed.join(repeats, F.col("id") == F.col("row_id"), "left_anti").where("paper < id")
-    return repeats.unionAll(old.select("id", "paper")), done.index, done.accepted
+    roots = components(done.merges).withColumnRenamed("node", "paper")
+    rows = done.placed.join(roots, "paper", "left").select(F.col("id").alias("row_id"), F.coalesce("root", "paper").alias("matched_row_id"))
+    return rows.where("row_id <> matched_row_id"), done.index, done.accepted

@@ -60,16 +60,17 @@ def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False, fresh: bool = False) -> Iterator[pa.RecordBatch]:
+def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False, one_new: bool = False) -> Iterator[pa.RecordBatch]:
     """Pairs of ids within runs of one key, out of a stream sorted by (key, fp).
 
-    Columns in: key, fp, id and, if ``two_sides`` or ``fresh``, side. Out: a, b (a < b, or with two sides: a of side 0 and b of side
-    1) whose fingerprints differ in at most ``limit`` bits; with ``fresh`` at least one of them is of side 1. With ``whole`` these are all pairs of a run: one of more than ``most`` members
+    Columns in: key, fp, id and, if ``two_sides`` or ``one_new``, side. Out: a, b (a < b, or with two sides: a of side 0 and b of side
+    1) whose fingerprints differ in at most ``limit`` bits; with ``one_new`` at least one of them is of side 1. With ``whole`` these
+    are all pairs of a run: one of more than ``most`` members
     is compared block by block as it arrives, and time grows with the square of its members. Else such a run is not held as a
     whole: each further member, in the order of fingerprints, is compared with the ``most`` members before it and with the run's
     leaders (members that were close to no earlier leader), so that time stays linear, near copies stay linked and pairs that
     are close only to each other can be missed."""
-    sided = two_sides or fresh
+    sided = two_sides or one_new
     keep: list[np.ndarray] | None = None
     run_seen, leaders = 0, None
 
@@ -83,7 +84,7 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
             swap = sides[i] == 1
         else:
             ok = ids[i] != ids[j]
-            if fresh:
+            if one_new:
                 ok &= (sides[i] == 1) | (sides[j] == 1)
             i, j = i[ok], j[ok]
             swap = ids[i] > ids[j]
@@ -104,7 +105,7 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                 ok = popcount(fps[i] ^ fps[j]) <= limit
                 if two_sides:
                     ok &= sides[i] != sides[j]
-                elif fresh:
+                elif one_new:
                     ok &= (sides[i] == 1) | (sides[j] == 1)
                 res.append(emit(ids, sides, i[ok], j[ok]))
         return res

@@ -190,3 +190,20 @@ def test_matching_learns_from_abstracts_in_the_tables(spark):
     b = spark.createDataFrame(right, "id string, title string, authors array<string>, year bigint, abstract string")
     got = {(r.row_id, r.id) for r in matching.match(a, b).collect()}
     assert got == {(k, f"R{k}") for k in range(150)}
+
+
+def test_batches_give_what_one_batch_gives(spark):
+    """A later record links two papers of history, a known content comes with a new DOI, and a DOI of a copy is looked up."""
+    rows = [
+        (1, 1, "Mining sparse glyphs with layered dashboards for archives", ["Ann Bofisk"], 2001, None, "k/1"),
+        (2, 1, "Tracing contextual field notes through provenance", ["Eve Falkner"], 2010, None, None),
+        (3, 1, "Mining sparse glyphs with layered", ["Ann Bofisk"], 2001, None, "k/9"),
+        (4, 2, "Tracing contextual field notes through provenance", ["Eve Falkner"], 2010, "10.1234/b", None),
+        (5, 3, "Tracing contextual fieldnotes through provenence", ["Eve Falkner"], 2010, "10.1234/b", None),
+        (6, 4, "Mining sparse glyphs with layered dashboards", ["Ann Bofisk"], 2001, None, "k/1"),
+        (7, None, "Mining sparse glyphs with layered dashboards", ["Ann Bofisk"], 2001, None, None),
+    ]
+    df = spark.createDataFrame(rows, "row_id bigint, batch_id int, title string, authors array<string>, year bigint, doi string, dblp_key string")
+    got = {tuple(r) for r in dedupe.find_repeats(df).collect()}
+    assert got == {tuple(r) for r in dedupe.find_repeats(df, batch=None).collect()}
+    assert {(2, 4), (2, 5), (1, 6), (1, 7)} <= got

@@ -22,7 +22,7 @@ def classify(new: DataFrame, old: DataFrame, model: str, embed_fields=EMBED_FIEL
     same_input = F.lit(True)
     for c in embed_fields:
         same_input &= X.embed_field(F.col(c)) == X.embed_field(F.col(f"_{c}"))
-    same_input &= F.col("_model").eqNullSafe(F.lit(model)) & F.col("_has").eqNullSafe(F.lit(True))
+    same_input &= (X.embed_field(F.col("_model")) == X.embed_field(F.lit(model))) & F.col("_has").eqNullSafe(F.lit(True))
     same_rest = F.lit(True)
     for c in compared:
         same_rest &= X.same_value(F.col(c), F.col(f"_{c}"), kinds[c])

@@ -11,13 +11,12 @@ from ..functions.udfs import piece_keys, sequence_ratio, window_keys
 TERMINAL = ("found", "not_found")
 
 
-def valid_cache(cache: DataFrame, version: int) -> DataFrame:
-    """Entries of the current schema version with a terminal status; of several for one DOI, one."""
-    return cache.where((F.col("cache_schema_version") == version) & F.col("status").isin(*TERMINAL)).dropDuplicates(["doi"])
-
-
-def _filled(now: Column, found: Column) -> Column:
-    return F.coalesce(X.blank_to_null(now), X.blank_to_null(found), F.lit(""))
+def valid_cache(cache: DataFrame, version: int, key: str = "doi", order: str | None = None) -> DataFrame:
+    """Entries of the current schema version with a terminal status; of several for one key the last by ``order``, else the largest."""
+    good = cache.where((F.col("cache_schema_version") == version) & F.col("status").isin(*TERMINAL))
+    others = [c for c in cache.columns if c not in (key, order)]
+    row = F.struct(*([order] if order else []), *others)
+    return good.groupBy(key).agg(F.max(row).alias("_row")).select(*(F.col(c) if c == key else F.col(f"_row.`{c}`").alias(c) for c in cache.columns))
 
 
 def _list(now: Column, found: Column) -> Column:
@@ -28,21 +27,42 @@ def by_doi(records: DataFrame, cache: DataFrame, rule: str) -> DataFrame:
     """Records with abstract, keywords and citation_count merged from a cache (doi, abstract, keywords, citation_count).
 
     Rules: ``overwrite`` takes the cache's abstract even if it is empty, its keywords if there are any and its count if there is
-    one; ``prefer`` takes an abstract that is not empty and fills other gaps; ``fill`` only fills gaps. Unknown DOIs change nothing."""
-    right = cache.select(X.doi_key(F.col("doi")).alias("_k"), F.lit(True).alias("_there"), F.col("abstract").alias("_abstract"), F.col("keywords").alias("_keywords"), F.col("citation_count").alias("_count")).where("_k <> ''")
+    one; ``prefer`` takes an abstract that is not empty and fills other gaps; ``fill`` only fills gaps. Blanks within an abstract that
+    is taken are collapsed; unknown DOIs change nothing."""
+    right = cache.select(X.doi_key(F.col("doi")).alias("_k"), F.lit(True).alias("_there"), X.collapse(F.col("abstract")).alias("_abstract"), F.col("keywords").alias("_keywords"), F.col("citation_count").alias("_count")).where("_k <> ''")
     out = records.withColumn("_k", X.doi_key(F.col("doi"))).join(right, "_k", "left")
     there = F.coalesce("_there", F.lit(False))
     if rule == "overwrite":
-        abstract = F.when(there, F.coalesce("_abstract", F.lit(""))).otherwise(F.col("abstract"))
+        abstract = F.when(there, F.col("_abstract")).otherwise(F.col("abstract"))
         keywords, count = _list(F.col("keywords"), F.col("_keywords")), F.coalesce("_count", "citation_count")
     elif rule in ("prefer", "fill"):
-        abstract = _filled(F.col("_abstract"), F.col("abstract")) if rule == "prefer" else _filled(F.col("abstract"), F.col("_abstract"))
+        found = F.coalesce(F.col("_abstract"), F.lit("")) != ""
+        abstract = F.when(found if rule == "prefer" else found & ~X.has_value(F.col("abstract")), F.col("_abstract")).otherwise(F.col("abstract"))
         keywords, count = _list(F.col("_keywords"), F.col("keywords")), F.coalesce("citation_count", "_count")
     else:
         raise ValueError(rule)
     return out.withColumn("abstract", abstract).withColumn("keywords", keywords).withColumn("citation_count", count).drop("_k", "_there", "_abstract", "_keywords", "_count")
 
 
+def apply_found(records: DataFrame) -> DataFrame:
+    """Records with a struct ``found`` (doi, abstract, keywords, citation_count; null for none) merged into their gaps: a DOI that was
+    missing is taken and renames the record, a blank abstract, an empty keyword list and a missing count are filled."""
+    f = lambda c: F.col(f"found.{c}")
+    doi = X.strip_doi(f("doi"))
+    new = (doi != "") & (X.strip_doi(F.col("doi")) == "")
+    none = F.array().cast("array<string>")
+    out = records.withColumn("paper_uid", F.when(new, F.concat(F.lit("doi:"), X.casefold(doi))).otherwise(F.col("paper_uid")))
+    out = out.withColumn("abstract", F.when((X.collapse(f("abstract")) != "") & (X.collapse(F.col("abstract")) == ""), X.collapse(f("abstract"))).otherwise(F.col("abstract")))
+    out = out.withColumn("keywords", F.when((F.size(F.coalesce(f("keywords"), none)) > 0) & (F.size(F.coalesce("keywords", none)) == 0), f("keywords")).otherwise(F.col("keywords")))
+    return out.withColumn("citation_count", F.coalesce("citation_count", f("citation_count"))).withColumn("doi", F.when(new, doi).otherwise(F.col("doi"))).drop("found")
+
+
+def by_title(records: DataFrame, cache: DataFrame) -> DataFrame:
+    """Records joined to a cache of title searches (key, found) on the key of title, year and source, and merged (``apply_found``)."""
+    keyed = records.withColumn("key", X.search_key(F.col("title"), F.col("year"), F.col("source")))
+    return apply_found(keyed.join(cache.select("key", "found"), "key", "left").drop("key"))
+
+
 def state(records: DataFrame) -> DataFrame:
     """Records with their state: missing_doi, enriched (DOI and abstract) or missing_abstract."""
     return records.withColumn("state", F.when(~X.has_value(F.col("doi")), "missing_doi").when(X.has_value(F.col("abstract")), "enriched").otherwise("missing_abstract"))
@@ -61,7 +81,7 @@ def best_matches(papers: DataFrame, others: DataFrame, uid: str = "paper_uid", o
     """(uid, other, title_similarity, overlap, reason): the best accepted candidate of each paper, or reason 'ambiguous'.
 
     All pairs with years at most one apart or unknown are decided by ``accept_match`` on titles compared by matching blocks and
-    authors by shared names; the best by title, overlap and year distance is ambiguous if the runner-up is within 0.02 and 0.25
+    authors by shared names; the best by title and overlap (both with four digits) and year distance is ambiguous if the runner-up is within 0.02 and 0.25
     of it. Only pairs that the rule cannot accept are left out before: an accepted pair shares a name or, with both years known,
     a piece of a title of at least 0.985."""
 
@@ -95,8 +115,35 @@ def best_matches(papers: DataFrame, others: DataFrame, uid: str = "paper_uid", o
     scored = pairs.withColumn("title_similarity", sequence_ratio("t", "t2"))
     scored = scored.withColumn("reason", accept_match(F.col("title_similarity"), F.col("overlap"), F.col("apart"), F.col("g"))).where(~F.col("reason").isin("below_threshold", "generic_title"))
     # the two best of each paper in one pass over the scored pairs
-    order = F.struct(F.col("title_similarity").alias("s"), F.col("overlap").alias("o"), (-F.coalesce("apart", F.lit(99))).alias("d"), F.col(other).alias("i"), F.col("reason").alias("r"))
+    order = F.struct(F.round("title_similarity", 4).alias("s"), F.round("overlap", 4).alias("o"), (-F.coalesce("apart", F.lit(99))).alias("d"), F.col(other).alias("i"), F.col("reason").alias("r"))
     ranked = scored.select(uid, order.alias("_o")).withColumn("_n", F.row_number().over(Window.partitionBy(uid).orderBy(F.desc("_o")))).where("_n <= 2")
     both = ranked.groupBy(uid).agg(F.max(F.when(F.col("_n") == 1, F.col("_o"))).alias("one"), F.max(F.when(F.col("_n") == 2, F.col("_o"))).alias("two"))
     close = F.coalesce((F.col("one.s") - F.col("two.s") < 0.02) & (F.col("one.o") - F.col("two.o") < 0.25), F.lit(False))
     return both.select(uid, F.col("one.i").alias(other), F.round("one.s", 4).alias("title_similarity"), F.round("one.o", 4).alias("overlap"), F.when(close, "ambiguous").otherwise(F.col("one.r")).alias("reason"))
+
+
+def similar_titles(a: DataFrame, b: DataFrame, key: str, other: str, least: float) -> DataFrame:
+    """(key, other, similarity) of all pairs of rows of one year whose titles have a Jaccard similarity of at least ``least``; exact.
+
+    The words of a title are ordered by how rare they are. Two titles so similar share one of the first n - ceil(least * n) + 1 words of
+    either, so only these are joined, and only titles of like length are compared. Equal titles are compared once."""
+
+    def titled(df: DataFrame, id_column: str) -> DataFrame:
+        return df.select(id_column, F.array_sort(F.array_distinct(X.tokens(F.col("title")))).alias("t"), "year").where("size(t) > 0")
+
+    one, two = titled(a, key), titled(b, other)
+    texts = one.select("t", "year").unionAll(two.select("t", "year"))
+    often = texts.select(F.explode("t").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+    def prefixes(df: DataFrame) -> DataFrame:
+        words = df.select("t", "year").distinct().select("t", "year", F.explode("t").alias("w")).join(often, "w")
+        place = F.row_number().over(Window.partitionBy("t", "year").orderBy("n", "w"))
+        return words.withColumn("_p", place).where(F.col("_p") <= F.size("t") - F.ceil(F.size("t") * F.lit(least) - 1e-9) + 1).select("t", "year", "w")
+
+    left, right = prefixes(one), prefixes(two).withColumnRenamed("t", "u")
+    x, y = F.size("t"), F.size("u")
+    pairs = left.join(right, ["year", "w"]).where((x >= y * least - 1e-9) & (y >= x * least - 1e-9)).select("t", "u", "year").distinct()
+    both = F.size(F.array_intersect("t", "u"))
+    close = pairs.withColumn("_s", both / (x + y - both)).where(F.col("_s") >= least - 1e-9)
+    found = one.join(close, ["t", "year"]).join(two.withColumnRenamed("t", "u"), ["u", "year"])
+    return found.select(key, other, F.round("_s", 4).alias("similarity")).distinct()

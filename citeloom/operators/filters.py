@@ -72,9 +72,9 @@ def backfill_candidates(papers: DataFrame, year: int | None = None) -> DataFrame
 
 
 def map_venues(records: DataFrame, venues: DataFrame) -> DataFrame:
-    """Records with the source of their exact venue name; those without are dropped. ``venues`` is a reference list of bounded size."""
+    """Records with the source of their exact venue name; those without are dropped. The list is broadcast if Spark finds it small."""
     listed = venues.select(X.collapse(F.col("dblp_source")).alias("_v"), F.col("source").alias("mapped_source"), X.to_flag(F.col("full_paper")).alias("mapped_full_paper"))
-    return records.withColumn("_v", X.collapse(F.col("dblp_source"))).join(F.broadcast(listed), "_v").drop("_v")
+    return records.withColumn("_v", X.collapse(F.col("dblp_source"))).join(listed, "_v").drop("_v")
 
 
 def check_venues(venues: DataFrame) -> DataFrame:
@@ -83,6 +83,29 @@ def check_venues(venues: DataFrame) -> DataFrame:
     return venues.withColumn("_n", bad).where(F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("venue with several sources: "), F.col("dblp_source")))).otherwise(F.lit(True)).cast("boolean")).drop("_n")
 
 
+def without_known_dois(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows whose DOI no existing row has; rows without a DOI stay."""
+    known = existing.select(X.doi_key(F.col("doi")).alias("_d")).where("_d <> ''").distinct()
+    return rows.withColumn("_d", X.doi_key(F.col("doi"))).join(known, "_d", "left_anti").drop("_d")
+
+
+def equal_to(rows: DataFrame, column: str, value, most: int, *order: str) -> DataFrame:
+    """The first rows whose column has a value, in an order that leaves no ties."""
+    return rows.where(F.col(column) == F.lit(value)).orderBy(*order).limit(most)
+
+
+def of_source(rows: DataFrame, source: str | None = None, most: int | None = None, *order: str) -> DataFrame:
+    """Rows of one source (without case), or of all, and at most so many of them in an order."""
+    out = rows if source is None else rows.where(X.casefold(X.collapse(F.col("source"))) == X.casefold(F.lit(source)))
+    return out if most is None else out.orderBy(*order).limit(most)
+
+
+def asked_keys(first: DataFrame, second: DataFrame, key: str, position: str) -> DataFrame:
+    """(key, position) of two ordered lists one after the other, each key once where it comes first."""
+    both = first.select(key, F.lit(0).alias("_list"), position).unionByName(second.select(key, F.lit(1).alias("_list"), position)).where(X.has_value(F.col(key)))
+    return both.groupBy(key).agg(F.min(F.struct("_list", position)).alias("_at")).select(key, F.col("_at._list").alias("list"), F.col(f"_at.{position}").alias(position))
+
+
 def remaining(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among those done, each key once: a job that goes on where it stopped."""
     return rows.join(done.select(key).distinct(), key, "left_anti").dropDuplicates([key])

@@ -42,13 +42,15 @@ def replace_version(target: DataFrame, fresh: DataFrame, scope: str, value: str)
 def replace_in_place(old: DataFrame, new: DataFrame, key: str, position: str) -> DataFrame:
     """Rows merged by key: a new record takes the place of the old one and keeps its position; others follow after the last.
 
-    Keys are unique in ``old``; of several new records with one key the last by position counts."""
-    latest = last_by_key(new, key, position)
-    place = old.select(key, F.col(position).alias("_place"))
+    Keys are unique in ``old``; of several new records with one key the last by position counts. Rows without a key (null or '')
+    are never merged: each stays or is appended."""
+    some = F.coalesce(F.col(key), F.lit("")) != ""
+    latest = last_by_key(new.where(some), key, position)
+    place = old.where(some).select(key, F.col(position).alias("_place"))
     last = old.agg(F.coalesce(F.max(position), F.lit(0)).alias("_last"))
-    moved = latest.join(place, key, "left").join(F.broadcast(last))
-    moved = moved.withColumn(position, F.coalesce("_place", F.col("_last") + F.col(position))).drop("_place", "_last")
-    return upsert(old, moved.select(*old.columns), key)
+    moved = latest.join(place, key, "left").unionByName(new.where(~some).withColumn("_place", F.lit(None).cast(old.schema[position].dataType))).join(F.broadcast(last))
+    moved = moved.withColumn(position, F.coalesce("_place", F.col("_last") + F.col(position))).drop("_place", "_last").select(*old.columns)
+    return old.join(latest.select(key), key, "left_anti").select(*old.columns).unionByName(moved)
 
 
 def fill_column(rows: DataFrame, column: str, value) -> DataFrame:
@@ -56,14 +58,23 @@ def fill_column(rows: DataFrame, column: str, value) -> DataFrame:
     return rows.withColumn(column, F.coalesce(F.col(column), value))
 
 
-def move_to_excluded(table: DataFrame, excluded: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows kept, excluded rows after): listed keys leave the table; known excluded rows are kept as they are, and keys found
-    nowhere are entered with blanks."""
-    wanted = keys.select(F.col("dblp_key")).where(X.has_value(F.col("dblp_key"))).distinct()
-    found = table.join(wanted, "dblp_key", "left_semi").groupBy("dblp_key").agg(F.min("doi").alias("doi"), F.min("title").alias("title"))
-    entry = wanted.join(found, "dblp_key", "left").select(F.col("dblp_key").alias("key"), "dblp_key", F.coalesce("doi", F.lit("")).alias("doi"), F.coalesce("title", F.lit("")).alias("title"))
-    added = entry.join(excluded.select("key"), "key", "left_anti")
-    return table.join(wanted, "dblp_key", "left_anti"), excluded.select("key", "dblp_key", "doi", "title").unionByName(added)
+def move_to_excluded(tables: list[DataFrame], excluded: DataFrame, keys: DataFrame, order: list[str | None] | None = None) -> tuple[list[DataFrame], DataFrame]:
+    """(the tables without the listed keys, the excluded rows after).
+
+    An excluded row gets DOI and title of the key's first row (by the table's ``order`` column, if it has one) in the first table
+    that has the key, else of the known excluded row, else blanks; other excluded rows stay as they are. The excluded rows are to be
+    written before the tables."""
+    order = order or [None] * len(tables)
+    wanted = keys.select(X.collapse(F.col("dblp_key")).alias("key")).where("key <> ''").distinct()
+    one = lambda c: X.collapse(F.col(c)).alias(c)
+    ranked = excluded.select("key", F.lit(len(tables)).alias("_rank"), F.lit(0).cast("bigint").alias("_at"), one("doi"), one("title"))
+    for rank, (table, at) in enumerate(zip(tables, order)):
+        place = F.col(at).cast("bigint") if at else F.lit(0).cast("bigint")
+        ranked = ranked.unionAll(table.select(X.collapse(F.col("dblp_key")).alias("key"), F.lit(rank).alias("_rank"), place.alias("_at"), one("doi"), one("title")).where("key <> ''"))
+    best = ranked.join(wanted, "key", "left_semi").groupBy("key").agg(F.min(F.struct("_rank", "_at", "doi", "title")).alias("e"))
+    entry = wanted.join(best, "key", "left").select("key", F.col("key").alias("dblp_key"), F.coalesce("e.doi", F.lit("")).alias("doi"), F.coalesce("e.title", F.lit("")).alias("title"))
+    kept = [t.withColumn("_key", X.collapse(F.col("dblp_key"))).join(wanted, F.col("_key") == F.col("key"), "left_anti").drop("_key") for t in tables]
+    return kept, upsert(excluded.select("key", "dblp_key", "doi", "title"), entry, "key")
 
 
 def first_found(keys: DataFrame, tables: list[DataFrame], key: str, columns: list[str]) -> DataFrame:
@@ -79,7 +90,12 @@ def first_found(keys: DataFrame, tables: list[DataFrame], key: str, columns: lis
 
 
 class VersionedTable:
-    """A keyed table as Parquet versions beside a pointer file; readers see the old version until the pointer is changed."""
+    """A keyed table as Parquet parts beside numbered manifests; readers see the old version until the next manifest is there.
+
+    A manifest lists the parts of a version and is never changed or deleted, so that there is always a last one. Appending writes the
+    new rows only; after ``MOST_PARTS`` parts they are written together."""
+
+    MOST_PARTS = 64
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -87,51 +103,65 @@ class VersionedTable:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _pointer(self) -> dict | None:
-        at = self._path(f"{self.path}/current.json")
-        if not self._fs.exists(at):
+    def _versions(self) -> list[int]:
+        at = self._path(self.path)
+        names = [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+        return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
+
+    def _parts(self, version: int | None = None) -> list[str] | None:
+        versions = self._versions()
+        if not versions:
             return None
-        stream = self._fs.open(at)
+        stream = self._fs.open(self._path(f"{self.path}/manifest-{versions[-1] if version is None else version:012d}.json"))
         try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
+            return json.loads(bytes(stream.readAllBytes()).decode())["parts"]
         finally:
             stream.close()
 
-    def read(self) -> DataFrame:
-        now = self._pointer()
-        if now is None:
+    def read(self, version: int | None = None) -> DataFrame:
+        """The last version, or an older one by its number."""
+        parts = self._parts(version)
+        if parts is None:
             raise FileNotFoundError(f"no version of {self.path}")
-        return self.spark.read.parquet(f"{self.path}/{now['version']}")
+        return self.spark.read.parquet(*(f"{self.path}/{p}" for p in parts))
 
     def exists(self) -> bool:
-        return self._pointer() is not None
+        return self._parts() is not None
 
-    def commit(self, rows: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Writes a new version and points to it. The version in use is never overwritten."""
-        version = f"v-{uuid.uuid4().hex}"
+    def _write(self, rows: DataFrame, partition_by: list[str] | None = None) -> str:
+        part = f"part-{uuid.uuid4().hex}"
         writer = rows.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/{version}")
-        before = self._pointer()
-        temporary = self._path(f"{self.path}/.{version}.json")
+        writer.parquet(f"{self.path}/{part}")
+        return part
+
+    def _point(self, parts: list[str]) -> int:
+        """Adds the next manifest; if another writer added it first, this one fails and nothing is lost."""
+        number = (self._versions() or [0])[-1] + 1
+        whole, temporary = (self._path(f"{self.path}/{n}") for n in (f"manifest-{number:012d}.json", f".{uuid.uuid4().hex}"))
         stream = self._fs.create(temporary, True)
-        stream.write(bytearray(json.dumps({"version": version, "before": before and before["version"]}).encode()))
+        stream.write(bytearray(json.dumps({"parts": parts}).encode()))
         stream.close()
-        at = self._path(f"{self.path}/current.json")
-        if before is not None:
-            self._fs.delete(at, False)
-        if not self._fs.rename(temporary, at):
-            raise OSError(f"{self.path}: the pointer could not be changed")
-        return version
+        if self._fs.exists(whole) or not self._fs.rename(temporary, whole):
+            raise OSError(f"{self.path}: version {number} is there already")
+        return number
+
+    def commit(self, rows: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Writes a new version as a whole and returns its number. Parts in use are never overwritten."""
+        return self._point([self._write(rows, partition_by)])
 
     def append(self, rows: DataFrame, key: str) -> None:
-        """Adds rows whose key is not there yet."""
-        if not self.exists():
+        """Adds rows whose key is not there yet; what is there is neither read whole nor written again."""
+        parts = self._parts()
+        if parts is None:
             self.commit(rows)
             return
         old = self.read()
-        self.commit(old.unionByName(rows.join(old.select(key), key, "left_anti").select(*old.columns)))
+        part = self._write(rows.join(old.select(key), key, "left_anti").select(*old.columns))
+        self._point([*parts, part])
+        if len(parts) >= self.MOST_PARTS:
+            self.commit(self.read())
 
     def upsert(self, rows: DataFrame, key: str) -> None:
         self.commit(upsert(self.read(), rows, key) if self.exists() else rows)
@@ -144,3 +174,6 @@ class VersionedTable:
 
     def add_column(self, name: str, kind: str) -> None:
         self.commit(self.read().withColumn(name, F.lit(None).cast(kind)))
+
+    def drop_column(self, name: str) -> None:
+        self.commit(self.read().drop(name))

@@ -21,40 +21,52 @@ def postings(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     return terms, words.select(key, F.size("w").alias("length"))
 
 
-def bm25_top(queries: DataFrame, docs: DataFrame, query_key: str, query_text: str, key: str, text: str, most_common: float = 0.1) -> DataFrame:
-    """(query_key, key, score): the document with the highest BM25 score for each query, ties to the smaller key.
-
-    Terms that more than ``most_common`` of the documents contain do not bring in candidates, but their weight counts for those
-    that other terms brought in; a query with such terms only is ranked by them."""
+def weights(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(term, key, weight, df): every posting with its part of a document's BM25 score; a table that can be kept."""
     terms, lengths = postings(docs, key, text)
-    n = docs.count()
-    average = lengths.agg(F.avg("length").alias("average"))
+    sizes = lengths.agg(F.count("*").alias("n"), F.avg("length").alias("average"))
     df = terms.groupBy("term").agg(F.count("*").alias("df"))
-    wanted = queries.select(F.col(query_key), F.explode(F.array_distinct(X.tokens(F.col(query_text)))).alias("term")).join(df, "term")
-    wanted = wanted.withColumn("idf", F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    rare = wanted.where(F.col("df") <= F.greatest(F.lit(1.0), F.lit(most_common * n)))
-    only_common = wanted.join(rare.select(query_key).distinct(), query_key, "left_anti")
-    rare = rare.unionByName(only_common)
-    candidates = rare.join(terms, "term").select(query_key, key).distinct()
-    weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("average")))
-    scored = candidates.join(wanted.select(query_key, "term", "idf"), query_key).join(terms, ["term", key]).join(lengths, key).join(F.broadcast(average))
-    sums = scored.groupBy(query_key, key).agg(F.round(F.sum(weight), 6).alias("score"))
-    best = sums.groupBy(query_key).agg(F.max(F.struct("score", (-F.col(key)).alias("k"))).alias("b")) if dict(docs.dtypes)[key] in ("bigint", "int") else sums.groupBy(query_key).agg(F.min(F.struct((-F.col("score")).alias("score"), F.col(key).alias("k"))).alias("b"))
-    if dict(docs.dtypes)[key] in ("bigint", "int"):
-        return best.select(query_key, (-F.col("b.k")).alias(key), F.round("b.score", 4).alias("score"))
-    return best.select(query_key, F.col("b.k").alias(key), F.round(-F.col("b.score"), 4).alias("score"))
-
-
-def cosine_top(queries: DataFrame, docs: DataFrame, key: str, vector: str, k: int = 5, blocks: int = 8, dim: int = 64) -> DataFrame:
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("average")))
+    return terms.join(lengths, key).join(df, "term").join(F.broadcast(sizes)).select("term", key, weight.alias("weight"), "df", "n")
+
+
+def bm25_top(queries: DataFrame, docs: DataFrame, query_key: str, query_text: str, key: str, text: str, common: float = 0.1) -> DataFrame:
+    """(query_key, key, score): the document with the highest BM25 score for each query, ties to the smaller key; exact.
+
+    Candidates come from the terms that at most ``common`` of the documents contain. Where the best of them scores less than the
+    query's commoner terms could give a document together, these bring candidates too, so no document is missed."""
+    index = weights(docs, key, text)
+    wanted = queries.select(F.col(query_key), F.explode(F.array_distinct(X.tokens(F.col(query_text)))).alias("term"))
+    most = index.groupBy("term").agg(F.max("weight").alias("most"), (F.first("df") > F.lit(common) * F.first("n")).alias("is_common"))
+    wanted = wanted.join(most, "term")
+
+    def best(asked: DataFrame, leading: DataFrame) -> DataFrame:
+        candidates = leading.select(query_key, "term").join(index.select("term", key), "term").select(query_key, key).distinct()
+        hits = asked.select(query_key, "term").join(index.select("term", key, "weight"), "term")
+        sums = hits.join(candidates, [query_key, key], "left_semi").groupBy(query_key, key).agg(F.round(F.sum("weight"), 6).alias("score"))
+        return sums.groupBy(query_key).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col(key).alias("k"))).alias("b"))
+
+    rare = best(wanted, wanted.where("not is_common"))
+    bound = wanted.groupBy(query_key).agg(F.coalesce(F.sum(F.when(F.col("is_common"), F.col("most"))), F.lit(0.0)).alias("bound"))
+    open_ = bound.join(rare, query_key, "left").where("bound > 0 and (b is null or -b.minus <= bound + 0.00001)").select(query_key)
+    asked = wanted.join(open_, query_key, "left_semi")
+    found = rare.join(open_, query_key, "left_anti").unionByName(best(asked, asked))
+    return found.select(query_key, F.col("b.k").alias(key), F.round(-F.col("b.minus"), 4).alias("score"))
+
+
+def cosine_top(queries: DataFrame, docs: DataFrame, key: str, vector: str, k: int = 5, block: int = 20_000, dim: int = 64) -> DataFrame:
     """(query, key, cosine): the k most similar other rows of every query row, exactly, in blocks of queries and of rows.
 
     Every block of rows meets every block of queries as one matrix product; each task keeps k rows a query, and one aggregation
-    takes the k best of these. Rows without a vector of ``dim`` numbers or with a zero one take no part."""
+    takes the k best of these. A block holds about ``block`` rows, however many there are; each row is sent to the blocks of the other
+    side once. Rows without a vector of ``dim`` numbers or with a zero one take no part."""
     unit = lambda df: df.select(F.col(key).cast("bigint").alias("id"), X.unit_vector(F.col(vector)).alias("v")).where((F.size("v") == dim))
     q, d = unit(queries), unit(docs)
-    spread = lambda df, side, own: df.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", "v", F.lit(side).alias("side"), *own)
-    left = spread(q, 0, (F.col("own").alias("i"), F.col("other").cast("bigint").alias("j")))
-    right = spread(d, 1, (F.col("other").cast("bigint").alias("i"), F.col("own").alias("j")))
+    many = [max(1, -(-df.count() // block)) for df in (q, d)]
+    spread = lambda df, side, own, other, cols: df.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(own))).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(other - 1)))).select("id", "v", F.lit(side).alias("side"), *cols)
+    left = spread(q, 0, many[0], many[1], (F.col("own").alias("i"), F.col("other").cast("bigint").alias("j")))
+    right = spread(d, 1, many[1], many[0], (F.col("other").cast("bigint").alias("i"), F.col("own").alias("j")))
 
     def product(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
@@ -107,37 +119,70 @@ def project(rows: DataFrame, key: str, vector: str, components: int = 2) -> Data
 
 
 def lookup(inputs: DataFrame, papers: DataFrame, key: str = "input_id", uid: str = "paper_uid") -> DataFrame:
-    """(key, uid, status): each input row's paper by DOI as written, by normal DOI, then by exact title; matched or missing.
+    """(key, uid, status) of each input row: its paper by DOI (as written, normal, and as an address), then by exact title, then the
+    first by BM25 of the titles, which counts as the same if only case, accents and signs differ, else as a candidate.
 
-    Each stage sees only what the stages before left over. Of several papers with one DOI or title the smallest uid is taken."""
+    Status: matched_doi, matched_title, candidate or missing. Each stage sees only what the stages before left over. Of several papers
+    with one DOI or title the smallest uid is taken."""
     by = lambda name, c: papers.select(c.alias(name), F.col(uid)).where(F.col(name) != "").groupBy(name).agg(F.min(uid).alias(f"_{name}"))
-    rows = inputs.select(key, X.collapse(F.col("doi")).alias("raw"), X.find_doi(F.lower(F.col("doi"))).alias("norm"), F.coalesce("title", F.lit("")).alias("title"))
-    one = rows.join(by("raw", X.collapse(F.col("doi"))), "raw", "left")
-    done = one.where("_raw is not null").select(key, F.col("_raw").alias(uid), F.lit("doi").alias("status"))
-    two = one.where("_raw is null").join(by("norm", X.doi_key(F.col("doi"))), "norm", "left")
-    done = done.unionAll(two.where("_norm is not null").select(key, F.col("_norm").alias(uid), F.lit("normal_doi").alias("status")))
-    three = two.where("_norm is null").join(by("title", F.col("title")), "title", "left")
-    return done.unionAll(three.select(key, F.col("_title").alias(uid), F.when(F.col("_title").isNotNull(), "title").otherwise("missing").alias("status")))
+    stored = F.coalesce(F.col("doi"), F.lit(""))
+    trimmed = lambda c: X.trim_all(X.as_text(F.col(c)))
+    rows = inputs.select(key, trimmed("doi").alias("raw"), X.typed_doi(F.col("doi")).alias("norm"), trimmed("title").alias("title")).withColumn("url", F.when(F.col("norm") != "", F.concat(F.lit("https://doi.org/"), "norm")).otherwise(""))
+    done, rest = None, rows
+    for name, c in (("raw", stored), ("norm", stored), ("url", stored), ("title", F.coalesce(F.col("title"), F.lit("")))):
+        joined = rest.join(by(name, c), name, "left")
+        hit = joined.where(F.col(f"_{name}").isNotNull()).select(key, F.col(f"_{name}").alias(uid), F.lit("matched_title" if name == "title" else "matched_doi").alias("status"))
+        done = hit if done is None else done.unionAll(hit)
+        rest = joined.where(F.col(f"_{name}").isNull()).select(key, "raw", "norm", "url", "title")
+    found = bm25_top(rest.where("title <> ''"), papers, key, "title", uid, "title").join(papers.groupBy(uid).agg(F.min("title").alias("_their")), uid)
+    last = rest.select(key, "title").join(found, key, "left")
+    same = X.plain_title(F.col("title")) == X.plain_title(F.col("_their"))
+    return done.unionAll(last.select(key, uid, F.when(F.col(uid).isNull(), "missing").when(same, "matched_title").otherwise("candidate").alias("status")))
 
 
 def similarity(inputs: DataFrame, papers: DataFrame, found: DataFrame, key: str = "input_id", uid: str = "paper_uid") -> DataFrame:
-    """Found rows with the mean of the scores that can be told (title and author token sets, DOI, year, source) and whether the
-    sources differ."""
-    left = inputs.select(key, *(F.col(c).alias(f"i_{c}") for c in ("title", "doi", "year", "source", "authors")))
+    """Found rows with the mean of the scores that can be told (title and author token sets, DOI, year, source; 0 if none can) and
+    whether the sources differ. Typed cells are trimmed first."""
+    left = inputs.select(key, *(X.trim_all(X.as_text(F.col(c))).alias(f"i_{c}") for c in ("title", "doi", "year", "source", "authors")))
     right = papers.select(uid, *(F.col(c).alias(f"p_{c}") for c in ("title", "doi", "year", "source", "authors"))).dropDuplicates([uid])
     both = found.where(F.col(uid).isNotNull()).join(left, key).join(right, uid)
-    known = lambda a, b, score: F.when(X.has_value(a) & X.has_value(b), score)
-    same = lambda a, b: F.when(F.lower(X.collapse(a)) == F.lower(X.collapse(b)), 1.0).otherwise(0.0)
     i, p = (lambda c: F.col(f"i_{c}")), (lambda c: F.col(f"p_{c}"))
-    names = F.concat_ws(" ", p("authors"))
+    there = lambda c: F.coalesce(c, F.lit("")) != ""
+    known = lambda a, b, score: F.when(there(a) & there(b), score)
+    equal = lambda a, b: F.when(a == b, 1.0).otherwise(0.0)
+    place = lambda c: F.lower(X.trim_all(X.as_text(c)))
+    names = F.array_join(F.filter(F.coalesce(p("authors"), F.array().cast("array<string>")), there), ", ")
     score = X.mean_of_known(
-        known(i("title"), p("title"), X.jaccard(X.tokens(i("title")), X.tokens(p("title")))), known(i("doi"), p("doi"), F.when(X.find_doi(F.lower(i("doi"))) == X.doi_key(p("doi")), 1.0).otherwise(0.0)),
-        known(i("year"), p("year").cast("string"), F.when(X.to_int(i("year"), True) == p("year"), 1.0).otherwise(0.0)), known(i("source"), p("source"), same(i("source"), p("source"))),
-        known(i("authors"), names, X.jaccard(X.tokens(i("authors")), X.tokens(names))),
+        known(i("title"), p("title"), X.jaccard(X.plain_tokens(i("title")), X.plain_tokens(p("title")))), known(i("doi"), p("doi"), equal(X.typed_doi(i("doi")), X.typed_doi(p("doi")))),
+        known(i("year"), p("year").cast("string"), equal(i("year"), p("year").cast("string"))), known(i("source"), p("source"), equal(place(i("source")), place(p("source")))),
+        known(i("authors"), names, X.jaccard(X.plain_tokens(i("authors")), X.plain_tokens(names))),
     )
-    differs = X.has_value(i("source")) & X.has_value(p("source")) & (same(i("source"), p("source")) == 0)
-    return both.select(key, uid, "status", F.round(score, 4).alias("similarity"), differs.alias("source_mismatch"))
+    differs = there(i("source")) & there(p("source")) & (place(i("source")) != place(p("source")))
+    return both.select(key, uid, "status", F.round(F.coalesce(score, F.lit(0.0)), 4).alias("similarity"), differs.alias("source_mismatch"))
+
+
+#: The order of statuses in a list of results.
+STATUS_RANK = {"matched_doi": 0, "matched_title": 1, "candidate": 2, "missing": 3}
+
+
+def results_in_order(scored: DataFrame, key: str = "input_id") -> DataFrame:
+    """Results to look at first: other sources, then by status, then by similarity."""
+    rank = F.coalesce(*(F.when(F.col("status") == s, n) for s, n in STATUS_RANK.items()), F.lit(9))
+    return scored.orderBy(F.desc("source_mismatch"), rank, F.desc("similarity"), key)
+
+
+def lookup_counts(found: DataFrame, scored: DataFrame) -> DataFrame:
+    """One row: inputs, matched, candidate, missing and source_mismatch."""
+    status = F.col("status")
+    one = found.agg(F.count("*").alias("inputs"), F.count_if(status.isin("matched_doi", "matched_title")).alias("matched"), F.count_if(status == "candidate").alias("candidate"), F.count_if(status == "missing").alias("missing"))
+    return one.join(F.broadcast(scored.agg(F.count_if("source_mismatch").alias("source_mismatch"))))
 
 
-def lookup_counts(found: DataFrame) -> DataFrame:
-    return found.groupBy("status").agg(F.count("*").alias("inputs"), F.count(F.col("paper_uid")).alias("papers"))
+def export(inputs: DataFrame, papers: DataFrame, found: DataFrame, scored: DataFrame, key: str = "input_id", uid: str = "paper_uid") -> DataFrame:
+    """The table of results as it is exported: status, source_mismatch, similarity, five fields of either side, and the uid."""
+    text = lambda c: X.trim_all(X.as_text(c))
+    left = inputs.select(key, *(text(F.col(c)).alias(f"csv_{c}") for c in ("title", "doi", "source", "year", "authors")))
+    right = papers.dropDuplicates([uid]).select(uid, *((F.array_join(F.filter(F.coalesce("authors", F.array().cast("array<string>")), lambda a: a != ""), ", ") if c == "authors" else X.as_text(F.col(c))).alias(f"match_{c}") for c in ("title", "doi", "source", "year", "authors")))
+    wide = found.join(scored.select(key, "similarity", "source_mismatch"), key, "left").join(left, key).join(right, uid, "left")
+    sides = [f"{s}_{c}" for s in ("csv", "match") for c in ("title", "doi", "source", "year", "authors")]
+    return wide.select(key, "status", F.coalesce("source_mismatch", F.lit(False)).alias("source_mismatch"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"), *(F.coalesce(c, F.lit("")).alias(c) for c in sides), F.coalesce(uid, F.lit("")).alias(uid))

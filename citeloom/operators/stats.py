@@ -11,7 +11,7 @@ from ..functions import text as X
 def flags(papers: DataFrame) -> DataFrame:
     """source, dblp_source and year as groups ('Unknown' for blank labels, null for a bad year) with has_doi and has_abstract."""
     return papers.select(
-        X.label(F.col("source")).alias("source"), X.label(F.col("dblp_source")).alias("dblp_source"), F.nullif(X.year_or_null(F.col("year")), F.lit(0)).alias("year"),
+        X.label(F.col("source")).alias("source"), X.label(F.col("dblp_source")).alias("dblp_source"), X.year_or_null(F.col("year")).alias("year"),
         X.has_value(F.col("doi")).alias("has_doi"), X.has_value(F.col("abstract")).alias("has_abstract"),
     )
 
@@ -25,20 +25,62 @@ def _counts() -> list:
     ]
 
 
-STAT_TYPES = {1: "source_year", 2: "source_dblp", 3: "source_summary"}
-
-
-def grouping_sets(papers: DataFrame, collection: str = "papers") -> DataFrame:
+def grouping_sets(papers: DataFrame, collection: str = "papers", generated_at: int = 0) -> DataFrame:
     """Counts by (source, year), (source, dblp_source) and (source) in one pass, with a deterministic key.
 
     A null year is a group of its own, so the kind of row is told by the grouping id, not by nulls."""
     f = flags(papers)
     grouped = f.groupingSets([[F.col("source"), F.col("year")], [F.col("source"), F.col("dblp_source")], [F.col("source")]], F.col("source"), F.col("dblp_source"), F.col("year"))
     out = grouped.agg((F.grouping("dblp_source") * 2 + F.grouping("year")).alias("g"), *_counts())
-    kind = F.when(F.col("g") == 2, "source_year").when(F.col("g") == 1, "source_dblp").otherwise("source_summary")
+    kind = F.when(F.col("g") == 2, "source_year").when(F.col("g") == 1, "source_dblp_completeness").otherwise("source_summary")
     out = out.withColumn("stat_type", kind)
-    key = X.stat_key(F.lit(collection), F.col("stat_type"), F.col("source"), F.col("dblp_source"), F.col("year"))
-    return out.select(key.alias("stat_key"), "stat_type", "source", "dblp_source", "year", "paper_count", "missing_doi_count", "missing_abstract_count", "complete_count")
+    of = lambda *parts: X.stat_key(F.col("stat_type"), F.lit(collection), *map(F.col, parts))
+    key = F.when(F.col("g") == 2, of("source", "year")).when(F.col("g") == 1, of("source", "dblp_source")).otherwise(of("source"))
+    return out.select(key.alias("stat_key"), "stat_type", F.lit(collection).alias("source_collection"), "source", "dblp_source", "year", "paper_count", "missing_doi_count", "missing_abstract_count", "complete_count", F.lit(generated_at).cast("bigint").alias("generated_at"))
+
+
+def in_order(stats: DataFrame) -> DataFrame:
+    """Stats rows with their position within their kind: by source without case, then year (unknown last) or venue without case."""
+    fold = lambda c: X.casefold(F.col(c))
+    w = Window.partitionBy("stat_type").orderBy(fold("source"), "source", F.col("year").asc_nulls_last(), fold("dblp_source").asc_nulls_first(), "dblp_source")
+    return stats.withColumn("position", F.row_number().over(w))
+
+
+#: Orders of the report's tables: largest share first, then largest count, then the name without case.
+REPORT_ORDERS = {"doi": ("doi_share", "paper_count"), "complete": ("complete_share", "paper_count"), "papers": ("paper_count",), "name": ()}
+
+
+def report_in_order(report: DataFrame, order: str) -> DataFrame:
+    return report.orderBy(*(F.desc(c) for c in REPORT_ORDERS[order]), X.casefold(F.col("source")), "source")
+
+
+def summary(papers: DataFrame) -> DataFrame:
+    """The report by source as it is exported: counts, percentages, venues with counts, first and last year."""
+    r = source_report(papers)
+    n, doi, text, both = F.col("paper_count"), F.col("paper_count") - F.col("missing_doi_count"), F.col("paper_count") - F.col("missing_abstract_count"), F.col("complete_count")
+    pair = lambda name, c: (c.alias(name), X.percent(c, n).alias(f"{name.removeprefix('with_')}_percent"))
+    return r.select(
+        "source", n.alias("total"), *pair("with_doi", doi), F.col("missing_doi_count").alias("without_doi"), *pair("with_abstract", text), F.col("missing_abstract_count").alias("without_abstract"), *pair("complete", both),
+        (doi - both).alias("with_doi_without_abstract"), X.percent(doi - both, n).alias("with_doi_without_abstract_percent"), F.col("venue_counts").alias("dblp_sources"), F.col("first_year").alias("year_min"), F.col("last_year").alias("year_max"),
+    ).select("source", "total", "with_doi", "without_doi", "doi_percent", "with_abstract", "without_abstract", "abstract_percent", "complete", "complete_percent", "with_doi_without_abstract", "with_doi_without_abstract_percent", "dblp_sources", "year_min", "year_max")
+
+
+def year_profile(papers: DataFrame) -> DataFrame:
+    """(source, year_counts): each source's years with their counts, 'Unknown' for a bad year, as 'year:count' in order."""
+    counted = papers.groupBy(X.label(F.col("source")).alias("source"), X.year_label(F.col("year").cast("string")).alias("year")).agg(F.count("*").alias("n"))
+    return counted.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("year", "n"))), lambda e: F.concat(e["year"], F.lit(":"), e["n"].cast("string"))), "; ").alias("year_counts"))
+
+
+def heat_map(papers: DataFrame) -> DataFrame:
+    """The matrix of sources and years with the intensity of each cell against the largest."""
+    m = year_matrix(papers)
+    return m.withColumn("intensity", F.round(X.heat(F.col("paper_count"), F.max("paper_count").over(Window.partitionBy())), 6))
+
+
+def readiness(papers: DataFrame) -> DataFrame:
+    """One row about a batch: total, with_doi, with_abstract, missing_abstract, and how many have a DOI and lack an abstract."""
+    doi, text = X.doi_key(F.col("doi")) != "", X.has_value(F.col("abstract"))
+    return papers.agg(F.count("*").alias("total"), F.count_if(doi).alias("with_doi"), F.count_if(text).alias("with_abstract"), F.count_if(~text).alias("missing_abstract"), F.count_if(doi & ~text).alias("doi_missing_abstract"))
 
 
 def one_kind(papers: DataFrame, *keys: str) -> DataFrame:
@@ -76,8 +118,10 @@ def year_matrix(papers: DataFrame) -> DataFrame:
     return out.select("source", "year", "paper_count", F.round(X.ratio(incomplete, F.col("paper_count")), 6).alias("incomplete_ratio"))
 
 
-def year_pivot(papers: DataFrame, years: list[int]) -> DataFrame:
-    """The matrix with a column for each of the given years."""
+def year_pivot(papers: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """The matrix with a column for each of the given years, or for each year that occurs (they are few)."""
+    if years is None:
+        years = [r[0] for r in flags(papers).where("year is not null").select("year").distinct().orderBy("year").collect()]
     return flags(papers).groupBy("source").pivot("year", years).count().na.fill(0)
 
 

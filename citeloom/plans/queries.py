@@ -64,10 +64,26 @@ def _dkey(c: str) -> str:
 
 
 def _find_doi(c: str) -> str:
-    inside = rf"regexp_replace(regexp_extract({_c(c)}, '(10\.[0-9]{{4,9}}/[^\s\"<>]+)', 1), '[.,;)\]}}]+$', '')"
+    inside = rf"regexp_replace(regexp_extract({_c(c)}, '(10\.[0-9]{{4,9}}/[^\s\"<>'']+)', 1), '[.,;)\]}}]+$', '')"
     return f"case when regexp_matches({_c(c)}, '{_PREFIX}') or starts_with({_c(c)}, '10.') then {_doi(c)} else {inside} end"
 
 
+def _plain(c: str) -> str:
+    return f"trim(regexp_replace(lower(strip_accents(lower(coalesce({c}, '')))), '[^a-z0-9]+', ' ', 'g'))"
+
+
+def _words(c: str) -> str:
+    return f"list_filter(string_split({_plain(c)}, ' '), lambda t: t <> '')"
+
+
+def _typed_doi(c: str) -> str:
+    return rf"lower(regexp_replace(regexp_replace({_t(c)}, '(?i)^https?://(dx\.)?doi\.org/', ''), '(?i)^doi:\s*', ''))"
+
+
+def _title(c: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(regexp_replace({_fold(f'coalesce({c}, chr(0))')}, '&[a-z0-9#]+;', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'), ' +', ' ', 'g'))"
+
+
 def _tokens(c: str) -> str:
     return f"list_filter(regexp_split_to_array(lower(coalesce({c}, '')), '[^a-z0-9]+'), lambda t: t <> '')"
 
@@ -81,7 +97,7 @@ def _jaccard(a: str, b: str) -> str:
     return f"case when {union} = 0 then 1.0 else len(list_intersect(list_distinct({a}), list_distinct({b}))) / {union} end"
 
 
-_FLAGS = f"f as (select {_label('source')} as source, {_label('dblp_source')} as dblp_source, nullif(year, 0) as year, {_t('doi')} <> '' as has_doi, {_t('abstract')} <> '' as has_abstract from paper_new)"
+_FLAGS = f"f as (select {_label('source')} as source, {_label('dblp_source')} as dblp_source, year, {_t('doi')} <> '' as has_doi, {_t('abstract')} <> '' as has_abstract from paper_new)"
 _COUNTS = "count(*) as paper_count, count(*) filter (not has_doi) as missing_doi_count, count(*) filter (not has_abstract) as missing_abstract_count, count(*) filter (has_doi and has_abstract) as complete_count"
 _LATEST = "(select * exclude (rn) from (select *, row_number() over (partition by paper_uid order by row_id desc) as rn from paper_new) where rn = 1)"
 
@@ -93,11 +109,20 @@ def _latest(read) -> DataFrame:
 # -- counts and profiles
 
 
-@query(f"""with {_FLAGS}, g as (select source, dblp_source, year, grouping(dblp_source) * 2 + grouping(year) as g, {_COUNTS} from f group by grouping sets ((source, year), (source, dblp_source), (source))),
-k as (select *, case g when 2 then 'source_year' when 1 then 'source_dblp' else 'source_summary' end as stat_type from g)
-select sha1('papers::' || stat_type || '::' || source || '::' || coalesce(dblp_source, 'None') || '::' || coalesce(cast(year as varchar), 'None')) as stat_key, stat_type, source, dblp_source, year, paper_count, missing_doi_count, missing_abstract_count, complete_count from k""")
+_STATS = f"""{_FLAGS}, g as (select source, dblp_source, year, grouping(dblp_source) * 2 + grouping(year) as g, {_COUNTS} from f group by grouping sets ((source, year), (source, dblp_source), (source))),
+k as (select *, case g when 2 then 'source_year' when 1 then 'source_dblp_completeness' else 'source_summary' end as stat_type, case g when 2 then '::' || coalesce(cast(year as varchar), 'None') when 1 then '::' || dblp_source else '' end as more from g),
+s as (select stat_type || '::paper_new::' || sha1(stat_type || '::paper_new::' || source || more) as stat_key, stat_type, 'paper_new' as source_collection, source, dblp_source, year, paper_count, missing_doi_count, missing_abstract_count, complete_count, cast(1700000000000 as bigint) as generated_at from k)"""
+
+
+@query(f"with {_STATS} select * from s")
 def stats_grouping_sets(read):
-    return stats.grouping_sets(read("paper_new"))
+    return stats.grouping_sets(read("paper_new"), "paper_new", 1700000000000)
+
+
+@query(f"with {_STATS} select stat_key, stat_type, source, row_number() over (partition by stat_type order by {_fold('source')}, source, year nulls last, {_fold('dblp_source')} nulls first, dblp_source) as position from s")
+def stats_in_order(read):
+    """The place of each row of the counts in its table."""
+    return stats.in_order(stats.grouping_sets(read("paper_new"), "paper_new")).select("stat_key", "stat_type", "source", "position")
 
 
 @query(f"with {_FLAGS} select source, year, {_COUNTS} from f group by 1, 2")
@@ -135,9 +160,11 @@ def source_year_matrix(read):
     return stats.year_matrix(read("paper_new"))
 
 
-@query(f"""with {_FLAGS} select source, count(*) filter (year = 2021) as "2021", count(*) filter (year = 2022) as "2022", count(*) filter (year = 2023) as "2023", count(*) filter (year = 2024) as "2024" from f group by 1""")
+@query(f"with {_FLAGS}, y as (select source, year from f where year is not null) pivot y on year using count(*) group by source")
 def source_year_pivot(read):
-    return stats.year_pivot(read("paper_new"), [2021, 2022, 2023, 2024])
+    """Counts of each source with a column for each year that occurs."""
+    papers = read("paper_new")
+    return stats.year_pivot(papers.where("year is not null"))
 
 
 @query(f"""with {_FLAGS}, s as (select source, {_COUNTS} from f group by 1) select source, paper_count, paper_count - complete_count as missing_any,
@@ -242,7 +269,7 @@ def latest_by_uid(read):
 
 
 _CHANGE = f"""c as (select n.paper_uid, case when o.paper_uid is null then 'new'
-when lower({_t('n.title')}) <> lower({_t('o.title')}) or lower({_t('n.abstract')}) <> lower({_t('o.abstract')}) or o.embedding_model is distinct from '{MODEL}' or o.has_embedding is distinct from true then 'embed_input_change'
+when lower({_t('n.title')}) <> lower({_t('o.title')}) or lower({_t('n.abstract')}) <> lower({_t('o.abstract')}) or lower({_t('o.embedding_model')}) <> '{MODEL}' or o.has_embedding is distinct from true then 'embed_input_change'
 when n.dblp_key is not distinct from o.dblp_key and n.doi is not distinct from o.doi and n.title is not distinct from o.title and n.abstract is not distinct from o.abstract and coalesce(n.authors, []) = coalesce(o.authors, [])
 and coalesce(n.keywords, []) = coalesce(o.keywords, []) and n.source is not distinct from o.source and n.dblp_source is not distinct from o.dblp_source and n.year is not distinct from o.year
 and n.citation_count is not distinct from o.citation_count and n.full_paper is not distinct from o.full_paper then 'unchanged' else 'metadata_only_change' end as change
@@ -296,19 +323,34 @@ def keyed_merge_replace(read):
     return merge.replace_in_place(old, papers.where("batch_id > 1").drop("batch_id"), "paper_uid", "row_id")
 
 
-@query(f"""with w as (select distinct dblp_key from paper_prod where not full_paper and {_t('dblp_key')} <> ''), f as (select dblp_key, min(doi) as doi, min(title) as title from paper_new where dblp_key in (select dblp_key from w) group by 1)
-select w.dblp_key as key, w.dblp_key, coalesce(doi, '') as doi, coalesce(title, '') as title from w left join f using (dblp_key)""")
-def move_to_excluded(read):
+_EXCLUDE = f"""w as (select distinct {_c('dblp_key')} as key from paper_prod where not full_paper and {_c('dblp_key')} <> ''), x as (select dblp_key as key, dblp_key, min(doi) as doi, min(title) as title from paper_prod where year < 2005 and {_c('dblp_key')} = dblp_key and dblp_key <> '' group by 1, 2),
+r as (select {_c('dblp_key')} as key, 0 as rank, row_id as place, {_c('doi')} as doi, {_c('title')} as title from paper_new where batch_id > 1 union all select {_c('dblp_key')}, 1, 0, {_c('doi')}, {_c('title')} from paper_prod where year >= 2010 union all select key, 2, 0, {_c('doi')}, {_c('title')} from x),
+b as (select key, doi, title from (select *, row_number() over (partition by key order by rank, place, doi, title) as n from r where key in (select key from w)) where n = 1)"""
+
+
+def _excluded(read):
     keys = read("paper_prod").where("not full_paper").select("dblp_key")
-    empty = read("paper_prod").where("1 = 0").select(F.col("dblp_key").alias("key"), "dblp_key", "doi", "title")
-    return merge.move_to_excluded(read("paper_new").select("dblp_key", "doi", "title"), empty, keys)[1]
+    old = read("paper_prod").where((F.col("year") < 2005) & (X.collapse(F.col("dblp_key")) == F.col("dblp_key")) & (F.col("dblp_key") != ""))
+    known = old.groupBy(F.col("dblp_key").alias("key"), "dblp_key").agg(F.min("doi").alias("doi"), F.min("title").alias("title"))
+    return merge.move_to_excluded([read("paper_new").where("batch_id > 1"), read("paper_prod").where("year >= 2010")], known, keys, ["row_id", None])
+
+
+@query(f"""with {_EXCLUDE} select w.key, w.key as dblp_key, coalesce(doi, '') as doi, coalesce(title, '') as title from w left join b using (key) union all select key, dblp_key, doi, title from x where key not in (select key from w)""")
+def move_to_excluded(read):
+    return _excluded(read)[1]
+
+
+@query(f"""with {_EXCLUDE} select row_id, paper_uid from paper_new where batch_id > 1 and {_c('dblp_key')} not in (select key from w)""")
+def kept_after_exclusion(read):
+    return _excluded(read)[0][0].select("row_id", "paper_uid")
 
 
-@query(f"""select row_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(authors, lambda a: {_name('a')}), lambda x: x <> ''))), '|') as names from paper_new where len(authors) > 0""")
+@query(f"""with a as (select row_id, i, {_name('authors[i]')} as n from (select row_id, authors, unnest(range(1, len(authors) + 1)) as i from paper_new where len(authors) > 0)),
+d as (select row_id, n, min(i) as i from a where n <> '' group by 1, 2) select p.row_id, coalesce((select string_agg(n, '|' order by i) from d where d.row_id = p.row_id), '') as names from paper_new p where len(authors) > 0""")
 def column_backfill(read):
     papers = read("paper_new").where("size(authors) > 0").select("row_id", "authors", F.lit(None).cast("array<string>").alias("names"))
     filled = merge.fill_column(papers, "names", X.author_names(F.col("authors")))
-    return filled.select("row_id", F.array_join(F.array_sort(F.coalesce("names", F.array().cast("array<string>"))), "|").alias("names"))
+    return filled.select("row_id", F.array_join(F.coalesce("names", F.array().cast("array<string>")), "|").alias("names"))
 
 
 @query(f"""with k as (select distinct dblp_key from paper_new where dblp_key is not null), p as (select dblp_key, min(title) as t from paper_prod group by 1), n as (select dblp_key, min(title) as t from paper_new group by 1)
@@ -342,9 +384,12 @@ _ENRICHED = f"""with h as (select doi, e.abstract as abstract, e.keywords as key
 r as (select p.row_id, h.doi is not null as there, p.abstract as a, h.abstract as b, p.keywords as k, h.keywords as l, p.citation_count as c, h.citation_count as d from paper_new p left join h on {_dkey('p.doi')} = h.doi)"""
 
 
-@query(_ENRICHED + """ select row_id, 'overwrite' as rule, length(case when there then coalesce(b, '') else a end) as abstract_length, len(case when len(l) > 0 then l else k end) as keyword_number, coalesce(d, c) as citation_count from r
-union all select row_id, 'prefer', length(coalesce(nullif(""" + _t("b") + """, ''), nullif(""" + _t("a") + """, ''), '')), len(case when len(k) > 0 then k else l end), coalesce(c, d) from r
-union all select row_id, 'fill', length(coalesce(nullif(""" + _t("a") + """, ''), nullif(""" + _t("b") + """, ''), '')), len(case when len(k) > 0 then k else l end), coalesce(c, d) from r""")
+_NEW = _c("b")
+
+
+@query(_ENRICHED + f""" select row_id, 'overwrite' as rule, length(case when there then {_NEW} else a end) as abstract_length, len(case when len(l) > 0 then l else k end) as keyword_number, coalesce(d, c) as citation_count from r
+union all select row_id, 'prefer', length(case when {_NEW} <> '' then {_NEW} else a end), len(case when len(k) > 0 then k else l end), coalesce(c, d) from r
+union all select row_id, 'fill', length(case when {_NEW} <> '' and {_t("a")} = '' then {_NEW} else a end), len(case when len(k) > 0 then k else l end), coalesce(c, d) from r""")
 def enrich_precedence(read):
     cache, papers = _cache(read), read("paper_new").select("row_id", "doi", "abstract", "keywords", "citation_count")
     one = lambda rule: enrich.by_doi(papers, cache, rule).select("row_id", F.lit(rule).alias("rule"), F.length("abstract").alias("abstract_length"), F.when(F.col("keywords").isNotNull(), F.size("keywords")).alias("keyword_number"), "citation_count")
@@ -363,62 +408,85 @@ def title_match_fuzzy(read):
     return enrich.best_matches(_latest(read).select("paper_uid", "title", "authors", "year"), old)
 
 
-@query(f"""with a as (select row_id, {_tokens('title')} as t, year from paper_new where year is not null), b as (select distinct id, {_tokens('title')} as t, year from load_to_zilliz where year is not null),
-j as (select row_id, id, {_jaccard('a.t', 'b.t')} as s from a join b on a.year = b.year and array_to_string(list_sort(list_distinct(a.t))[1:3], ' ') = array_to_string(list_sort(list_distinct(b.t))[1:3], ' '))
-select row_id, id, round(s, 4) as similarity from j where s >= 0.7""")
+@query(f"""with a as (select row_id, list_distinct({_tokens('title')}) as t, year from paper_new where year is not null), b as (select distinct id, list_distinct({_tokens('title')}) as t, year from load_to_zilliz where year is not null),
+c as (select row_id, len(t) as n, unnest(t) as w, year from a), d as (select id, t as key, len(t) as n, unnest(t) as w, year from b), j as (select row_id, id, key, c.n as m, d.n as n, count(*) as s from c join d using (year, w) group by all)
+select distinct row_id, id, round(s / (m + n - s), 4) as similarity from j where s >= 0.7 * (m + n - s) - 1e-9""")
 def title_match_jaccard(read):
-    block = lambda: F.array_join(F.slice(F.array_sort(F.array_distinct("t")), 1, 3), " ")
-    a = read("paper_new").where("year is not null").select("row_id", X.tokens(F.col("title")).alias("t"), "year").withColumn("b", block())
-    b = read("load_to_zilliz").where("year is not null").select("id", X.tokens(F.col("title")).alias("t"), "year").distinct().withColumn("b", block())
-    both = a.join(b.withColumnRenamed("t", "u"), ["year", "b"]).withColumn("s", X.jaccard(F.col("t"), F.col("u"))).where("s >= 0.7")
-    return both.select("row_id", "id", F.round("s", 4).alias("similarity"))
+    """All pairs of one year whose titles share 0.7 of their words."""
+    old = read("load_to_zilliz").where("year is not null").select("id", "title", "year").distinct()
+    return enrich.similar_titles(read("paper_new").where("year is not null"), old, "row_id", "id", 0.7)
 
 
 # -- look-up and retrieval
 
-_LOOKUP = f"""i as (select input_id, {_c('doi')} as raw, {_find_doi('lower(doi)')} as norm, coalesce(title, '') as title from coverage_input),
-r as (select {_c('doi')} as v, min(paper_uid) as u from paper_prod group by 1 having v <> ''), n as (select {_dkey('doi')} as v, min(paper_uid) as u from paper_prod group by 1 having v <> ''), t as (select title as v, min(paper_uid) as u from paper_prod where title <> '' group by 1),
-l as (select input_id, coalesce(r.u, n.u, t.u) as paper_uid, case when r.u is not null then 'doi' when n.u is not null then 'normal_doi' when t.u is not null then 'title' else 'missing' end as status
-from i left join r on i.raw = r.v left join n on i.norm = n.v left join t on i.title = t.v)"""
+def _bm25(inputs: str) -> str:
+    """Common tables that end in ``best`` (input_id, uid, score): the first title by BM25, scored against all papers."""
+    return f"""bd as (select paper_uid, {_tokens('title')} as w from paper_prod), bn as (select count(*) as n, avg(len(w)) as average from bd), bp as (select paper_uid, term, count(*) as tf from (select paper_uid, unnest(w) as term from bd) group by 1, 2), bf as (select term, count(*) as df from bp group by 1),
+bq as (select distinct input_id, term from (select input_id, unnest({_tokens('title')}) as term from {inputs})), bw as (select input_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) as idf from bq join bf using (term), bn),
+bs as (select input_id, bp.paper_uid, round(sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(bd.w) / average))), 6) as score from bw join bp using (term) join bd on bd.paper_uid = bp.paper_uid, bn group by 1, 2),
+best as (select input_id, paper_uid as uid, score from (select *, row_number() over (partition by input_id order by score desc, paper_uid) as rn from bs) where rn = 1)"""
 
 
-@query(f"with {_LOOKUP} select * from l")
-def coverage_lookup(read):
+_LOOKUP = f"""i as (select input_id, {_t('doi')} as raw, {_typed_doi('doi')} as norm, {_t('title')} as title from coverage_input), d as (select doi as v, min(paper_uid) as u from paper_prod where doi <> '' group by 1), t as (select title as v, min(paper_uid) as u from paper_prod where title <> '' group by 1),
+e as (select i.*, coalesce(d1.u, d2.u, d3.u) as by_doi, t.u as by_title from i left join d d1 on raw = d1.v left join d d2 on norm = d2.v left join d d3 on norm <> '' and 'https://doi.org/' || norm = d3.v left join t on i.title = t.v),
+rest as (select input_id, title from e where by_doi is null and by_title is null and title <> ''), {_bm25('rest')}, bt as (select paper_uid as uid, min(title) as their from paper_prod group by 1),
+l as (select e.input_id, coalesce(by_doi, by_title, best.uid) as paper_uid, case when by_doi is not null then 'matched_doi' when by_title is not null then 'matched_title' when best.uid is null then 'missing' when {_plain('e.title')} = {_plain('their')} then 'matched_title' else 'candidate' end as status
+from e left join best using (input_id) left join bt on bt.uid = best.uid)"""
+
+
+def _found(read) -> DataFrame:
     return retrieval.lookup(read("coverage_input"), read("paper_prod"))
 
 
-@query(f"with {_LOOKUP} select status, count(*) as inputs, count(paper_uid) as papers from l group by 1")
-def coverage_counts(read):
-    return retrieval.lookup_counts(retrieval.lookup(read("coverage_input"), read("paper_prod")))
+@query(f"with {_LOOKUP} select * from l")
+def coverage_lookup(read):
+    return _found(read)
 
 
 def _known(a: str, b: str, score: str) -> str:
-    return f"case when {_t(a)} <> '' and {_t(b)} <> '' then {score} end"
+    return f"case when coalesce({a}, '') <> '' and coalesce({b}, '') <> '' then {score} end"
 
 
-_SIMILAR = f"""{_LOOKUP}, m as (select l.input_id, l.paper_uid, l.status, i.title as it, i.doi as id, i.year as iy, i.source as isrc, i.authors as ia, p.title as pt, p.doi as pd, p.year as py, p.source as ps, array_to_string(p.authors, ' ') as pa
+def _place(c: str) -> str:
+    return f"lower({_t(c)})"
+
+
+_SIMILAR = f"""{_LOOKUP}, m as (select l.input_id, l.paper_uid, l.status, {_t('i.title')} as it, {_t('i.doi')} as id, {_t('i.year')} as iy, {_t('i.source')} as isrc, {_t('i.authors')} as ia, p.title as pt, p.doi as pd, cast(p.year as varchar) as py, p.source as ps, array_to_string(list_filter(p.authors, lambda x: x <> ''), ', ') as pa
 from l join coverage_input i using (input_id) join paper_prod p on l.paper_uid = p.paper_uid),
-s as (select input_id, paper_uid, status, list_filter([{_known('it', 'pt', _jaccard(_tokens('it'), _tokens('pt')))}, {_known('id', 'pd', f"case when {_find_doi('lower(id)')} = {_dkey('pd')} then 1.0 else 0.0 end")},
-{_known('iy', 'cast(py as varchar)', f"case when regexp_matches({_t('iy')}, '^[+-]?[0-9]+$') and try_cast({_t('iy')} as bigint) = py then 1.0 else 0.0 end")}, {_known('isrc', 'ps', f"case when lower({_c('isrc')}) = lower({_c('ps')}) then 1.0 else 0.0 end")},
-{_known('ia', 'pa', _jaccard(_tokens('ia'), _tokens('pa')))}], lambda x: x is not null) as k, {_t('isrc')} <> '' and {_t('ps')} <> '' and lower({_c('isrc')}) <> lower({_c('ps')}) as source_mismatch from m)"""
+s as (select input_id, paper_uid, status, list_filter([{_known('it', 'pt', _jaccard(_words('it'), _words('pt')))}, {_known('id', 'pd', f"case when {_typed_doi('id')} = {_typed_doi('pd')} then 1.0 else 0.0 end")}, {_known('iy', 'py', "case when iy = py then 1.0 else 0.0 end")},
+{_known('isrc', 'ps', f"case when {_place('isrc')} = {_place('ps')} then 1.0 else 0.0 end")}, {_known('ia', 'pa', _jaccard(_words('ia'), _words('pa')))}], lambda x: x is not null) as k, isrc <> '' and coalesce(ps, '') <> '' and {_place('isrc')} <> {_place('ps')} as source_mismatch from m),
+c as (select input_id, paper_uid, status, round(coalesce(list_avg(k), 0.0), 4) as similarity, source_mismatch from s)"""
+
 
+def _scored(read) -> DataFrame:
+    return retrieval.similarity(read("coverage_input"), read("paper_prod"), _found(read))
 
-@query(f"with {_SIMILAR} select input_id, paper_uid, status, round(list_avg(k), 4) as similarity, source_mismatch from s")
+
+@query(f"with {_SIMILAR} select * from c")
 def coverage_similarity(read):
-    return retrieval.similarity(read("coverage_input"), read("paper_prod"), retrieval.lookup(read("coverage_input"), read("paper_prod")))
+    return _scored(read)
+
+
+@query(f"with {_SIMILAR} select count(*) as inputs, count(*) filter (status like 'matched%') as matched, count(*) filter (status = 'candidate') as candidate, count(*) filter (status = 'missing') as missing, (select count(*) filter (source_mismatch) from c) as source_mismatch from l")
+def coverage_counts(read):
+    return retrieval.lookup_counts(_found(read), _scored(read))
 
 
-@query(f"with {_SIMILAR} select input_id, paper_uid, similarity, source_mismatch from (select input_id, paper_uid, round(list_avg(k), 4) as similarity, source_mismatch from s) order by source_mismatch desc, similarity desc, input_id limit 100")
+@query(f"with {_SIMILAR} select * from c order by source_mismatch desc, case status when 'matched_doi' then 0 when 'matched_title' then 1 when 'candidate' then 2 else 3 end, similarity desc, input_id limit 100")
 def coverage_doubtful(read):
-    """The hundred matches to look at first: those whose sources differ, then by similarity."""
-    return coverage_similarity(read).select("input_id", "paper_uid", "similarity", "source_mismatch").orderBy(F.desc("source_mismatch"), F.desc("similarity"), "input_id").limit(100)
+    """The hundred results to look at first: other sources, then by status, then by similarity."""
+    return retrieval.results_in_order(_scored(read)).limit(100)
+
+
+@query(f"""with {_SIMILAR} select input_id, l.status, coalesce(c.source_mismatch, false) as source_mismatch, coalesce(c.similarity, 0.0) as similarity, {_t('i.title')} as csv_title, {_t('i.doi')} as csv_doi, {_t('i.source')} as csv_source, {_t('i.year')} as csv_year, {_t('i.authors')} as csv_authors,
+coalesce(p.title, '') as match_title, coalesce(p.doi, '') as match_doi, coalesce(p.source, '') as match_source, coalesce(cast(p.year as varchar), '') as match_year, coalesce(array_to_string(list_filter(p.authors, lambda x: x <> ''), ', '), '') as match_authors, coalesce(l.paper_uid, '') as paper_uid
+from l join coverage_input i using (input_id) left join c using (input_id) left join paper_prod p on p.paper_uid = l.paper_uid""")
+def coverage_export(read):
+    found = _found(read)
+    return retrieval.export(read("coverage_input"), read("paper_prod"), found, retrieval.similarity(read("coverage_input"), read("paper_prod"), found))
 
 
-@query(f"""with d as (select paper_uid, {_tokens('title')} as w from paper_prod), n as (select count(*) as n, avg(len(w)) as average from d), p as (select paper_uid, term, count(*) as tf from (select paper_uid, unnest(w) as term from d) group by 1, 2), df as (select term, count(*) as df from p group by 1),
-q as (select distinct input_id, term from (select input_id, unnest({_tokens('title')}) as term from coverage_input where input_id % 20 = 0)), w as (select input_id, term, df, ln(1 + (n - df + 0.5) / (df + 0.5)) as idf from q join df using (term), n),
-r as (select * from w, n where df <= greatest(1.0, 0.1 * n)), o as (select input_id, term from r union select input_id, term from w where input_id not in (select input_id from r)), c as (select distinct input_id, paper_uid from o join p using (term)),
-s as (select c.input_id, c.paper_uid, round(sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(d.w) / average))), 6) as score from c join w using (input_id) join p on p.term = w.term and p.paper_uid = c.paper_uid join d on d.paper_uid = c.paper_uid, n group by 1, 2)
-select input_id, paper_uid, round(score, 4) as score from (select *, row_number() over (partition by input_id order by score desc, paper_uid) as rn from s) where rn = 1""")
+@query(f"with q as (select input_id, title from coverage_input where input_id % 20 = 0), {_bm25('q')} select input_id, uid as paper_uid, round(score, 4) as score from best")
 def bm25_top(read):
     """The best title for every twentieth input, against all papers."""
     return retrieval.bm25_top(read("coverage_input").where("input_id % 20 = 0"), read("paper_prod"), "input_id", "title", "paper_uid", "title")
@@ -448,14 +516,9 @@ def rebuild_from_positions(read):
     return index.select("doc_id", F.sha1(X.text_of_positions(F.col("index"))).alias("digest"))
 
 
-_MARKUP = "coalesce(text, '')"
-_MARKUP = f"regexp_replace({_MARKUP}, '(?i)</?jats:[^>]*>|<[^>]+>', ' ', 'g')"
-for _entity, _sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-    _MARKUP = f"replace({_MARKUP}, '{_entity}', '{_sign}')"
-
-
-@query(f"select doc_id, sha1({_c(_MARKUP)}) as digest from documents")
+@query()
 def clean_markup(read):
+    """Texts without markup and with entities resolved, which SQL cannot; tested against a plain version."""
     return read("documents").select("doc_id", F.sha1(X.without_markup(F.col("text"))).alias("digest"))
 
 
@@ -469,16 +532,22 @@ def year_forms(read):
     return read("coverage_input").select("input_id", X.year_or_null(F.col("year")).alias("year_number"), X.year_label(F.col("year")).alias("year_label"))
 
 
-@query(f"""select row_id, case when {_dkey('doi')} <> '' then 'doi:' || {_dkey('doi')} when {_t('dblp_key')} <> '' then 'dblp:' || {_c('dblp_key')} else 'none' end as uid from paper_new""")
+_AUTHORS_JSON = f"coalesce((select string_agg(to_json({_fold(_c('authors[n]'))}), ',' order by n) from unnest(range(1, len(authors) + 1)) as u(n)), '')"
+_FALLBACK = f"""'fallback:' || sha1('{{"authors":[' || {_AUTHORS_JSON} || '],"dblp_source":' || to_json({_fold(_c('dblp_source'))}) || ',"title":' || to_json({_fold(_c('title'))}) || ',"year":' || to_json(coalesce(cast(year as varchar), '')) || '}}')"""
+
+
+@query(f"""select row_id, case when {_dkey('doi')} <> '' then 'doi:' || {_dkey('doi')} when {_t('dblp_key')} <> '' then 'dblp:' || {_c('dblp_key')} else {_FALLBACK} end as uid, {_FALLBACK} as digest from paper_new""")
 def paper_uids(read):
-    uid = X.paper_uid(F.col("doi"), F.col("dblp_key"), F.col("title"), F.col("authors"), F.col("year"), F.col("dblp_source"))
-    return read("paper_new").select("row_id", F.when(uid.startswith("fallback:"), "none").otherwise(uid).alias("uid"))
+    """Each record's uid, and the one it would have without DOI and key."""
+    uid = lambda doi, key: X.paper_uid(doi, key, F.col("title"), F.col("authors"), F.col("year").cast("string"), F.col("dblp_source"))
+    return read("paper_new").select("row_id", uid(F.col("doi"), F.col("dblp_key")).alias("uid"), uid(F.lit(""), F.lit("")).alias("digest"))
 
 
-_LIST = "list_filter(list_transform(coalesce({0}, [])[1:256], lambda x: substring(" + _t("x") + ", 1, 512)), lambda x: x <> '')"
+_WHOLE = "nullif(array_to_string(list_filter(list_transform(coalesce({0}, []), lambda x: " + _t("x") + "), lambda x: x <> ''), ' '), '')"
+_SEARCH = f"nullif(substring(lower(concat_ws(' ', nullif({_t('title')}, ''), nullif({_t('abstract')}, ''), {_WHOLE.replace('{0}', 'keywords')}, {_WHOLE.replace('{0}', 'authors')})), 1, 65535), '')"
 
 
-@query(f"""select row_id, sha1(substring(lower({_c("concat_ws(' ', nullif(" + _t('title') + ", ''), nullif(" + _t('abstract') + ", ''), array_to_string(" + _LIST.replace('{0}', 'keywords') + ", ' '), array_to_string(" + _LIST.replace('{0}', 'authors') + ", ' '))")}), 1, 65535)) as digest from paper_new""")
+@query(f"select row_id, sha1({_SEARCH}) as digest from paper_new")
 def search_texts(read):
     return read("paper_new").select("row_id", F.sha1(X.search_text(F.col("title"), F.col("abstract"), F.col("keywords"), F.col("authors"))).alias("digest"))
 
@@ -493,8 +562,11 @@ def author_overlaps(read):
     return both.select("row_id", F.round(X.author_overlap(F.col("authors"), F.col("others")), 4).alias("overlap"))
 
 
-@query(f"""with n as (select distinct typed, coalesce(nullif(regexp_replace(regexp_replace({_c('typed')}, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'unknown') as f from (select dblp_source as typed from coverage_input))
-select typed, case when row_number() over (partition by lower(f) order by typed nulls first) = 1 then f else concat_ws('-', f, substring(sha1(typed), 1, 8)) end as file_name from n""")
+_SAFE = f"coalesce(nullif(substring(regexp_replace(regexp_replace(regexp_replace(x, '[^A-Za-z0-9._ -]+', '_', 'g'), '\\s+', ' ', 'g'), '^[ ._]+|[ ._]+$', '', 'g'), 1, 160), ''), '__unknown_source__')"
+
+
+@query(f"""with n as (select distinct dblp_source as typed, {_c('dblp_source')} as x from coverage_input), s as (select *, row_number() over (partition by lower(f) order by x) as k from (select distinct x, {_SAFE} as f from n))
+select typed, case when k = 1 then f else substring(f, 1, 149) || '_' || substring(sha1(x), 1, 10) end || '.json' as file_name from n join s using (x)""")
 def venue_file_names(read):
     return writers.file_names(read("coverage_input").select(F.col("dblp_source").alias("typed")), "typed")
 
@@ -512,6 +584,9 @@ def event_windows(read):
     return incremental.windows(read("events"), "ts", "event_type", "value")
 
 
+from . import more  # noqa: E402,F401  registers its queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -9,15 +9,23 @@ from ..functions import text as X
 
 
 def partitioned_json(rows: DataFrame, path: str, *columns: str, mode: str = "errorifexists") -> None:
-    """One directory for each value of the columns; rows are gathered by them first, so that files stay few."""
-    rows.repartition(*columns).write.mode(mode).partitionBy(*columns).json(path)
+    """One directory for each value of the columns. Rows are gathered by them first, so that files stay few; Spark splits what is
+    gathered for a value that many rows have."""
+    rows.hint("rebalance", *(F.col(c) for c in columns)).write.mode(mode).partitionBy(*columns).json(path)
+
+
+def manifest(rows: DataFrame, *columns: str) -> DataFrame:
+    """What ``partitioned_json`` writes: each value of the columns with its number of rows."""
+    return rows.groupBy(*columns).agg(F.count("*").alias("papers"))
 
 
 def file_names(rows: DataFrame, column: str) -> DataFrame:
-    """(value, file_name) of each distinct value: safe names that differ without case too; the first by value keeps the plain one."""
-    named = rows.select(column).distinct().withColumn("file_name", X.safe_name(F.col(column)))
-    first = F.row_number().over(Window.partitionBy(F.lower("file_name")).orderBy(column)) == 1
-    return named.withColumn("file_name", F.when(first, F.col("file_name")).otherwise(F.concat_ws("-", "file_name", F.substring(F.sha1(F.col(column)), 1, 8))))
+    """(value, file_name) of each distinct value: safe names that differ without case too. Of values (without extra blanks) whose names
+    are equal the first keeps the plain one, the others get a digest."""
+    names = rows.select(column, X.collapse(F.col(column)).alias("_text")).distinct()
+    each = names.select("_text").distinct().withColumn("_safe", X.safe_name(F.col("_text"))).withColumn("_n", F.row_number().over(Window.partitionBy(F.lower("_safe")).orderBy("_text")))
+    digest = F.concat(F.substring("_safe", 1, 149), F.lit("_"), F.substring(F.sha1("_text"), 1, 10))
+    return names.join(each.select("_text", F.concat(F.when(F.col("_n") == 1, F.col("_safe")).otherwise(digest), F.lit(".json")).alias("file_name")), "_text").select(column, "file_name")
 
 
 def sorted_values(rows: DataFrame, column: str, path: str) -> None:

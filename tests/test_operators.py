@@ -13,7 +13,7 @@ def papers(spark, *rows):
 
 def test_grouping_sets_keep_null_years_apart(spark):
     rows = papers(spark, {"source": "A", "dblp_source": "a", "year": 2000, "doi": "10.1/x", "abstract": "t"}, {"source": "A", "dblp_source": "a", "year": None}, {"source": " "})
-    got = {(r.stat_type, r.source, r.year): (r.paper_count, r.complete_count) for r in stats.grouping_sets(rows).collect() if r.stat_type != "source_dblp"}
+    got = {(r.stat_type, r.source, r.year): (r.paper_count, r.complete_count) for r in stats.grouping_sets(rows).collect() if r.stat_type != "source_dblp_completeness"}
     assert got == {("source_year", "A", 2000): (1, 1), ("source_year", "A", None): (1, 0), ("source_year", "Unknown", None): (1, 0), ("source_summary", "A", None): (2, 1), ("source_summary", "Unknown", None): (1, 0)}
     assert stats.grouping_sets(rows.where("1 = 0")).count() == 0
 
@@ -89,9 +89,10 @@ def test_best_match_and_ambiguity(spark):
 
 def test_lookup_cascade(spark):
     docs = papers(spark, {"paper_uid": "a", "doi": "10.1234/x", "title": "One"}, {"paper_uid": "b", "title": "Two"})
-    typed = spark.createDataFrame([(1, "10.1234/x", None), (2, "https://doi.org/10.1234/X", None), (3, None, "Two"), (4, "", "three"), (5, None, None)], "input_id bigint, doi string, title string")
-    got = {r.input_id: (r.paper_uid, r.status) for r in retrieval.lookup(typed, docs).collect()}
-    assert got == {1: ("a", "doi"), 2: ("a", "normal_doi"), 3: ("b", "title"), 4: (None, "missing"), 5: (None, "missing")}
+    docs = docs.unionAll(papers(spark, {"paper_uid": "c", "doi": "https://doi.org/10.9999/z", "title": "Three blind mice"}))
+    typed = [(1, "10.1234/x", None), (2, "https://doi.org/10.1234/X", None), (3, None, "Two "), (4, "", "four"), (5, None, None), (6, "doi: 10.9999/Z", None), (7, None, "Thrée: blind mice!"), (8, "10.5/none", "blind men")]
+    got = {r.input_id: (r.paper_uid, r.status) for r in retrieval.lookup(spark.createDataFrame(typed, "input_id bigint, doi string, title string"), docs).collect()}
+    assert got == {1: ("a", "matched_doi"), 2: ("a", "matched_doi"), 3: ("b", "matched_title"), 4: (None, "missing"), 5: (None, "missing"), 6: ("c", "matched_doi"), 7: ("c", "matched_title"), 8: ("c", "candidate")}
 
 
 def test_embedder_failures_give_nulls(spark):
@@ -162,3 +163,114 @@ def test_best_match_finds_all_that_the_rule_accepts(spark):
                 want[u] = max(want.get(u, (0, 0)), (round(r, 4), round(overlap, 4)))
     got = {r.paper_uid: (r.title_similarity, r.overlap) for r in enrich.best_matches(a, b).collect()}
     assert len(want) > 80 and got == want
+
+
+def test_records_without_a_key_are_never_merged(spark):
+    old = spark.createDataFrame([("a", 1, "x"), ("", 2, "y"), (None, 3, "z")], "k string, n int, v string")
+    new = spark.createDataFrame([("a", 1, "new"), ("", 2, "p"), ("", 3, "q"), (None, 4, "r"), ("b", 5, "s")], "k string, n int, v string")
+    got = sorted((r.n, r.k, r.v) for r in merge.replace_in_place(old, new, "k", "n").collect())
+    assert got == [(1, "a", "new"), (2, "", "y"), (3, None, "z"), (5, "", "p"), (6, "", "q"), (7, None, "r"), (8, "b", "s")]
+
+
+def test_a_found_row_beats_a_known_excluded_one(spark):
+    tables = [spark.createDataFrame([("k1", "d2", "second", 2), ("k1", "d1", "first", 1), ("k9", "d9", "stays", 3)], "dblp_key string, doi string, title string, row_id bigint"), spark.createDataFrame([("k1", "d0", "later table"), ("k2", "d3", None)], "dblp_key string, doi string, title string")]
+    known = spark.createDataFrame([("k1", "k1", "old", "old"), ("k3", "k3", "kept", "known"), ("k7", "k7", "x", "other")], "key string, dblp_key string, doi string, title string")
+    kept, after = merge.move_to_excluded(tables, known, spark.createDataFrame([("k1",), (" k2 ",), ("k3",), ("k4",), (None,), ("",)], "dblp_key string"), ["row_id", None])
+    assert {(r.key, r.doi, r.title) for r in after.collect()} == {("k1", "d1", "first"), ("k2", "d3", ""), ("k3", "kept", "known"), ("k4", "", ""), ("k7", "x", "other")}
+    assert [r.dblp_key for r in kept[0].collect()] == ["k9"] and kept[1].count() == 0
+
+
+def test_there_is_always_a_version_and_old_ones_stay(spark, tmp_path):
+    table = merge.VersionedTable(spark, str(tmp_path / "t"))
+    one = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k int")
+    table.append(one(1), "k")
+    first = table._parts()
+    table.append(one(1, 2), "k")
+    # the second version lists the first one's part and one with the new row alone
+    assert table._parts()[:1] == first and len(table._parts()) == 2 and table.read().count() == 2 and table.read(1).count() == 1
+    stale = merge.VersionedTable(spark, str(tmp_path / "t"))
+    stale._versions = lambda: [1]
+    try:
+        stale.commit(one(7))
+        raise AssertionError("a version was overwritten")
+    except OSError:
+        assert table.read().count() == 2
+    table.MOST_PARTS = 2
+    table.append(one(3), "k")
+    assert len(table._parts()) == 1 and table.read().count() == 3
+
+
+def test_bm25_finds_what_an_exhaustive_search_finds(spark):
+    import math
+    import random
+
+    rng = random.Random(5)
+    common, rare = ["of", "the", "data", "for"], [f"w{i}" for i in range(40)]
+    docs = [(f"d{i:03d}", " ".join(rng.choices(common, k=rng.randint(1, 6)) + rng.choices(rare, k=rng.randint(0, 3)))) for i in range(120)]
+    asked = [(i, " ".join(rng.choices(common, k=rng.randint(0, 4)) + rng.choices(rare, k=rng.randint(0, 2)))) for i in range(60)] + [(98, "nothing else"), (99, None)]
+    words = {d: t.split() for d, t in docs}
+    average, n = sum(map(len, words.values())) / len(words), len(words)
+    df = {t: sum(t in w for w in words.values()) for t in common + rare}
+    want = {}
+    for q, text in asked:
+        best = None
+        for d, w in words.items():
+            terms = [t for t in set((text or "").split()) if t in w]
+            if terms:
+                s = round(sum(math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / average)) for t in terms), 6)
+                best = min(best or (0.0, ""), (-s, d))
+        if best:
+            want[q] = best[1]
+    got = {r.q: r.uid for r in retrieval.bm25_top(spark.createDataFrame(asked, "q int, text string"), spark.createDataFrame(docs, "uid string, title string"), "q", "text", "uid", "title").collect()}
+    assert got == want
+
+
+def test_similar_titles_against_all_pairs(spark):
+    import random
+
+    rng = random.Random(8)
+    title = lambda: " ".join(rng.choices("of the a data graph tree map query user text".split(), k=rng.randint(0, 9)))
+    a = [(i, title(), rng.choice([2000, 2001])) for i in range(120)]
+    b = [(f"o{i}", title(), rng.choice([2000, 2001])) for i in range(120)]
+    want = set()
+    for i, t, y in a:
+        for o, u, z in b:
+            x, w = set(t.split()), set(u.split())
+            if y == z and x and w and len(x & w) / len(x | w) >= 0.7:
+                want.add((i, o))
+    got = enrich.similar_titles(spark.createDataFrame(a, "row_id int, title string, year int"), spark.createDataFrame(b, "id string, title string, year int"), "row_id", "id", 0.7)
+    assert len(want) > 20 and {(r.row_id, r.id) for r in got.collect()} == want
+
+
+def test_loading_options(spark):
+    from citeloom.operators import load
+
+    rows = papers(spark, {"paper_uid": "1", "doi": " 10.1/a ", "title": " t ", "abstract": " ", "authors": [" A B 0001", "a b", ""], "year": None}, {"title": "x" * 5000, "keywords": ["k"] * 300, "abstract": "long", "year": 2001})
+    one, two = load.to_entity(rows).orderBy("title").collect()
+    assert (one.doi, one.abstract, one.authors, one.authors_normalised, one.year, one.has_doi, one.has_abstract) == ("10.1/a", None, ["A B 0001", "a b"], ["a b"], 0, True, False)
+    assert len(two.title) == 4096 and len(two.keywords) == 256 and two.paper_uid.startswith("fallback:") and two.has_abstract
+    assert load.to_load(rows, ("title",), skip_missing_doi=True).count() == 1
+    there = spark.createDataFrame([("1",)], "paper_uid string")
+    for bad in ({}, {"resume": True, "skip": 5}):
+        try:
+            load.to_load(rows, ("title",), there, **bad)
+            raise AssertionError("not refused")
+        except ValueError:
+            pass
+    assert load.to_load(rows, ("title",), there, resume=True).count() == 1
+    assert load.to_load(rows, ("title",), there, allow_non_empty=True).count() == 1
+
+
+def test_gaps_are_filled_and_a_found_doi_renames(spark):
+    rows = spark.sql("select 'u' as paper_uid, '' as doi, cast(null as string) as abstract, array() as keywords, cast(null as bigint) as citation_count, named_struct('doi', 'https://doi.org/10.1/AB', 'abstract', ' a  b ', 'keywords', array('k'), 'citation_count', 3L) as found union all select 'v', '10.2/x', 'mine', array('m'), 1L, named_struct('doi', '10.3/y', 'abstract', 'other', 'keywords', array('o'), 'citation_count', 9L) union all select 'w', null, null, null, null, null")
+    got = {tuple(r[c] if c != "keywords" else tuple(r[c] or ()) for c in ("paper_uid", "doi", "abstract", "keywords", "citation_count")) for r in enrich.apply_found(rows).collect()}
+    assert got == {("doi:10.1/ab", "10.1/AB", "a b", ("k",), 3), ("v", "10.2/x", "mine", ("m",), 1), ("w", None, None, (), None)}
+
+
+def test_cosine_blocks_give_what_one_block_gives(spark):
+    import numpy as np
+
+    x = np.random.default_rng(2).standard_normal((60, 8))
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(60)], "id bigint, v array<float>")
+    rows = lambda block: {tuple(r) for r in retrieval.cosine_top(df, df, "id", "v", 3, block, 8).collect()}
+    assert rows(1000) == rows(7) and len(rows(7)) == 180

@@ -31,7 +31,7 @@ def test_json_lists_and_values(spark, tmp_path):
     (tmp_path / "j/a.json").write_text(json.dumps([{"paper_uid": "1", "year": "2001"}, {"paper_uid": "2"}]))
     (tmp_path / "j/_skip.json").write_text(json.dumps([{"paper_uid": "3"}]))
     assert sorted(r.paper_uid for r in readers.json_arrays(spark, str(tmp_path / "j"), PAPER).collect()) == ["1", "2"]
-    (tmp_path / "v.txt").write_text('# note\nk1\n "k2",\n{"dblp_key": "k3"}\n\nk1\n')
+    (tmp_path / "v.txt").write_text('# note\nk1\n "k2"\n{"dblp_key": "k3"}\n\nk1\n')
     assert sorted(r[0] for r in readers.value_list(spark, str(tmp_path / "v.txt")).collect()) == ["k1", "k2", "k3"]
 
 
@@ -47,7 +47,7 @@ def test_free_csv_and_pipe_table(spark, tmp_path):
 
 def test_saved_results(spark, tmp_path):
     (tmp_path / "r.csv").write_text("status,similarity,paper_uid\nmatched,87.5%,a\nmatched,0.4,b\nmissing,,\n")
-    assert [r.similarity for r in readers.saved_results(spark, str(tmp_path / "r.csv")).collect()] == [0.875, 0.4, None]
+    assert [r.similarity for r in readers.saved_results(spark, str(tmp_path / "r.csv")).collect()] == [0.875, 0.4, 0.0]
 
 
 def test_writers(spark, tmp_path):
@@ -62,3 +62,54 @@ def test_writers(spark, tmp_path):
     assert writers.grow_cache(spark, cache, str(tmp_path / "c"), "doi", ("found",)).count() == 1
     assert writers.grow_cache(spark, cache, str(tmp_path / "c"), "doi", ("found",)).count() == 1
     assert writers.markdown(cache.where("doi = 'd1'")) == "| doi | status |\n|---|---|\n| d1 | found |"
+
+
+def test_batch_states_read_the_hidden_file(spark, tmp_path):
+    for name, uid in (("enriched/a.json", "1"), ("missing/b.json", "2"), ("missing/_missing_doi.json", "3")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(json.dumps([{"paper_uid": uid}]))
+    got = {(r.paper_uid, r.state, r.file_name) for r in readers.batch_states(spark, str(tmp_path)).collect()}
+    assert got == {("1", "enriched", "a.json"), ("2", "missing_abstract", "b.json"), ("3", "missing_doi", "_missing_doi.json")}
+    assert readers.batch_states(spark, str(tmp_path), missing_doi=False).count() == 2
+
+
+def test_value_lists_of_every_form(spark, tmp_path):
+    import pytest
+
+    read = lambda name, text, **k: ((tmp_path / name).write_text(text), sorted(tuple(r) for r in readers.value_list(spark, str(tmp_path / name), **k).collect()))[1]
+    assert read("a.json", '["k/1", "k/2", {"dblp_key": "k/3"}, {"x": 1}, null]') == [("k/1",), ("k/2",), ("k/3",)]
+    assert read("b.txt", 'z\n#c\na "b"\nz\n', ordered=True) == [('a "b"', 2), ("z", 0)]
+    for bad in ('"k2",', '{"dblp_key": ', '"open'):
+        with pytest.raises(Exception, match="invalid JSON line"):
+            read("c.txt", f"k1\n{bad}\n")
+
+
+def test_venue_list_is_read_strictly(spark, tmp_path):
+    import pytest
+
+    def read(text):
+        (tmp_path / "v.csv").write_text("source,dblp_source,Full paper\n" + text)
+        return sorted(tuple(r) for r in readers.venue_map(spark, str(tmp_path / "v.csv")).collect())
+
+    assert read("A, a  b ,Yes\nB,b,n\n") == [("A", "a b", True), ("B", "b", False)]
+    for bad, why in (("A,a,maybe\n", "neither yes nor no"), ("A,a,yes\nB,a,yes\n", "several sources")):
+        with pytest.raises(Exception, match=why):
+            read(bad)
+
+
+def test_columns_of_a_look_up_list(spark):
+    assert readers.guess_columns(["Venue", "Name", "Pub Year", "DOI link", "dblp key", "Abstract text", "First Author"]) == {"doi": "DOI link", "title": "Name", "year": "Pub Year", "source": "Venue", "dblp_source": "dblp key", "authors": "First Author", "abstract": "Abstract text"}
+    rows = readers.mapped(spark.createDataFrame([(" x ", None)], "`My Title` string, doi string"), {"title": "My Title", "doi": "doi"})
+    assert rows.first().asDict() == {"doi": "", "title": "x", "year": "", "source": "", "dblp_source": "", "authors": "", "abstract": ""}
+
+
+def test_header_with_a_line_break(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('"A\nb",c\n1,2\n')
+    assert [tuple(r) for r in readers.free_csv(spark, str(tmp_path / "h.csv")).collect()] == [("1", "2")]
+
+
+def test_file_names_are_cut_and_told_apart(spark):
+    typed = ["a/b", "A?b", " a/b ", "x" * 200, "...", None]
+    got = {r.v: r.file_name for r in writers.file_names(spark.createDataFrame([(t,) for t in typed], "v string"), "v").collect()}
+    assert got["a/b"] == got[" a/b "] != got["A?b"] and {got["a/b"], got["A?b"]} >= {"A_b.json"} and got["x" * 200] == "x" * 160 + ".json"
+    assert {got["..."], got[None]} >= {"__unknown_source__.json"} and len({n.lower() for n in got.values()}) == 5

@@ -79,10 +79,13 @@ def block_tables(contents: DataFrame, normal: DataFrame | None = None) -> DataFr
     """The fingerprint index: (key, fp, id) rows, about nine for each of ``contents`` and one for each different DOI and bibliography
     key of the records ``normal`` of a content. Appending new rows extends it."""
     blocks = contents.select("rep", "fp", "title_key", "names").mapInArrow(_blocks, _BLOCKS)
-    if normal is None:
-        return blocks
+    return blocks if normal is None else blocks.unionAll(identifier_rows(normal))
+
+
+def identifier_rows(normal: DataFrame) -> DataFrame:
+    """(key, fp, id) of each different DOI and bibliography key of a content, from the records of ``normal``."""
     known = normal.where("doi_key is not null or dblp_key is not null").select(F.col("cid").alias("rep"), "fp", "doi_key", "dblp_key")
-    return blocks.unionAll(known.mapInArrow(_identifiers, _BLOCKS).distinct())
+    return known.mapInArrow(_identifiers, _BLOCKS).distinct()
 
 
 def close_pairs(blocks: DataFrame, hamming: int = HAMMING, run: int = RUN) -> DataFrame:
@@ -149,9 +152,14 @@ def step(batch: DataFrame, index: DataFrame | None, accepted: DataFrame | None,
     else:
         old = stage(accepted.join(reps.select("rep"), "rep", "left_semi").select("rep", "paper"), "old")
         fresh = reps.join(old.select("rep"), "rep", "left_anti")
-        asked = stage(block_tables(fresh, normal), "asked")
-        known = stage(index.join(asked.select("key").distinct(), "key", "left_semi"), "known")
-        blocks = asked.join(known.select("key", "id"), ["key", "id"], "left_anti").select("key", "fp", "id")
+        # only identifiers of known contents can be in the index already
+        named = identifier_rows(normal)
+        seen = old.select(F.col("rep").alias("id"))
+        new_rows = block_tables(fresh).unionAll(named.join(seen, "id", "left_anti").select("key", "fp", "id")).withColumn("again", F.lit(False))
+        asked = stage(new_rows.unionAll(named.join(seen, "id", "left_semi").select("key", "fp", "id", F.lit(True))), "asked")
+        known = stage(index.join(asked.select("key"), "key", "left_semi"), "known")
+        added = asked.where("again").join(known.select("key", "id"), ["key", "id"], "left_anti")
+        blocks = asked.where("not again").select("key", "fp", "id").unionAll(added.select("key", "fp", "id"))
         pairs = stage(fresh_pairs(known, blocks, hamming, run), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         texts = accepted.join(wanted, "rep", "left_semi")
@@ -199,10 +207,9 @@ class History:
         done = step(batch, self._table("index"), self._table("accepted"), self.id_column)
         self.placed.append(stage(done.placed, "placed"))
         self.merges.append(done.merges)
-        # both are computed from what was there before, and written before anything is read again
-        index, accepted = stage(done.index, "index"), stage(done.accepted, "accepted")
-        self._append(index, "index", "key")
-        self._append(accepted, "accepted", "rep")
+        # both come from what this step has written down, not from the tables that are added to
+        self._append(done.index, "index", "key")
+        self._append(done.accepted, "accepted", "rep")
 
     def rows(self) -> DataFrame:
         """(id, first): all rows accepted so far and the first row of the paper that each describes."""

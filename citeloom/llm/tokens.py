@@ -94,6 +94,9 @@ def join(enc, left: list[tuple[str, list[int]]], right: list[tuple[str, list[int
     start = len(left) - 1
     while start > 0 and left[start][0].isspace():
         start -= 1
+    # an apostrophe of its own and one letter may be the first two signs of 're, 've or 'll
+    if start > 0 and left[start - 1][0] == "'":
+        start -= 1
     head, n = left[start:], 1
     while True:
         joined = "".join(p for p, _ in head) + "".join(p for p, _ in right[:n])

@@ -17,7 +17,7 @@ def enc():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.sampled_from(["ab", "\n", "  ", "'s", "'", "12", "é", " x", "😀", "中文", "--", "\t", "<|endoftext|>", "qqqq"]), max_size=60), st.integers(2, 25))
+@given(st.lists(st.sampled_from(["ab", "\n", "  ", "'s", "'", "'re", "'ve", "'ll", "ading", "''", "12", "é", " x", "😀", "中文", "--", "\t", "<|endoftext|>", "qqqq"]), max_size=60), st.integers(2, 25))
 def test_joined_leaves_encode_exactly(parts, leaf):
     enc, text = tokens.encoder(tokens.vocabulary()), "".join(parts)
     cut = tokens.leaves(text, leaf)
@@ -25,6 +25,12 @@ def test_joined_leaves_encode_exactly(parts, leaf):
     assert tokens.encode_parts(enc, cut) == enc.encode_ordinary(text)
 
 
+def test_contractions_at_every_cut(enc):
+    for text in ("x'reading", "x'velvet y'llama", "'re're're've'll", "a''reading'", " 'relay 'lll", "x'r'eading"):
+        for leaf in range(1, len(text)):
+            assert tokens.encode_parts(enc, tokens.leaves(text, leaf)) == enc.encode_ordinary(text), (text, leaf)
+
+
 def test_ids(spark, enc):
     random.seed(2)
     texts = [None, "", " ", "a <|endoftext|> b", "x" * 50_000, "".join(random.choice("abcdefg'1-") for _ in range(60_000)), PROSE * 400, "中文" * 9_000]

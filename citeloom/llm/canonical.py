@@ -1,9 +1,11 @@
 """Problem 6: values typed freely mapped to a canonical list, by a symmetric-delete dictionary of the list's words.
 
-The dictionary holds every word of the list and of its long names under each string that is left after deleting up to three
-letters; a typed word finds the words near to it by its own deletions, and they are ranked by a weighted Damerau-Levenshtein
-distance. Abbreviations match by prefix or contraction. A value is mapped to the entry whose words, weighted by how rare they are
-in the list, it covers best in both directions; values that cover no entry well enough are reported as misses.
+The dictionary holds every word of the list and of its long names under each string that is left after deleting up to three letters,
+under each of its beginnings, and under its first and last letter for contractions. A typed word finds its words by its own deletions,
+as a beginning, or as a contraction; they are ranked by a weighted Damerau-Levenshtein distance, and of equally near ones the more
+frequent in the list comes first. Only entries that have such a word are looked at. A value is mapped to the entry whose words, weighted
+by how rare they are in the list, it covers best in both directions, ties to the more frequent one; values that cover no entry well
+enough are reported as misses.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .text import fold
 
+#: Rows that a reference list may have.
+MOST_ENTRIES = 50_000
 #: Least score (0..1) of a mapping.
 LEAST = 0.69
 # Words of a venue that name a track of it, and what they are called in the list.
@@ -105,32 +109,55 @@ class Dictionary:
         use = Counter(w for w, _ in {(w, s) for s, ws in self.variants for w in ws})
         n = max(1, len(self.tracks))
         self.weight = {w: max(0.15, math.log((n + 1) / c) / math.log(n + 1)) for w, c in use.items()}
-        self.words = sorted(use)
+        self.use = use
+        self.acronyms = {fold(s) for s in self.tracks}
+        self.frequency = Counter(s for s, _ in entries)
         self.index: dict[str, set[str]] = defaultdict(set)
-        for w in [*self.words, *TRACKS]:
+        self.beginnings: dict[str, set[str]] = defaultdict(set)
+        self.ends: dict[str, set[str]] = defaultdict(set)
+        self.longest = max([*map(len, use), *map(len, TRACKS)])
+        for w in [*use, *TRACKS]:
             for d in deletions(w, allowed(len(w))):
                 self.index[d].add(w)
-        self.acronyms = {fold(s) for s in self.tracks}
+        for w in use:
+            if w not in self.acronyms:
+                for k in range(1, len(w) + 1):
+                    self.beginnings[w[:k]].add(w)
+                self.ends[w[0] + w[-1]].add(w)
+        # which variants have a word
+        self.having: dict[str, list[int]] = defaultdict(list)
+        for n, (_, words) in enumerate(self.variants):
+            for w in set(words):
+                self.having[w].append(n)
         self.memo: dict[tuple[str, bool], dict[str, float]] = {}
 
     def near(self, word: str, dotted: bool) -> dict[str, float]:
-        """List words that a typed word may stand for, with a similarity."""
+        """List words that a typed word may stand for, with a similarity, the best first."""
         key = (word, dotted)
         if key in self.memo:
             return self.memo[key]
         out: dict[str, float] = {}
-        found = set().union(*(self.index.get(d, ()) for d in deletions(word, min(allowed(len(word) + 1), 3)))) if len(word) <= 24 else set()
-        for w in found:
-            distance = weighted_distance(word, w)
-            if distance <= allowed(max(len(w), len(word))) and (len(w) > 3 or distance == 0):
-                out[w] = 1 - 0.8 * distance / max(len(w), len(word))
-        for w in self.words:
-            if w in self.acronyms or w == word:
-                continue
-            if (len(word) >= 3 or dotted or len(word) == 1) and w.startswith(word) or len(word) >= 4 and len(w) >= 4 and word.startswith(w) and len(w) < len(word):
-                out[w] = max(out.get(w, 0), 0.9 if len(word) > 1 else 0.7)
-            elif 3 <= len(word) < len(w) and w[0] == word[0] and w[-1] == word[-1] and _inside(word, w):
-                out[w] = max(out.get(w, 0), 0.8)
+        # a word longer than the longest one by more than the edits allowed is near to none
+        if len(word) <= self.longest + 3:
+            for w in set().union(*(self.index.get(d, ()) for d in deletions(word, min(allowed(len(word) + 1), 3)))):
+                distance = weighted_distance(word, w)
+                if distance <= allowed(max(len(w), len(word))) and (len(w) > 3 or distance == 0):
+                    out[w] = 1 - 0.8 * distance / max(len(w), len(word))
+        found: dict[str, float] = {}
+        if len(word) <= self.longest:
+            if len(word) >= 3 or dotted or len(word) == 1:
+                found.update(dict.fromkeys(self.beginnings.get(word, ()), 0.9 if len(word) > 1 else 0.7))
+            if len(word) >= 3:
+                for w in self.ends.get(word[0] + word[-1], ()):
+                    if len(w) > len(word) and w not in found and _inside(word, w):
+                        found[w] = 0.8
+        for k in range(4, min(len(word), self.longest + 1)):
+            if word[:k] in self.use and word[:k] not in self.acronyms:
+                found[word[:k]] = 0.9
+        for w, s in found.items():
+            if w != word:
+                out[w] = max(out.get(w, 0), s)
+        out = dict(sorted(out.items(), key=lambda x: (-x[1], -self.use.get(x[0], 0), x[0])))
         if len(self.memo) < 100_000:
             self.memo[key] = out
         return out
@@ -139,11 +166,12 @@ class Dictionary:
         """(source, dblp_source, score); empty strings for a miss."""
         words = words_of(typed)
         near = [self.near(w, d) for w, d in words]
-        best = (0.0, 0.0, "", frozenset())
-        for source, variant in self.variants:
-            score, used, total = self._cover(words, near, variant)
-            if score > best[0] + 1e-9:
-                best = (score, total, source, used)
+        best = (0.0, 0, "", frozenset())
+        for n in sorted({n for ws in near for w in ws for n in self.having.get(w, ())}):
+            source, variant = self.variants[n]
+            score, used = self._cover(words, near, variant)
+            if score > best[0] + 1e-9 or (score > best[0] - 1e-9 and self.frequency[source] > best[1]):
+                best = (score, self.frequency[source], source, used)
         score, _, source, used = best
         if score < LEAST:
             return "", "", score
@@ -164,7 +192,7 @@ class Dictionary:
         hits = [(s, w) for w, s in near.items() if w in TRACKS]
         return max(hits)[1] if hits and max(hits)[0] >= 0.7 else ""
 
-    def _cover(self, words, near, variant) -> tuple[float, frozenset, float]:
+    def _cover(self, words, near, variant) -> tuple[float, frozenset]:
         """How well the typed words and the variant's words cover each other, and which typed words take part."""
         acronym = len(variant) == 1 and variant[0] in self.acronyms
         whole = sum(self.weight.get(w, 1) for w in variant)
@@ -175,18 +203,18 @@ class Dictionary:
                 got += at[0] * self.weight.get(w, 1)
                 used.add(-at[1])
         if not got or not whole:
-            return 0.0, frozenset(), 0.0
+            return 0.0, frozenset()
         here = got / whole
         if acronym:
             # other words do not count against an acronym unless they are another venue's
-            return (here * 0.99 if here >= 0.8 else here * 0.7), frozenset(used), whole
+            return (here * 0.99 if here >= 0.8 else here * 0.7), frozenset(used)
         rest = 0.0
         for i, (w, _) in enumerate(words):
             if i not in used and not self._track(w, near[i]) and w not in self.acronyms:
                 known = max((self.weight.get(x, 1) * s for x, s in near[i].items()), default=0.0)
                 rest += known if known else (1.0 if len(w) > 2 else 0.3)
         there = got / (got + rest)
-        return 2 * here * there / (here + there), frozenset(used), whole
+        return 2 * here * there / (here + there), frozenset(used)
 
 
 def _inside(short: str, long: str) -> bool:
@@ -194,13 +222,21 @@ def _inside(short: str, long: str) -> bool:
     return all(c in rest for c in short)
 
 
+def _bounded(table: DataFrame, *columns: str) -> list[tuple[str, str]]:
+    got = table.select(*columns).dropna().distinct().limit(MOST_ENTRIES + 1).collect()
+    if len(got) > MOST_ENTRIES:
+        raise ValueError(f"a reference list has more than {MOST_ENTRIES} rows")
+    return [tuple(r) for r in got]
+
+
 def map_values(values: DataFrame, column: str, entries: DataFrame, long_names: DataFrame) -> DataFrame:
     """(value, source, dblp_source, score) of each distinct value of ``column`` that is not null or blank.
 
-    ``entries`` (source, dblp_source) and ``long_names`` (abrv, full_name) are reference lists of bounded size; they are read on
-    the driver and sent to the tasks. A miss has empty strings. Of entries that fit alike, the first by source is taken."""
-    rows = [(r[0], r[1]) for r in entries.select("source", "dblp_source").where("source is not null and dblp_source is not null").distinct().collect()]
-    names = [(r[0], r[1]) for r in long_names.select("abrv", "full_name").where("abrv is not null and full_name is not null").distinct().collect()]
+    ``entries`` (source, dblp_source) and ``long_names`` (abrv, full_name) are reference lists of at most ``MOST_ENTRIES`` rows each,
+    which is checked; they are sent to the tasks. A longer list ends the query: cut it into lists and keep each value's best score. A
+    miss has empty strings. Of entries that fit alike, the most frequent and then the first by source is taken."""
+    rows = _bounded(entries, "source", "dblp_source")
+    names = _bounded(long_names, "abrv", "full_name")
     shared = values.sparkSession.sparkContext.broadcast((sorted(rows), sorted(names)))
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -111,3 +111,49 @@ def test_near_words_that_are_both_names_are_no_errors(spark):
     first = ["Wei", "Jun", "Lan", "Hao", "Min", "Qiang", "Tao"]
     df = spark.createDataFrame([([f"{g} {f}"],) for g in first for f in ("Zhang", "Zheng")] + [(["Tao Zhagn"],)], "authors array<string>")
     assert {tuple(r) for r in names.variant_pairs(df).collect()} == {("Tao Zhagn", "Tao Zhang")}
+
+
+def test_long_words_are_looked_up_and_only_hits_are_scored():
+    d = canonical.Dictionary([("IVK", "Informationsvisualisierungskonferenz"), ("GDN", "Glyph Notes"), ("GDX", "Glyph Notes X"), ("GDX", "Glyph Notes X (Posters)")], [])
+    assert d.find("Informationsvisualisierungskonferemz")[0] == "IVK" and d.find("x" * 5000)[:2] == ("", "") and d.find("")[:2] == ("", "")
+    seen = []
+    cover = d._cover
+    d._cover = lambda words, near, variant: seen.append(variant) or cover(words, near, variant)
+    assert d.find("glyph nots")[0] == "GDN" and all({"glyph", "notes"} & set(v) for v in seen)
+    # of words equally near the more frequent one in the list comes first
+    e = canonical.Dictionary([("A", "mottos plain"), ("B", "mostos other"), ("C", "mostos third")], [])
+    assert list(e.near("mottod", False))[:1] == ["mottos"] and list(e.near("mostxs", False))[0] == "mostos"
+
+
+def test_reference_lists_have_a_bound(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(canonical, "MOST_ENTRIES", 2)
+    entries, long = spark.createDataFrame(ENTRIES, "source string, dblp_source string"), spark.createDataFrame(LONG, "abrv string, full_name string")
+    with pytest.raises(ValueError, match="more than 2 rows"):
+        canonical.misses(entries, "dblp_source", entries, long)
+
+
+def test_equal_vectors_are_searched_once(spark):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((3, 128))
+    x = [base[0]] * 9 + [base[0] + 0.01 * base[1]] * 2 + [base[2]]
+    df = spark.createDataFrame([(f"u{i:02d}", [float(v) for v in x[i]], "m") for i in range(12)], "paper_uid string, embedding array<float>, embedding_model string")
+    got = {(r.uid_a, r.uid_b) for r in vectors.close_pairs(df).collect()}
+    near = lambda i: [j for j in sorted(range(12), key=lambda j: (-round(float(x[i] @ x[j] / np.linalg.norm(x[i]) / np.linalg.norm(x[j])), 9), j)) if j != i][:5]
+    want = {tuple(sorted((f"u{i:02d}", f"u{j:02d}"))) for i in range(12) for j in near(i) if x[i] @ x[j] / np.linalg.norm(x[i]) / np.linalg.norm(x[j]) >= 0.8}
+    assert got == want
+
+
+def test_two_levels_of_cells(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((80, 128))
+    x = centres[rng.integers(0, 80, 1600)] + 0.35 * rng.standard_normal((1600, 128))
+    df = spark.createDataFrame([(i, "m", [float(v) for v in x[i]]) for i in range(1600)], "id bigint, model string, vector array<float>")
+    assert len(vectors.fit_cells(df, cell=4, fit_rows=300).second) > 1
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    c = u @ u.T
+    np.fill_diagonal(c, -2)
+    want = {(i, int(j)) for i in range(1600) for j in np.argsort(-c[i])[:5] if c[i, j] >= 0.8}
+    found = {(r.id, r.other) for r in vectors.neighbours(df, 5, least=0.8, cell=4, probes=8).collect()}
+    assert len(want & found) / len(want) >= 0.9

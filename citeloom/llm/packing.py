@@ -3,9 +3,9 @@
 Documents are dealt to shards of about equal size by a hash. In each shard a deficit round-robin over one queue per source fills
 container after container: the source that is furthest behind its target share of tokens gives its largest document that
 still fits; when it has none that fits, the next source is asked, and a container is closed when nothing fits. Deficits are
-carried from container to container, and from shard to shard: what the earlier shards hold of each source against its
-target is known from one aggregation, so that all shards are filled at the same time. A document longer than the capacity
-fills whole containers, and its rest is packed like a document.
+carried from container to container, and from shard to shard: how much more or less of each source the earlier shards hold than its
+part of all tokens is known from prefix sums, so that all shards are filled at the same time. (A source that ran out before its target
+was met has no claim on the next shard.) A document longer than the capacity gives pieces that fill whole containers, and a rest. ``mixture`` measures how far runs of containers are from the target.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 #: Tokens that a shard holds for each token of capacity. More give fuller containers, fewer give more parallel tasks.
 SHARD_CONTAINERS = 512
+#: Shards whose sums are added up in one task; prefix sums go over such ranges first, so no task orders all shards.
+RANGE = 256
+#: Windows that one run may have.
+MOST_WINDOWS = 1_000
 _OUT = pa.schema(
     [
         ("window_name", pa.string()), ("capacity_tokens", pa.int32()), ("shard", pa.int32()), ("container", pa.int32()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("source", pa.string()), ("start_token", pa.int64()), ("tokens", pa.int64()),
@@ -82,13 +86,8 @@ def _pack_shard(table: pa.Table, sources: pa.Table) -> pa.Table:
         whole += [(source, capacity, i, k) for k in range(full)]
         if rest or not full:
             items.append((source, rest, i, full))
-    boxes = [[w] for w in sorted(whole, key=lambda w: (w[2], w[3]))]
-    for source, size, _, _ in whole:
-        deficit[source] = deficit.get(source, 0.0) - size
-    for s in share:
-        deficit[s] = deficit.get(s, 0.0) + share[s] * capacity * len(whole)
     empty = [i for i in items if not i[1]]
-    boxes += fill([i for i in items if i[1]], capacity, share, deficit)
+    boxes = fill(whole + [i for i in items if i[1]], capacity, share, deficit)
     # documents without tokens need no room: they stand in the shard's first container
     if empty:
         boxes[:1] = [(boxes[0] if boxes else []) + sorted(empty, key=lambda e: e[2])]
@@ -96,32 +95,70 @@ def _pack_shard(table: pa.Table, sources: pa.Table) -> pa.Table:
     return pa.table([pa.array([o[k] for o in out], f.type) for k, f in enumerate(_OUT)], schema=_OUT)
 
 
+def _before(sums: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``sums`` with the sum of ``value`` over the earlier shards of the same ``keys``: over whole ranges of shards, then within one."""
+    ranged = sums.withColumn("_range", F.floor(F.col("shard") / RANGE))
+    past = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy(*keys, "_range").agg(F.sum(value).alias("_sum")).withColumn("_past", F.coalesce(F.sum("_sum").over(past(keys, "_range")), F.lit(0))).drop("_sum")
+    inner = ranged.withColumn("_inner", F.coalesce(F.sum(value).over(past([*keys, "_range"], "shard")), F.lit(0)))
+    return inner.join(ranges, [*keys, "_range"]).withColumn(name, F.col("_past") + F.col("_inner")).drop("_range", "_past", "_inner")
+
+
+def own_shares(counts: DataFrame) -> DataFrame:
+    """(source, share): each source's share of all tokens."""
+    sums = counts.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum(F.coalesce("tokens", F.lit(0))).alias("tokens"))
+    total = sums.agg(F.sum("tokens")).first()[0] or 1
+    return sums.select("source", (F.col("tokens") / F.lit(total)).alias("share"))
+
+
+def damped_shares(counts: DataFrame, power: float = 0.5) -> DataFrame:
+    """(source, share): shares of tokens raised to a power, so that small sources get more than they have."""
+    raised = own_shares(counts).withColumn("share", F.pow("share", F.lit(power)))
+    total = raised.agg(F.sum("share")).first()[0] or 1.0
+    return raised.withColumn("share", F.col("share") / F.lit(total))
+
+
 def pack(counts: DataFrame, windows: DataFrame, shares: DataFrame | None = None, shard_containers: int = SHARD_CONTAINERS) -> DataFrame:
     """One row per piece of document and window: window_name, capacity_tokens, shard, container (unique within window and
     shard), doc_id, piece, source, start_token and tokens.
 
-    ``counts``: doc_id (unique), source, tokens. ``windows``: window_name, capacity_tokens (bounded; those without a positive
-    capacity are left out). ``shares``: source, share (target proportions that add up to 1); without it, each source's share of
-    all tokens. A null source is the source ''; null counts are 0. Every document is placed in every window."""
+    ``counts``: doc_id (unique), source, tokens. ``windows``: window_name, capacity_tokens (at most ``MOST_WINDOWS``, which is checked;
+    those without a positive capacity are left out). ``shares``: source, share (target proportions that add up to 1; 0 for a source
+    that is not named); without it, each source's share of all tokens. Targets are met until a source runs out. A null source is the
+    source ''; null counts are 0. Every document is placed in every window."""
     counts = counts.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"))
-    sums = counts.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    every = Window.partitionBy()
-    if shares is None:
-        shares = sums.select("source", (F.col("tokens") / F.greatest(F.sum("tokens").over(every), F.lit(1))).alias("share"))
-    windows = windows.where("capacity_tokens > 0").select("window_name", F.col("capacity_tokens").cast("int").alias("capacity_tokens"))
-    total = sums.agg(F.sum("tokens").alias("total"))
-    sized = windows.join(F.broadcast(total)).withColumn("shards", F.greatest(F.lit(1), F.ceil(F.coalesce("total", F.lit(0)) / (F.col("capacity_tokens") * F.lit(shard_containers)))).cast("int")).drop("total")
-    dealt = counts.join(F.broadcast(sized)).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.col("shards")).cast("int"))
-    # what the shards before hold of each source against its target
+    own = own_shares(counts)
+    shares = own if shares is None else shares
+    sizes = windows.where("capacity_tokens > 0").select("window_name", F.col("capacity_tokens").cast("int").alias("capacity_tokens")).distinct().limit(MOST_WINDOWS + 1).collect()
+    if len(sizes) > MOST_WINDOWS:
+        raise ValueError(f"more than {MOST_WINDOWS} windows")
+    total = counts.agg(F.sum("tokens")).first()[0] or 0
+    kinds = "array<struct<window_name:string,capacity_tokens:int,shards:int>>"
+    literal = F.array(*(F.struct(F.lit(w).alias("window_name"), F.lit(c).alias("capacity_tokens"), F.lit(max(1, -(-total // (c * shard_containers)))).cast("int").alias("shards")) for w, c in sizes)).cast(kinds)
+    dealt = counts.select("*", F.explode(literal).alias("w")).select("doc_id", "source", "tokens", "w.*").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.col("shards")).cast("int"))
+    # how far the shards before are from each source's part of all tokens; a shard needs this of its own sources only
     held = dealt.groupBy("window_name", "capacity_tokens", "shard", "source").agg(F.sum("tokens").alias("held"))
-    shard_sum = held.groupBy("window_name", "capacity_tokens", "shard").agg(F.sum("held").alias("all"))
-    before = Window.partitionBy("window_name", "capacity_tokens").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    own = Window.partitionBy("window_name", "capacity_tokens", "source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    grid = shard_sum.withColumn("earlier", F.coalesce(F.sum("all").over(before), F.lit(0))).join(F.broadcast(shares))
-    grid = grid.join(held, ["window_name", "capacity_tokens", "shard", "source"], "left").withColumn("mine", F.coalesce(F.sum("held").over(own), F.lit(0)))
-    carried = grid.select("window_name", "shard", "source", "share", (F.col("share") * F.col("earlier") - F.col("mine")).alias("behind")).toDF("in_window", "in_shard", "source", "share", "behind")
+    whole = held.groupBy("window_name", "capacity_tokens", "shard").agg(F.sum("held").alias("held"))
+    earlier = _before(whole, ["window_name", "capacity_tokens"], "held", "earlier").drop("held")
+    mine = _before(held, ["window_name", "capacity_tokens", "source"], "held", "mine")
+    carried = mine.join(earlier, ["window_name", "capacity_tokens", "shard"]).join(shares.select("source", "share"), "source", "left").join(own.withColumnRenamed("share", "_own"), "source")
+    carried = carried.select("window_name", "capacity_tokens", "shard", "source", F.coalesce("share", F.lit(0.0)).alias("share"), (F.col("_own") * F.col("earlier") - F.col("mine")).alias("behind")).toDF("in_window", "in_capacity", "in_shard", "source", "share", "behind")
     schema = "window_name string, capacity_tokens int, shard int, container int, doc_id long, piece int, source string, start_token long, tokens long"
-    return dealt.drop("shards").groupBy("window_name", "shard").cogroup(carried.groupBy("in_window", "in_shard")).applyInArrow(_pack_shard, schema)
+    return dealt.drop("shards").groupBy("window_name", "capacity_tokens", "shard").cogroup(carried.groupBy("in_window", "in_capacity", "in_shard")).applyInArrow(_pack_shard, schema)
+
+
+def mixture(packed: DataFrame, shares: DataFrame, run: int = 64) -> DataFrame:
+    """(window_name, capacity_tokens, tenth, runs, distance): how far the mixture of ``run`` containers in a row is from the target, as
+    total variation (0: as asked, 1: nothing of what was asked), on average over the runs in each tenth of their shard."""
+    keys = ["window_name", "capacity_tokens", "shard"]
+    last = packed.groupBy(*keys).agg((F.max("container") + 1).alias("_containers"))
+    place = packed.join(last, keys).withColumn("_run", F.floor(F.col("container") / run)).withColumn("tenth", F.floor(F.col("_run") * run * 10 / F.col("_containers")).cast("int"))
+    got = place.groupBy(*keys, "tenth", "_run", "source").agg(F.sum("tokens").alias("tokens"))
+    all_ = got.groupBy(*keys, "tenth", "_run").agg(F.sum("tokens").alias("_all")).where("_all > 0")
+    part = got.join(all_, [*keys, "tenth", "_run"]).join(shares.select("source", "share"), "source", "left")
+    share, have = F.coalesce("share", F.lit(0.0)), F.col("tokens") / F.col("_all")
+    far = part.groupBy(*keys, "tenth", "_run").agg(((F.sum(F.abs(have - share) - share) + 1) / 2).alias("far"))
+    return far.groupBy("window_name", "capacity_tokens", "tenth").agg(F.count("*").alias("runs"), F.round(F.avg("far"), 4).alias("distance"))
 
 
 def room_left(packed: DataFrame) -> DataFrame:

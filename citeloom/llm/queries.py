@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship
 from . import canonical, dedupe, matching, names, packing, quality, survivorship, tokens, vectors
@@ -53,10 +54,22 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_read(spark, sf_dir, "documents"))
 
 
-def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents")
-    counts = tokens.token_counts(documents).join(documents.select("doc_id", "source"), "doc_id")
-    return packing.pack(stage(counts, "counts"), _read(spark, sf_dir, "embed_window"))
+    return stage(tokens.token_counts(documents).join(documents.select("doc_id", "source"), "doc_id"), "counts")
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_sized(spark, sf_dir), _read(spark, sf_dir, "embed_window"))
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How near runs of containers come to given targets: once the sources' own shares, once shares that favour small sources."""
+    counts, windows = _sized(spark, sf_dir), _read(spark, sf_dir, "embed_window")
+    parts = []
+    for target, shares in (("own", packing.own_shares(counts)), ("damped", packing.damped_shares(counts))):
+        parts.append(packing.mixture(packing.pack(counts, windows, shares), shares).withColumn("target", F.lit(target)))
+    return parts[0].unionAll(parts[1])
 
 
 def p8_room_left(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +89,7 @@ def p9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left, "p9_found": p9_found, "p9_statistics": p9_statistics}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left, "p8_mixture": p8_mixture, "p9_found": p9_found, "p9_statistics": p9_statistics}
 
 
 def oracle_sql() -> dict[str, str]:

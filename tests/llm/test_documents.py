@@ -83,3 +83,24 @@ def test_shares_add_up(spark):
     df = spark.createDataFrame([(1, PROSE + "\n- a\n- b\n1;2;3")], "doc_id bigint, text string")
     r = quality.text_statistics(df).first()
     assert abs(r.prose + r.list + r.table + r.junk - 1) < 1e-9 and 4 < r.mean_word_length < 6 and r.words == 29
+
+
+def test_mixture_follows_targets_until_a_source_runs_out(spark):
+    random.seed(4)
+    rows = [(i, "big" if i % 10 else "small", random.randint(5, 40)) for i in range(6000)]
+    counts = spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint")
+    windows = spark.createDataFrame([("w", 256)], "window_name string, capacity_tokens int")
+    target = spark.createDataFrame([("big", 0.8), ("small", 0.2)], "source string, share double")
+    out = packing.pack(counts, windows, target, shard_containers=128)
+    far = {r.tenth: r.distance for r in packing.mixture(out, target, 8).collect()}
+    own = {r.tenth: r.distance for r in packing.mixture(out, packing.own_shares(counts), 8).collect()}
+    # a fifth is asked of what is a tenth: in each shard the first containers keep to it, the last ones have none left
+    assert far[0] < 0.05 < own[0] and far[9] > 0.15
+    assert out.count() >= 6000 and packing.mixture(packing.pack(counts, windows), packing.own_shares(counts), 16).agg({"distance": "max"}).first()[0] < 0.1
+
+
+def test_prefix_sums_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE", 4)
+    rows = [(k, s, (s * 7 + len(k)) % 11) for k in ("a", "bb") for s in range(0, 30, 1 + len(k))]
+    got = {(r.k, r.shard): r.past for r in packing._before(spark.createDataFrame(rows, "k string, shard int, v bigint"), ["k"], "v", "past").collect()}
+    assert got == {(k, s): sum(v for k2, s2, v in rows if k2 == k and s2 < s) for k, s, _ in rows}

@@ -25,7 +25,7 @@ TITLE_HASHES, NAME_BANDS, TITLE_BANDS, TITLE_ROWS = 25, 8, 5, 5
 HAMMING = 26
 RUN = 256
 #: At most about so many labelled pairs are used to fit the classifier and its calibration.
-TRAINING_PAIRS = 20_000
+TRAINING_PAIRS = 10_000
 FEATURES = ("missing_a", "missing_b", "typos", "names_min", "names_max", "no_names", "apart", "no_year", "short", "cut", "follows", "named")
 #: Abstracts are compared if both have so many different words; from the first share of the fewer words in common on they tell one
 #: paper, up to the second two papers, and between them nothing.

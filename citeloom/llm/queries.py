@@ -35,6 +35,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivorship.survivors(_read(spark, sf_dir, "paper_new"))
 
 
+def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving record of each paper; sources with full papers are trusted more."""
+    trust = _read(spark, sf_dir, "source_mapping").groupBy("source").agg(F.max(F.when(F.col("full_paper") == "yes", 1).otherwise(0)).alias("priority"))
+    return survivorship.surviving_records(_read(spark, sf_dir, "paper_new"), trust=trust)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.close_pairs(_read(spark, sf_dir, "paper_prod")).select("uid_a", "uid_b")
 
@@ -89,7 +95,7 @@ def p9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left, "p8_mixture": p8_mixture, "p9_found": p9_found, "p9_statistics": p9_statistics}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p3_found": p3_found, "p3_records": p3_records, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_misses": p6_misses, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_room_left": p8_room_left, "p8_mixture": p8_mixture, "p9_found": p9_found, "p9_statistics": p9_statistics}
 
 
 def oracle_sql() -> dict[str, str]:

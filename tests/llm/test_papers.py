@@ -6,6 +6,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from citeloom.llm import dedupe, fingerprints, matching, records, survivorship
 from citeloom.llm.graph import components
@@ -207,3 +208,26 @@ def test_batches_give_what_one_batch_gives(spark):
     got = {tuple(r) for r in dedupe.find_repeats(df).collect()}
     assert got == {tuple(r) for r in dedupe.find_repeats(df, batch=None).collect()}
     assert {(2, 4), (2, 5), (1, 6), (1, 7)} <= got
+
+
+def test_whole_abstracts_are_judged(spark):
+    long = "Glyphs " + " ".join(f"number{i}" for i in range(60)) + " end."
+    sound = "We study how people read. " + "It works well in most cases that we saw. " * 12
+    cases = {
+        "copy of a long title": (long, long[:-1], False), "sound": (sound, "Title", True), "cut": (sound[:-3] + "...", "Title", False), "notice first": ("There is no abstract available for this paper. " + sound, "T", False),
+        "notice word later": (sound + "This does not need an abstract model.", "T", True), "abstract not available": ("Abstract not available.", "T", False), "few words": ("Too short here.", "T", False), "blank": ("  ", "T", False), "null": (None, "T", False),
+        "with spaces": ("One" + " " * 300 + "other readers found the longer passages harder.", "T", True),
+    }
+    df = spark.createDataFrame([(k, a, t, ["x"], ["y"]) for k, (a, t, _) in cases.items()], "k string, a string, t string, au array<string>, kw array<string>")
+    ok = survivorship.abstract_is_complete(*(df[c] for c in ("a", "t", "au", "kw")))
+    assert {r.k: r.ok for r in df.select("k", ok.alias("ok")).collect()} == {k: v[2] for k, v in cases.items()}
+
+
+def test_records_of_trusted_sources_survive(spark):
+    whole = "A first sentence that is whole. And a second one"
+    rows = [row(1, T1, ["Ann Bofisk"], 2001, abstract=whole + ".", keywords=["a"], count=5, day=9), row(2, T1, ["Ann Bofisk"], 2001, abstract=whole + ", which is longer.", keywords=["a", "b"], count=7, day=2), row(3, T1, ["Ann Bofisk"], 2001, abstract="cut...", count=-1)]
+    df = spark.createDataFrame(rows, COLUMNS).withColumn("source", F.when(F.col("row_id") == 2, "B").otherwise("A"))
+    trust = spark.createDataFrame([("A", 2), ("B", 1)], "source string, priority int")
+    assert survivorship.surviving_records(df).collect()[0][1:] == (whole + ", which is longer.", 5, ["a", "b"])
+    assert survivorship.surviving_records(df, trust=trust).collect()[0][1:] == (whole + ".", 5, ["a"])
+    assert survivorship.survivors(df, trust=trust).collect()[0][1:] == (1, 1, 1)

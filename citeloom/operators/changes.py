@@ -50,3 +50,12 @@ def vector_report(rows: DataFrame, dim: int, vector: str = "embedding") -> DataF
         .when(F.exists(v, lambda x: x.isNull() | F.isnan(x)), "not_finite").when(~F.exists(v, lambda x: x != 0), "zero").otherwise("sound")
     )
     return rows.groupBy("embedding_model", state.alias("state"), "has_embedding").agg(F.count("*").alias("papers"))
+
+
+def checked_vectors(rows: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
+    """Rows that have a vector; one of another size, or with a number that is not finite, ends the query. Nulls and empty ones are
+    passed over."""
+    v = F.col(vector)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    checked = F.when(F.size(v) != dim, F.raise_error(F.format_string("a vector of %d numbers", F.size(v)))).when(bad, F.raise_error(F.lit("a vector with a number that is not finite")))
+    return rows.where(v.isNotNull() & (F.size(v) > 0)).where(F.coalesce(checked.cast("boolean"), F.lit(True)))

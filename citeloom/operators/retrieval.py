@@ -107,13 +107,32 @@ def embed(rows: DataFrame, embedder, dim: int, key: str = "paper_uid", text: str
     return rows.select(key, text).mapInArrow(of, f"`{key}` string, embedding array<float>")
 
 
-def project(rows: DataFrame, key: str, vector: str, components: int = 2) -> DataFrame:
-    """(key, x, y): principal components of the vectors. It is a linear projection, unlike neighbour-graph embeddings."""
+def project(rows: DataFrame, key: str, vector: str, components: int = 2, model_path: str | None = None) -> DataFrame:
+    """(key, x, y): principal components of the vectors, from a model that is fitted on them and, with ``model_path``, kept. It is a
+    linear projection, unlike neighbour-graph embeddings."""
     from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
     ready = rows.where(F.col(vector).isNotNull()).select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
     model = PCA(k=components, inputCol="v", outputCol="p").fit(ready)
+    if model_path:
+        model.write().overwrite().save(model_path)
+    return _placed(model, ready, key)
+
+
+def project_more(rows: DataFrame, key: str, vector: str, model_path: str, saved: DataFrame | None = None) -> DataFrame:
+    """(key, x, y) of rows by a kept model; of ``saved`` coordinates those of other rows are kept and those of these rows replaced."""
+    from pyspark.ml.feature import PCAModel
+    from pyspark.ml.functions import array_to_vector
+
+    ready = rows.where(F.col(vector).isNotNull()).select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
+    fresh = _placed(PCAModel.load(model_path), ready, key)
+    return fresh if saved is None else saved.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+
+
+def _placed(model, ready: DataFrame, key: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
     p = vector_to_array(F.col("p"))
     return model.transform(ready).select(key, F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
 

@@ -161,3 +161,9 @@ def venue_growth(old: DataFrame, new: DataFrame, venues: DataFrame) -> DataFrame
     count = lambda df, name: df.groupBy(X.label(F.col("source")).alias("source")).agg(F.count("*").alias(name))
     listed = venues.groupBy("source").agg(F.count("*").alias("venues"), F.count_if(X.to_flag(F.col("full_paper"))).alias("full_venues"))
     return listed.join(count(old, "old_papers"), "source", "left").join(count(new, "new_papers"), "source", "left").na.fill(0, ["old_papers", "new_papers"])
+
+
+def names_in_order(rows: DataFrame, column: str) -> DataFrame:
+    """The different values of a column with their place in the order of the language, case and accents coming last."""
+    named = rows.select(F.col(column)).where(F.col(column).isNotNull()).distinct()
+    return named.withColumn("position", F.row_number().over(Window.orderBy(F.collate(F.col(column), "UNICODE_CI"), F.col(column))))

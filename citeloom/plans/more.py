@@ -298,3 +298,15 @@ def vector_backfill(read):
 
 def _measure(texts: list[str]) -> list[list[float]]:
     return [[float(len(t))] for t in texts]
+
+
+@query("select source, row_number() over (order by lower(strip_accents(source)), source) as position from (select distinct source from paper_new where source is not null)")
+def sources_in_order(read):
+    return stats.names_in_order(read("paper_new"), "source")
+
+
+@query("select paper_uid, len(embedding) as numbers from paper_prod where len(embedding) = 128 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0")
+def checked_vectors(read):
+    """Vectors of the right size and without bad numbers; one that is not would end the query, so others are left out before."""
+    sound = (F.size("embedding") == 128) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return changes.checked_vectors(read("paper_prod").where(sound), 128).select("paper_uid", F.size("embedding").alias("numbers"))

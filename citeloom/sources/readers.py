@@ -151,7 +151,7 @@ class DumpSource(DataSource):
     """Records of a large XML dump (``spark.read.format("record_dump").load(path)``).
 
     A plain file is read in byte ranges: a range yields the records that begin in it. A gzip file is one range. Inline markup
-    inside a title is kept as running text, and named entities are resolved. Options: path, range_bytes."""
+    inside a title is kept as running text, and named entities are resolved. Options: path, range_bytes, venue (first or last)."""
 
     @classmethod
     def name(cls) -> str:
@@ -168,6 +168,7 @@ class _DumpReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.step = int(options.get("range_bytes", 32 << 20))
+        self.last = options.get("venue", "first") == "last"
 
     def _open(self):
         """(size, file) by any file system that pyarrow knows; a plain path is a local one."""
@@ -195,7 +196,7 @@ class _DumpReader(DataSourceReader):
                     close = b"</" + hit.group(1) + b">"
                     end = buffer.find(close, hit.end())
                     if end >= 0:
-                        yield record(buffer[hit.start() : end].decode("utf-8", "replace"))
+                        yield record(buffer[hit.start() : end].decode("utf-8", "replace"), self.last)
                         buffer, base = buffer[end + len(close) :], base + end + len(close)
                         continue
                 elif hit or done:
@@ -211,8 +212,8 @@ class _DumpReader(DataSourceReader):
                 buffer += more
 
 
-def record(xml: str) -> tuple:
-    """One element's text as a row of ``RECORD``."""
+def record(xml: str, last_venue: bool = False) -> tuple:
+    """One element's text as a row of ``RECORD``; of several venues the first counts, or the last."""
     import html
 
     def texts(tag: str) -> list[str]:
@@ -222,8 +223,8 @@ def record(xml: str) -> tuple:
     kind = re.match(r"<(\w+)", xml)
     key = re.search(r'\bkey="([^"]*)"', xml)
     venue = texts("journal") or texts("booktitle")
-    first = lambda xs: xs[0] if xs else None  # noqa: E731  of several venues the first counts (``last_venue`` takes the last)
-    return (kind.group(1) if kind else None, html.unescape(key.group(1)) if key else None, first(texts("title")), texts("author"), first(venue), first(texts("year")), texts("ee"))
+    first = lambda xs: xs[0] if xs else None
+    return (kind.group(1) if kind else None, html.unescape(key.group(1)) if key else None, first(texts("title")), texts("author"), first(venue[::-1] if last_venue else venue), first(texts("year")), texts("ee"))
 
 
 def paper_records(dump: DataFrame, venues: DataFrame) -> DataFrame:

@@ -274,3 +274,26 @@ def test_cosine_blocks_give_what_one_block_gives(spark):
     df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(60)], "id bigint, v array<float>")
     rows = lambda block: {tuple(r) for r in retrieval.cosine_top(df, df, "id", "v", 3, block, 8).collect()}
     assert rows(1000) == rows(7) and len(rows(7)) == 180
+
+
+def test_bad_vectors_end_the_query(spark):
+    import pytest
+
+    make = lambda *vs: spark.createDataFrame([(str(i), v) for i, v in enumerate(vs)], "k string, embedding array<float>")
+    assert changes.checked_vectors(make([1.0, 2.0], None, []), 2).count() == 1
+    for bad, why in (([1.0], "of 1 numbers"), ([1.0, float("nan")], "not finite")):
+        with pytest.raises(Exception, match=why):
+            changes.checked_vectors(make([1.0, 2.0], bad), 2).collect()
+
+
+def test_a_kept_model_places_only_what_changed(spark, tmp_path):
+    import random
+
+    rng = random.Random(1)
+    rows = spark.createDataFrame([(f"k{i:02d}", [rng.random() for _ in range(4)]) for i in range(20)], "k string, v array<double>")
+    path = str(tmp_path / "model")
+    first = retrieval.project(rows, "k", "v", model_path=path)
+    changed = rows.where("k < 'k03'").withColumn("v", F.transform("v", lambda x: x + 1))
+    after = {r.k: (round(r.x, 9), round(r.y, 9)) for r in retrieval.project_more(changed, "k", "v", path, first).collect()}
+    before = {r.k: (round(r.x, 9), round(r.y, 9)) for r in first.collect()}
+    assert len(after) == 20 and {k for k in after if after[k] != before[k]} == {"k00", "k01", "k02"}

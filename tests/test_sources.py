@@ -113,3 +113,8 @@ def test_file_names_are_cut_and_told_apart(spark):
     got = {r.v: r.file_name for r in writers.file_names(spark.createDataFrame([(t,) for t in typed], "v string"), "v").collect()}
     assert got["a/b"] == got[" a/b "] != got["A?b"] and {got["a/b"], got["A?b"]} >= {"A_b.json"} and got["x" * 200] == "x" * 160 + ".json"
     assert {got["..."], got[None]} >= {"__unknown_source__.json"} and len({n.lower() for n in got.values()}) == 5
+
+
+def test_first_or_last_venue_of_a_record():
+    xml = '<article key="k"><journal>A</journal><journal>B</journal><title>t</title>'
+    assert readers.record(xml)[4] == "A" and readers.record(xml, True)[4] == "B"

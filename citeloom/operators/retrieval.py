@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import stage
 
 K1, B = 1.2, 0.75
 
@@ -31,12 +32,13 @@ def weights(docs: DataFrame, key: str, text: str) -> DataFrame:
     return terms.join(lengths, key).join(df, "term").join(F.broadcast(sizes)).select("term", key, weight.alias("weight"), "df", "n")
 
 
-def bm25_top(queries: DataFrame, docs: DataFrame, query_key: str, query_text: str, key: str, text: str, common: float = 0.1) -> DataFrame:
+def bm25_top(queries: DataFrame, docs: DataFrame, query_key: str, query_text: str, key: str, text: str, common: float = 0.1, index: DataFrame | None = None) -> DataFrame:
     """(query_key, key, score): the document with the highest BM25 score for each query, ties to the smaller key; exact.
 
     Candidates come from the terms that at most ``common`` of the documents contain. Where the best of them scores less than the
-    query's commoner terms could give a document together, these bring candidates too, so no document is missed."""
-    index = weights(docs, key, text)
+    query's commoner terms could give a document together, these bring candidates too, so no document is missed. ``index`` is a kept
+    table of ``weights``; without it one is written for this call."""
+    index = stage(weights(docs, key, text), "postings") if index is None else index
     wanted = queries.select(F.col(query_key), F.explode(F.array_distinct(X.tokens(F.col(query_text)))).alias("term"))
     most = index.groupBy("term").agg(F.max("weight").alias("most"), (F.first("df") > F.lit(common) * F.first("n")).alias("is_common"))
     wanted = wanted.join(most, "term")
@@ -47,7 +49,8 @@ def bm25_top(queries: DataFrame, docs: DataFrame, query_key: str, query_text: st
         sums = hits.join(candidates, [query_key, key], "left_semi").groupBy(query_key, key).agg(F.round(F.sum("weight"), 6).alias("score"))
         return sums.groupBy(query_key).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col(key).alias("k"))).alias("b"))
 
-    rare = best(wanted, wanted.where("not is_common"))
+    wanted = stage(wanted, "wanted")
+    rare = stage(best(wanted, wanted.where("not is_common")), "rare")
     bound = wanted.groupBy(query_key).agg(F.coalesce(F.sum(F.when(F.col("is_common"), F.col("most"))), F.lit(0.0)).alias("bound"))
     open_ = bound.join(rare, query_key, "left").where("bound > 0 and (b is null or -b.minus <= bound + 0.00001)").select(query_key)
     asked = wanted.join(open_, query_key, "left_semi")
@@ -137,7 +140,7 @@ def _placed(model, ready: DataFrame, key: str) -> DataFrame:
     return model.transform(ready).select(key, F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
 
 
-def lookup(inputs: DataFrame, papers: DataFrame, key: str = "input_id", uid: str = "paper_uid") -> DataFrame:
+def lookup(inputs: DataFrame, papers: DataFrame, key: str = "input_id", uid: str = "paper_uid", index: DataFrame | None = None) -> DataFrame:
     """(key, uid, status) of each input row: its paper by DOI (as written, normal, and as an address), then by exact title, then the
     first by BM25 of the titles, which counts as the same if only case, accents and signs differ, else as a candidate.
 
@@ -153,7 +156,7 @@ def lookup(inputs: DataFrame, papers: DataFrame, key: str = "input_id", uid: str
         hit = joined.where(F.col(f"_{name}").isNotNull()).select(key, F.col(f"_{name}").alias(uid), F.lit("matched_title" if name == "title" else "matched_doi").alias("status"))
         done = hit if done is None else done.unionAll(hit)
         rest = joined.where(F.col(f"_{name}").isNull()).select(key, "raw", "norm", "url", "title")
-    found = bm25_top(rest.where("title <> ''"), papers, key, "title", uid, "title").join(papers.groupBy(uid).agg(F.min("title").alias("_their")), uid)
+    found = bm25_top(rest.where("title <> ''"), papers, key, "title", uid, "title", index=index).join(papers.groupBy(uid).agg(F.min("title").alias("_their")), uid)
     last = rest.select(key, "title").join(found, key, "left")
     same = X.plain_title(F.col("title")) == X.plain_title(F.col("_their"))
     return done.unionAll(last.select(key, uid, F.when(F.col(uid).isNull(), "missing").when(same, "matched_title").otherwise("candidate").alias("status")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import changes, enrich, filters, merge, retrieval, stats
-from ..session import ship
+from ..session import ship, stage
 from ..sinks import writers
 from ..streaming import incremental
 
@@ -435,7 +435,7 @@ from e left join best using (input_id) left join bt on bt.uid = best.uid)"""
 
 
 def _found(read) -> DataFrame:
-    return retrieval.lookup(read("coverage_input"), read("paper_prod"))
+    return stage(retrieval.lookup(read("coverage_input"), read("paper_prod")), "found")
 
 
 @query(f"with {_LOOKUP} select * from l")
@@ -458,8 +458,8 @@ s as (select input_id, paper_uid, status, list_filter([{_known('it', 'pt', _jacc
 c as (select input_id, paper_uid, status, round(coalesce(list_avg(k), 0.0), 4) as similarity, source_mismatch from s)"""
 
 
-def _scored(read) -> DataFrame:
-    return retrieval.similarity(read("coverage_input"), read("paper_prod"), _found(read))
+def _scored(read, found: DataFrame | None = None) -> DataFrame:
+    return retrieval.similarity(read("coverage_input"), read("paper_prod"), _found(read) if found is None else found)
 
 
 @query(f"with {_SIMILAR} select * from c")
@@ -469,7 +469,8 @@ def coverage_similarity(read):
 
 @query(f"with {_SIMILAR} select count(*) as inputs, count(*) filter (status like 'matched%') as matched, count(*) filter (status = 'candidate') as candidate, count(*) filter (status = 'missing') as missing, (select count(*) filter (source_mismatch) from c) as source_mismatch from l")
 def coverage_counts(read):
-    return retrieval.lookup_counts(_found(read), _scored(read))
+    found = _found(read)
+    return retrieval.lookup_counts(found, _scored(read, found))
 
 
 @query(f"with {_SIMILAR} select * from c order by source_mismatch desc, case status when 'matched_doi' then 0 when 'matched_title' then 1 when 'candidate' then 2 else 3 end, similarity desc, input_id limit 100")
@@ -483,7 +484,7 @@ coalesce(p.title, '') as match_title, coalesce(p.doi, '') as match_doi, coalesce
 from l join coverage_input i using (input_id) left join c using (input_id) left join paper_prod p on p.paper_uid = l.paper_uid""")
 def coverage_export(read):
     found = _found(read)
-    return retrieval.export(read("coverage_input"), read("paper_prod"), found, retrieval.similarity(read("coverage_input"), read("paper_prod"), found))
+    return retrieval.export(read("coverage_input"), read("paper_prod"), found, _scored(read, found))
 
 
 @query(f"with q as (select input_id, title from coverage_input where input_id % 20 = 0), {_bm25('q')} select input_id, uid as paper_uid, round(score, 4) as score from best")

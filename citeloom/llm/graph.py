@@ -1,32 +1,11 @@
-"""Staging of intermediate tables and connected components."""
+"""Connected components; ``stage`` and ``shared_dir`` stand here for the other modules."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session. It has to be set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table into the shared folder and reads it back: it is computed once, and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..session import shared_dir, stage  # noqa: F401
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

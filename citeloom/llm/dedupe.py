@@ -153,18 +153,19 @@ def step(batch: DataFrame, index: DataFrame | None, accepted: DataFrame | None,
         old = stage(accepted.join(reps.select("rep"), "rep", "left_semi").select("rep", "paper"), "old")
         fresh = reps.join(old.select("rep"), "rep", "left_anti")
         # only identifiers of known contents can be in the index already
-        named = identifier_rows(normal)
-        seen = old.select(F.col("rep").alias("id"))
-        new_rows = block_tables(fresh).unionAll(named.join(seen, "id", "left_anti").select("key", "fp", "id")).withColumn("again", F.lit(False))
-        asked = stage(new_rows.unionAll(named.join(seen, "id", "left_semi").select("key", "fp", "id", F.lit(True))), "asked")
+        seen = old.select(F.col("rep").alias("id"), F.lit(True).alias("again"))
+        named = identifier_rows(normal).join(seen, "id", "left").select("key", "fp", "id", F.coalesce("again", F.lit(False)).alias("again"))
+        asked = stage(block_tables(fresh).withColumn("again", F.lit(False)).unionAll(named), "asked")
         known = stage(index.join(asked.select("key"), "key", "left_semi"), "known")
         added = asked.where("again").join(known.select("key", "id"), ["key", "id"], "left_anti")
         blocks = asked.where("not again").select("key", "fp", "id").unionAll(added.select("key", "fp", "id"))
         pairs = stage(fresh_pairs(known, blocks, hamming, run), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         texts = accepted.join(wanted, "rep", "left_semi")
+        texts = stage(texts, "texts")
         old = old.unionByName(texts.select("rep", "paper")).distinct()
-        new = stage(reps.select("rep", "title_key", "names", "year").unionByName(texts.select("rep", "title_key", "names", "year")).dropDuplicates(["rep"]), "texts")
+        # a content of the batch is either new or among those
+        new = fresh.select("rep", "title_key", "names", "year").unionByName(texts.select("rep", "title_key", "names", "year"))
         links = verified(pairs, new, new)
     nodes = reps.select("rep", F.col("first").alias("paper"))
     if old is not None:
@@ -174,13 +175,13 @@ def step(batch: DataFrame, index: DataFrame | None, accepted: DataFrame | None,
     merges = stage(links.join(of("a"), "a").join(of("b"), "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "merges")
     placed = normal.select("id", F.col("cid").alias("rep")).join(nodes, "rep").select("id", "paper")
     # contents are named by their own first row; merges say which papers are one
-    return Step(placed, merges, blocks, fresh.join(nodes, "rep").select("rep", "title_key", "names", "year", "paper"))
+    return Step(placed, merges, blocks, fresh.select("rep", "title_key", "names", "year", F.col("first").alias("paper")))
 
 
 def _resolved(placed: DataFrame, merges: DataFrame) -> DataFrame:
     """(id, first) of all rows: papers that merges join are one, named by its smallest row."""
     roots = components(merges)
-    rows = placed.join(roots.withColumnRenamed("node", "paper"), "paper", "left").select("id", F.coalesce("root", "paper").alias("root"))
+    rows = stage(placed.join(roots.withColumnRenamed("node", "paper"), "paper", "left").select("id", F.coalesce("root", "paper").alias("root")), "rows")
     first = rows.groupBy("root").agg(F.min("id").alias("first"))
     return rows.join(first, "root").select("id", "first")
 
@@ -205,7 +206,7 @@ class History:
     def accept(self, batch: DataFrame) -> None:
         """Looks a batch up and appends it."""
         done = step(batch, self._table("index"), self._table("accepted"), self.id_column)
-        self.placed.append(stage(done.placed, "placed"))
+        self.placed.append(done.placed)
         self.merges.append(done.merges)
         # both come from what this step has written down, not from the tables that are added to
         self._append(done.index, "index", "key")

@@ -34,14 +34,14 @@ HAMMING = 24
 RUN = 256
 #: Batches that one run may have; each costs some jobs of its own.
 MOST_BATCHES = 1_000
-_BLOCKS = "key long, fp long, id long"
+_BLOCKS = "key long, fp long, id long, year short"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         titles = batch.column("title_key").to_pylist()
         names = [[x.partition("|")[0] for x in n.split()] for n in batch.column("names").to_pylist()]
-        ids, title = np.asarray(batch.column("rep")), np.asarray(batch.column("fp"))
+        ids, title, years = (np.asarray(batch.column(c)) for c in ("rep", "fp", "year"))
         words = [t.split() for t in titles]
         parts = [[" ".join(w[i] for i in range(len(w)) if 3 * i // len(w) == k) for w in words] for k in range(3)]
         flat = fp.hash_strings([n for ns in names for n in ns])
@@ -60,7 +60,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(fp.mix(fp.mix((blocks[i][ok] << np.uint64(32)) | blocks[j][ok]) + np.uint64(table)))
             rows.append(np.nonzero(ok)[0])
         at = np.concatenate(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(title[at]), pa.array(ids[at])], names=["key", "fp", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(title[at]), pa.array(ids[at]), pa.array(years[at])], names=["key", "fp", "id", "year"])
 
 
 def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,19 +72,19 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(fp.mix(np.asarray(col.fill_null(0)).view(np.uint64)[ok] + np.uint64(table)).view(np.int64))
             rows.append(np.nonzero(ok)[0])
         at = np.concatenate(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.asarray(batch.column("fp"))[at]), pa.array(np.asarray(batch.column("rep"))[at])], names=["key", "fp", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.asarray(batch.column("fp"))[at]), pa.array(np.asarray(batch.column("rep"))[at]), pa.array(np.asarray(batch.column("year"))[at])], names=["key", "fp", "id", "year"])
 
 
 def block_tables(contents: DataFrame, normal: DataFrame | None = None) -> DataFrame:
-    """The fingerprint index: (key, fp, id) rows, about nine for each of ``contents`` and one for each different DOI and bibliography
+    """The fingerprint index: (key, fp, id, year) rows, about nine for each of ``contents`` and one for each different DOI and bibliography
     key of the records ``normal`` of a content. Appending new rows extends it."""
-    blocks = contents.select("rep", "fp", "title_key", "names").mapInArrow(_blocks, _BLOCKS)
+    blocks = contents.select("rep", "fp", "title_key", "names", "year").mapInArrow(_blocks, _BLOCKS)
     return blocks if normal is None else blocks.unionAll(identifier_rows(normal))
 
 
 def identifier_rows(normal: DataFrame) -> DataFrame:
-    """(key, fp, id) of each different DOI and bibliography key of a content, from the records of ``normal``."""
-    known = normal.where("doi_key is not null or dblp_key is not null").select(F.col("cid").alias("rep"), "fp", "doi_key", "dblp_key")
+    """(key, fp, id, year) of each different DOI and bibliography key of a content, from the records of ``normal``."""
+    known = normal.where("doi_key is not null or dblp_key is not null").select(F.col("cid").alias("rep"), "fp", "year", "doi_key", "dblp_key")
     return known.mapInArrow(_identifiers, _BLOCKS).distinct()
 
 
@@ -92,7 +92,7 @@ def close_pairs(blocks: DataFrame, hamming: int = HAMMING, run: int = RUN) -> Da
     """Distinct pairs (a < b) of records that share a key and whose title fingerprints are close."""
 
     def of(batches):
-        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True)
+        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True, years_apart=records.YEARS_APART)
 
     return blocks.repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
 
@@ -101,9 +101,9 @@ def fresh_pairs(known: DataFrame, new: DataFrame, hamming: int = HAMMING, run: i
     """As ``close_pairs`` over rows of both tables, without the pairs of two known records."""
 
     def of(batches):
-        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True, one_new=True)
+        return fp.pairs_of_sorted(batches, hamming, run, False, whole=True, one_new=True, years_apart=records.YEARS_APART)
 
-    both = known.select("key", "fp", "id", F.lit(0).cast("byte").alias("side")).unionAll(new.select("key", "fp", "id", F.lit(1).cast("byte").alias("side")))
+    both = known.select("key", "fp", "id", "year", F.lit(0).cast("byte").alias("side")).unionAll(new.select("key", "fp", "id", "year", F.lit(1).cast("byte").alias("side")))
     return both.repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
 
 
@@ -140,7 +140,7 @@ class Step(NamedTuple):
 
 
 def step(batch: DataFrame, index: DataFrame | None, accepted: DataFrame | None, id_column: str = "row_id", hamming: int = HAMMING, run: int = RUN) -> Step:
-    """One batch against history. ``index``: block rows (key, fp, id); ``accepted``: contents (rep, title_key, names, year, paper);
+    """One batch against history. ``index``: block rows (key, fp, id, year); ``accepted``: contents (rep, title_key, names, year, paper);
     both None at the start. Of the index only rows whose key occurs in the batch go on, of the contents only those such a row names."""
     normal = stage(records.normal_records(batch, id_column, doi="doi", dblp_key="dblp_key"), "normal")
     reps = stage(records.contents(normal), "contents")
@@ -154,11 +154,11 @@ def step(batch: DataFrame, index: DataFrame | None, accepted: DataFrame | None,
         fresh = reps.join(old.select("rep"), "rep", "left_anti")
         # only identifiers of known contents can be in the index already
         seen = old.select(F.col("rep").alias("id"), F.lit(True).alias("again"))
-        named = identifier_rows(normal).join(seen, "id", "left").select("key", "fp", "id", F.coalesce("again", F.lit(False)).alias("again"))
+        named = identifier_rows(normal).join(seen, "id", "left").select("key", "fp", "id", "year", F.coalesce("again", F.lit(False)).alias("again"))
         asked = stage(block_tables(fresh).withColumn("again", F.lit(False)).unionAll(named), "asked")
         known = stage(index.join(asked.select("key"), "key", "left_semi"), "known")
         added = asked.where("again").join(known.select("key", "id"), ["key", "id"], "left_anti")
-        blocks = asked.where("not again").select("key", "fp", "id").unionAll(added.select("key", "fp", "id"))
+        blocks = asked.where("not again").select("key", "fp", "id", "year").unionAll(added.select("key", "fp", "id", "year"))
         pairs = stage(fresh_pairs(known, blocks, hamming, run), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         texts = accepted.join(wanted, "rep", "left_semi")

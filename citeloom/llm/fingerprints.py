@@ -60,17 +60,18 @@ def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False, one_new: bool = False) -> Iterator[pa.RecordBatch]:
+def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, two_sides: bool, whole: bool = False, one_new: bool = False, years_apart: int = 2) -> Iterator[pa.RecordBatch]:
     """Pairs of ids within runs of one key, out of a stream sorted by (key, fp).
 
     Columns in: key, fp, id and, if ``two_sides`` or ``one_new``, side. Out: a, b (a < b, or with two sides: a of side 0 and b of side
-    1) whose fingerprints differ in at most ``limit`` bits; with ``one_new`` at least one of them is of side 1. With ``whole`` these
+    1) whose fingerprints differ in at most ``limit`` bits; with ``one_new`` at least one of them is of side 1. If there is a column
+    year, known ones (not 0) are at most ``years_apart`` apart. With ``whole`` these
     are all pairs of a run: one of more than ``most`` members
     is compared block by block as it arrives, and time grows with the square of its members. Else such a run is not held as a
     whole: each further member, in the order of fingerprints, is compared with the ``most`` members before it and with the run's
     leaders (members that were close to no earlier leader), so that time stays linear, near copies stay linked and pairs that
     are close only to each other can be missed."""
-    sided = two_sides or one_new
+    sided = True  # side and year travel in one number
     keep: list[np.ndarray] | None = None
     run_seen, leaders = 0, None
 
@@ -78,14 +79,16 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def emit(ids, sides, i, j):
+        year, other = sides[i] >> 1, sides[j] >> 1
+        ok = (year == 0) | (other == 0) | (np.abs(year - other) <= years_apart)
         if two_sides:
-            ok = sides[i] != sides[j]
+            ok &= (sides[i] & 1) != (sides[j] & 1)
             i, j = i[ok], j[ok]
-            swap = sides[i] == 1
+            swap = (sides[i] & 1) == 1
         else:
-            ok = ids[i] != ids[j]
+            ok &= ids[i] != ids[j]
             if one_new:
-                ok &= (sides[i] == 1) | (sides[j] == 1)
+                ok &= ((sides[i] | sides[j]) & 1) == 1
             i, j = i[ok], j[ok]
             swap = ids[i] > ids[j]
         return np.where(swap, ids[j], ids[i]), np.where(swap, ids[i], ids[j])
@@ -103,10 +106,6 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                 i = (base[s : s + step, None] + x[None, :]).ravel()
                 j = (base[s : s + step, None] + y[None, :]).ravel()
                 ok = popcount(fps[i] ^ fps[j]) <= limit
-                if two_sides:
-                    ok &= sides[i] != sides[j]
-                elif one_new:
-                    ok &= (sides[i] == 1) | (sides[j] == 1)
                 res.append(emit(ids, sides, i[ok], j[ok]))
         return res
 
@@ -131,7 +130,7 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], limit: int, most: int, tw
                     yield out(*emit(ids, sides, old[i], new[j]))
 
     for batch in batches:
-        cols = [np.asarray(batch.column(n)) for n in ("key", "fp", "id")] + ([np.asarray(batch.column("side"))] if sided else [])
+        cols = [np.asarray(batch.column(n)) for n in ("key", "fp", "id")] + [sum((np.asarray(batch.column(n)).astype(np.int32) << k for k, n in enumerate(("side", "year")) if n in batch.schema.names), np.zeros(batch.num_rows, np.int32))]
         cols[1] = cols[1].view(np.uint64) if cols[1].dtype == np.int64 else cols[1].astype(np.uint64)
         if not len(cols[0]):
             continue

@@ -56,7 +56,7 @@ def _bands(side: int):
             n = _minhash(fp.hash_strings([x for ns in names for x in ns]), np.array([len(ns) for ns in names], dtype=np.int64), NAME_BANDS, 2)
             named = np.array([bool(ns) and bool(x) for ns, x in zip(names, titles)])
             long = np.array([x.count(" ") + 1 >= records.SHORT_TITLE for x in titles])
-            title = np.asarray(batch.column("fp"))
+            title, years = np.asarray(batch.column("fp")), np.asarray(batch.column("year"))
             keys, rows = [], []
             for k in range(NAME_BANDS):
                 keys.append(fp.mix(t[2 * k] ^ fp.mix(t[2 * k + 1] ^ fp.mix(n[k] + np.uint64(k))))[named])
@@ -69,7 +69,7 @@ def _bands(side: int):
                 rows.append(np.nonzero(long)[0])
             at = np.concatenate(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(title[at]), pa.array(ids[at]), pa.array(np.full(len(at), side, dtype=np.int8))], names=["key", "fp", "id", "side"]
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(title[at]), pa.array(ids[at]), pa.array(np.full(len(at), side, dtype=np.int8)), pa.array(years[at])], names=["key", "fp", "id", "side", "year"]
             )
 
     return of
@@ -77,12 +77,12 @@ def _bands(side: int):
 
 def candidates(left: DataFrame, right: DataFrame, hamming: int = HAMMING, run: int = RUN) -> DataFrame:
     """Distinct pairs (a, b) of contents of ``left`` and ``right`` that share a band and have close title fingerprints."""
-    schema = "key long, fp long, id long, side byte"
-    one = left.select("rep", "fp", "title_key", "names").mapInArrow(_bands(0), schema)
-    two = right.select("rep", "fp", "title_key", "names").mapInArrow(_bands(1), schema)
+    schema = "key long, fp long, id long, side byte, year short"
+    one = left.select("rep", "fp", "title_key", "names", "year").mapInArrow(_bands(0), schema)
+    two = right.select("rep", "fp", "title_key", "names", "year").mapInArrow(_bands(1), schema)
 
     def of(batches):
-        return fp.pairs_of_sorted(batches, hamming, run, True, whole=True)
+        return fp.pairs_of_sorted(batches, hamming, run, True, whole=True, years_apart=records.YEARS_APART)
 
     return one.unionAll(two).repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
 

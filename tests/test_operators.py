@@ -225,6 +225,36 @@ def test_bm25_finds_what_an_exhaustive_search_finds(spark):
     assert got == want
 
 
+def test_bm25_writes_less_than_its_texts_and_blocks_agree(spark, monkeypatch):
+    import math
+    import random
+    from pathlib import Path
+
+    from citeloom.session import shared_dir
+
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(60)]
+    text = lambda: " ".join(rng.choices(vocabulary, weights=[1 / (k + 1) for k in range(60)], k=rng.randint(3, 12)))
+    docs = [(f"d{i:04d}", text()) for i in range(1500)]
+    docs += [(f"e{i:04d}", docs[i][1]) for i in range(200)]
+    asked = [(i, docs[7 * i][1]) for i in range(100)] + [(100 + i, text()) for i in range(100)]
+    words = {d: t.split() for d, t in docs}
+    average, n = sum(map(len, words.values())) / len(words), len(words)
+    df = {t: sum(t in w for w in words.values()) for t in vocabulary}
+    weight = lambda t, w: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / average))
+    want = {q: min((-round(sum(weight(t, w) for t in set(x.split()) if t in w), 6), d) for d, w in words.items())[1] for q, x in asked}
+    queries, table = spark.createDataFrame(asked, "q int, text string"), spark.createDataFrame(docs, "uid string, title string")
+    size = lambda: sum(p.stat().st_size for p in Path(shared_dir(spark).removeprefix("file:")).rglob("*.parquet"))
+    find = lambda **more: {r.q: r.uid for r in retrieval.bm25_top(queries, table, "q", "text", "uid", "title", **more).collect()}
+    before = size()
+    assert find() == want
+    assert size() - before < sum(len(t) for _, t in docs)
+    assert find(index=retrieval.weights(table, "uid", "title")) == want
+    monkeypatch.setattr(retrieval, "DOCUMENTS", 300)
+    monkeypatch.setattr(retrieval, "ASKED", 60)
+    assert find() == want
+
+
 def test_similar_titles_against_all_pairs(spark):
     import random
 

@@ -3,7 +3,7 @@
 Vectors are put into cells of a coarse partition, whose number grows with the vectors: one level of centres, and beyond what a
 bounded sample can fit, a second level of centres of residuals. The residual of a vector to its cell's centre is rotated at random
 and kept as one bit a dimension, packed, with three scalars; a query's residual is kept as planes of bits. Only these codes are sent
-to the cells. There the inner product of a query with each member is estimated by AND and bit counts, with an error bound, and a
+to the cells. There the inner product of a query with each member is estimated from the codes alone, with an error bound, and a
 member is kept if its bound reaches the query's k-th best estimate and the least similarity asked for. Each pair left is compared in
 full in one of the groups that found it, and each such group gets a vector that it needs once. Equal vectors are searched once.
 """
@@ -22,15 +22,17 @@ from .graph import stage
 
 DIM = 128
 #: The cells are fitted on about so many vectors, chosen by a hash of the id; all vectors are indexed.
-FIT_ROWS = 8_000
+FIT_ROWS = 16_000
 #: Members that a cell should have on average; the number of cells follows the number of vectors.
 CELL = 500
-#: Vectors of the sample that a centre needs; more cells are made by a second level.
+#: Times ``CELL`` that cells may grow to before there is a second level: its cells part close vectors far more often.
+GROWN = 8
+#: Vectors of the sample that a centre needs.
 PER_CENTRE = 8
 #: Cells that each query looks into.
-PROBES = 4
+PROBES = 8
 #: Members, and queries, of a cell that one task holds at once; larger cells are split into blocks of both.
-BLOCK = 4_000
+BLOCK = 8_000
 #: Width of the error bound, in standard deviations.
 EPSILON = 3.0
 #: Bits by which a query's numbers are told apart.
@@ -78,12 +80,10 @@ def estimates(bits: np.ndarray, norm: np.ndarray, correction: np.ndarray, planes
     With u a member's direction, o its code and q a rotated query residual, <u, q> is about <o, q> / <o, u>, with an error of at
     most epsilon * sqrt((1 - <o, u>^2) / <o, u>^2) * |q| / sqrt(dim - 1) but for rare cases, and that of the query's steps."""
     low, step, total, length = (scalars[:, k : k + 1] for k in range(4))
-    count = np.zeros((len(planes), len(bits)), np.int32)
-    for j in range(planes.shape[1]):
-        part = np.zeros_like(count, dtype=np.uint16)
-        for w in range(bits.shape[1]):
-            part += np.bitwise_count(planes[:, j, w, None] & bits[None, :, w])
-        count += part.astype(np.int32) << j
+    # small whole numbers, exact in a product of matrices, which is faster than AND and bit counts
+    plain = lambda x: np.unpackbits(np.ascontiguousarray(x).view(np.uint8), axis=-1)
+    level = (plain(planes) << np.arange(planes.shape[1], dtype=np.uint8)[None, :, None]).sum(axis=1)
+    count = level.astype(np.float32) @ plain(bits).astype(np.float32).T
     ones = np.bitwise_count(bits).sum(axis=1).astype(np.float32)
     product = (2 * (low * ones[None, :] + step * count) - total) / np.sqrt(dim)
     scale = (norm / correction)[None, :]
@@ -153,7 +153,7 @@ def fit_cells(vectors: DataFrame, dim: int = DIM, cell: int = CELL, fit_rows: in
     x = np.concatenate([_unit(b, dim) for b in some.to_batches()]) if some.num_rows else np.eye(1, dim, dtype=np.float32)
     wanted = max(1, round(n / cell))
     first = _centres(x, int(min(wanted, max(1, len(x) // PER_CENTRE))))
-    more = int(min(-(-wanted // len(first)), max(1, len(x) // PER_CENTRE)))
+    more = int(min(-(-n // (len(first) * GROWN * cell)), max(1, len(x) // PER_CENTRE)))
     if more == 1:
         return Cells(first, np.zeros((1, dim), np.float32))
     return Cells(first, _centres(x - first[(x @ first.T).argmax(axis=1)], more, unit=False))
@@ -267,9 +267,22 @@ def _cosines(dim: int):
     return of
 
 
-def index(vectors: DataFrame, dim: int = DIM, probes: int = PROBES, cell: int = CELL) -> DataFrame | None:
-    """The codes of all vectors by cell, as members and as queries, written once; None if there are none. The cells (at most
-    twice ``FIT_ROWS`` / ``PER_CENTRE`` centres) are broadcast."""
+def _crowds(cells: Cells, probes: int, dim: int):
+    """How many members and queries each cell gets, a row for each model and cell of a batch."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = cells.nearest(_unit(batch, dim), probes)
+                at = pa.table({"model": pa.chunked_array([batch.column("model")]).take(pa.array(np.repeat(np.arange(len(near)), near.shape[1]))), "cell": near.ravel().astype(np.int64), "member": (np.arange(near.size) % near.shape[1] == 0).astype(np.int64)})
+                yield from at.group_by(["model", "cell"]).aggregate([("member", "sum"), ("member", "count")]).rename_columns(["model", "cell", "members", "queries"]).to_batches()
+
+    return of
+
+
+def index(vectors: DataFrame, dim: int = DIM, probes: int = PROBES, cell: int = CELL) -> tuple[DataFrame, DataFrame] | None:
+    """The codes of all vectors by cell, as members and as queries, made when they are read, and (model, cell, members, queries) of the
+    cells; None if there are none. The cells (at most twice ``FIT_ROWS`` / ``PER_CENTRE`` centres) are broadcast."""
     cells = fit_cells(vectors, dim, cell)
     if cells is None:
         return None
@@ -278,7 +291,12 @@ def index(vectors: DataFrame, dim: int = DIM, probes: int = PROBES, cell: int =
     def encode(batches):
         return _encode(Cells(*shared.value), dim, probes)(batches)
 
-    return stage(vectors.select("id", "model", "vector").mapInArrow(encode, _CODES), "codes")
+    def count(batches):
+        return _crowds(Cells(*shared.value), probes, dim)(batches)
+
+    held = vectors.select("id", "model", "vector")
+    sizes = held.mapInArrow(count, "model string, cell long, members long, queries long").groupBy("model", "cell").agg(F.sum("members").alias("members"), F.sum("queries").alias("queries"))
+    return held.mapInArrow(encode, _CODES), sizes
 
 
 def neighbours(vectors: DataFrame, k: int = 5, dim: int = DIM, probes: int = PROBES, least: float = -2.0, cell: int = CELL, block: int = BLOCK) -> DataFrame:
@@ -287,11 +305,12 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = DIM, probes: int = PRO
     ``vectors`` has id (bigint, unique), model and vector (usable, length ``dim``). Pairs below ``least`` are left out (after
     the k best are chosen). The result is approximate: a neighbour is missed if its cell is not among the query's."""
     held = vectors.select("id", F.coalesce("model", F.lit("")).alias("model"), "vector")
-    rows = index(held, dim, probes, cell)
-    if rows is None:
+    made = index(held, dim, probes, cell)
+    if made is None:
         return held.sparkSession.createDataFrame([], "id long, other long, cosine double")
     # a crowded cell is cut into blocks of members and of queries, and every block meets every other
-    crowd = stage(rows.groupBy("model", "cell").agg(*(F.ceil(F.count_if(c) / F.lit(block)).cast("int").alias(n) for n, c in (("ms", F.col("member")), ("qs", ~F.col("member"))))).where("ms > 1 or qs > 1"), "crowd")
+    rows, sizes = made
+    crowd = stage(sizes.select("model", "cell", *(F.ceil(F.col(c) / F.lit(block)).cast("int").alias(n) for n, c in (("ms", "members"), ("qs", "queries")))).where("ms > 1 or qs > 1"), "crowd")
     keys = ["model", "cell"]
     if not crowd.isEmpty():
         wide = rows.join(crowd, keys, "left").withColumn("ms", F.greatest(F.coalesce("ms", F.lit(1)), F.lit(1))).withColumn("qs", F.greatest(F.coalesce("qs", F.lit(1)), F.lit(1)))

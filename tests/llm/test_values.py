@@ -1,6 +1,7 @@
 """Problems 4 to 6."""
 
 import numpy as np
+import pyarrow as pa
 
 from citeloom.llm import canonical, names, vectors
 
@@ -157,3 +158,26 @@ def test_two_levels_of_cells(spark):
     want = {(i, int(j)) for i in range(1600) for j in np.argsort(-c[i])[:5] if c[i, j] >= 0.8}
     found = {(r.id, r.other) for r in vectors.neighbours(df, 5, least=0.8, cell=4, probes=8).collect()}
     assert len(want & found) / len(want) >= 0.9
+
+
+def test_close_vectors_share_cells_when_there_are_many(spark):
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((40_000, 128)) * np.exp(-np.arange(128) / 60)
+    near = base[:4_000] + 0.45 * rng.standard_normal((4_000, 128)) * np.exp(-np.arange(128) / 60)
+    unit = lambda x: (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    base, near = unit(base), unit(near)
+    close = (base[:4_000] * near).sum(axis=1) >= 0.8
+
+    class Many:
+        """Stands for three million vectors, of which the sample is taken."""
+
+        count = lambda self: 3_000_000
+        where = select = limit = lambda self, *a: self
+
+        def toArrow(self):
+            return pa.table({"vector": pa.array(list(base[-vectors.FIT_ROWS :]), pa.list_(pa.float32()))})
+
+    cells = vectors.fit_cells(Many())
+    one, two = (cells.nearest(x[close], vectors.PROBES) for x in (base[:4_000], near))
+    found = (one == two[:, :1]).any(axis=1) | (two == one[:, :1]).any(axis=1)
+    assert close.sum() > 2_000 and found.mean() > 0.9

@@ -4,7 +4,8 @@ Candidates come from MinHash bands across attributes: two MinHash values of the
 or five of the title's alone. Each candidate pair gets similarity features of title, year and authors. What they mean is learned: a
 bounded sample of pairs is labelled weakly by another view, the words of the abstracts, where both records have one and these agree or
 differ clearly; all other pairs stay unlabelled. Gradient-boosted trees are fitted on one half of the labelled pairs, and Platt scaling
-on the other half turns their scores into probabilities. No rule stands behind the classifier.
+on the other half turns their scores into probabilities. The one rule before the classifier: records that both name authors, but none
+in common, even with typing errors, are no pair. No rule stands behind it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .graph import stage
 TITLE_HASHES, NAME_BANDS, TITLE_BANDS, TITLE_ROWS = 25, 8, 5, 5
 HAMMING = 26
 RUN = 256
+#: Names whose codes a task keeps at hand.
+KNOWN = 100_000
 #: At most about so many labelled pairs are used to fit the classifier and its calibration.
 TRAINING_PAIRS = 10_000
 FEATURES = ("missing_a", "missing_b", "typos", "names_min", "names_max", "no_names", "apart", "no_year", "short", "cut", "follows", "named")
@@ -48,6 +51,7 @@ def _minhash(hashes: np.ndarray, counts: np.ndarray, functions: int, seed: int)
 
 def _bands(side: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
         for batch in batches:
             titles = batch.column("title_key").to_pylist()
             names = [[x.partition("|")[0] for x in n.split()] for n in batch.column("names").to_pylist()]
@@ -57,6 +61,7 @@ def _bands(side: int):
             named = np.array([bool(ns) and bool(x) for ns, x in zip(names, titles)])
             long = np.array([x.count(" ") + 1 >= records.SHORT_TITLE for x in titles])
             title, years = np.asarray(batch.column("fp")), np.asarray(batch.column("year"))
+            codes = [fp.name_codes(n, known) for n in batch.column("names").to_pylist()]
             keys, rows = [], []
             for k in range(NAME_BANDS):
                 keys.append(fp.mix(t[2 * k] ^ fp.mix(t[2 * k + 1] ^ fp.mix(n[k] + np.uint64(k))))[named])
@@ -68,16 +73,22 @@ def _bands(side: int):
                 keys.append(key[long])
                 rows.append(np.nonzero(long)[0])
             at = np.concatenate(rows)
+            # rows of a band of names have one in common; only those of the title's bands have to tell whose they are
+            who = pa.array(codes, pa.list_(pa.int64())).take(pa.array(np.concatenate(rows[NAME_BANDS:])))
+            who = pa.concat_arrays([pa.array([[]] * (len(at) - len(who)), who.type), who])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(title[at]), pa.array(ids[at]), pa.array(np.full(len(at), side, dtype=np.int8)), pa.array(years[at])], names=["key", "fp", "id", "side", "year"]
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(title[at]), pa.array(ids[at]), pa.array(np.full(len(at), side, dtype=np.int8)), pa.array(years[at]), who], names=["key", "fp", "id", "side", "year", "who"]
             )
+            if len(known) > KNOWN:
+                known.clear()
 
     return of
 
 
 def candidates(left: DataFrame, right: DataFrame, hamming: int = HAMMING, run: int = RUN) -> DataFrame:
-    """Distinct pairs (a, b) of contents of ``left`` and ``right`` that share a band and have close title fingerprints."""
-    schema = "key long, fp long, id long, side byte, year short"
+    """Distinct pairs (a, b) of contents of ``left`` and ``right`` that share a band and have close title fingerprints, without those
+    whose names, known on both sides, have none in common for sure: their number grows with the square of the contents."""
+    schema = "key long, fp long, id long, side byte, year short, who array<long>"
     one = left.select("rep", "fp", "title_key", "names", "year").mapInArrow(_bands(0), schema)
     two = right.select("rep", "fp", "title_key", "names", "year").mapInArrow(_bands(1), schema)
 
@@ -87,16 +98,13 @@ def candidates(left: DataFrame, right: DataFrame, hamming: int = HAMMING, run: i
     return one.unionAll(two).repartition("key").sortWithinPartitions("key", "fp", "id").mapInArrow(of, "a long, b long").distinct()
 
 
-def compare(ta: str, na: str, ya: int, tb: str, nb: str, yb: int) -> tuple[float, ...]:
-    """The ``FEATURES`` of a pair of normal records."""
+def compare(ta: str, na: str, ya: int, tb: str, nb: str, yb: int) -> tuple[float, ...] | None:
+    """The ``FEATURES`` of a pair of normal records. None if both have names and none in common: another paper, whatever its title."""
     wa, wb, la, lb = ta.split(), tb.split(), na.split(), nb.split()
     shared = text.names_shared(la, lb) if la and lb else 0
     if la and lb and not shared:
-        # no name in common: another paper, whatever its title; its words are only counted
-        common = len(set(wa) & set(wb))
-        more_a, more_b, typos, cut = len(wa) - common, len(wb) - common, 0, False
-    else:
-        more_a, more_b, typos, cut = text.title_difference(wa, wb)
+        return None
+    more_a, more_b, typos, cut = text.title_difference(wa, wb)
     few, many = min(len(la), len(lb)), max(len(la), len(lb))
     return (
         float(min(more_a, 4)),
@@ -127,12 +135,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols = [batch.column(n).to_pylist() for n in ("ta", "na", "ya", "tb", "nb", "yb")]
         rows = [compare(*x) for x in zip(*cols)]
+        some = pa.array([r is not None for r in rows], pa.bool_())
+        rows = [r for r in rows if r is not None]
         arrays = [pa.array([r[k] for r in rows], pa.float32()) for k in range(len(FEATURES))]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], names=["a", "b", *FEATURES])
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(some), batch.column("b").filter(some), *arrays], names=["a", "b", *FEATURES])
 
 
 def pair_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b, the FEATURES) of candidate pairs."""
+    """(a, b, the FEATURES) of candidate pairs, without those whose names have none in common."""
     schema = "a long, b long, " + ", ".join(f"{f} float" for f in FEATURES)
     return records.with_both(pairs, left, right).mapInArrow(_features, schema)
 

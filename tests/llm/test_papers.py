@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.llm import dedupe, fingerprints, matching, records, survivorship
+from citeloom.llm import dedupe, fingerprints, matching, records, survivorship, text
 from citeloom.llm.graph import components
 
 COLUMNS = "row_id bigint, title string, authors array<string>, year bigint, doi string, dblp_key string, abstract string, keywords array<string>, citation_count bigint, updated_at timestamp, name string, id string"
@@ -231,3 +231,45 @@ def test_records_of_trusted_sources_survive(spark):
     assert survivorship.surviving_records(df).collect()[0][1:] == (whole + ", which is longer.", 5, ["a", "b"])
     assert survivorship.surviving_records(df, trust=trust).collect()[0][1:] == (whole + ".", 5, ["a"])
     assert survivorship.survivors(df, trust=trust).collect()[0][1:] == (1, 1, 1)
+
+
+def test_candidates_of_one_title_need_a_name_in_common(spark):
+    """Many papers of nearly one title: as candidates only what has a name in common up to typing errors, or no names on a side."""
+    letters = ["bkm", "dlp", "fgs", "hnt", "jrv", "cwz"]
+    name = lambda k: "".join(x[k // 3**i % 3] + "aeiou"[(k + i) % 5] for i, x in enumerate(letters))
+    title = "Can sparse search interfaces support mining field notes in archives"
+    left = [(k, title, [f"Ann {name(k)}ski", f"Bea {name(k + 40)}berg"], 2000) for k in range(40)] + [(40, title, ["Omar Qwxyqu", "Eve Falkner-Zuqi"], 2000), (41, title, [], 2000)]
+    right = [(f"R{k}", title, [f"Cleo {name(k + 400)}holm"], 2001) for k in range(40)]
+    right += [("typo", title, ["Omar Qwyxqu"], 2001), ("double", title, ["E. Falkner"], 2001), ("swapped", title, ["Qwxyqu Omar Xu"], 2001), ("nobody", title, None, None)]
+    frames = [spark.createDataFrame(rows, f"{key} {kind}, title string, authors array<string>, year bigint") for rows, key, kind in ((left, "row_id", "bigint"), (right, "id", "string"))]
+    normal = [records.normal_records(df, key) for df, key in zip(frames, ("row_id", "id"))]
+    a, b = (records.contents(n) for n in normal)
+    pairs = matching.candidates(a, b).join(a.select(F.col("rep").alias("a"), F.col("first").alias("x")), "a").join(b.select(F.col("rep").alias("b"), F.col("first").alias("y")), "b")
+    got = {(r.x, r.y) for r in pairs.select("x", "y").collect()}
+    assert {(40, "typo"), (40, "double"), *((k, "nobody") for k in range(42)), *((41, r[0]) for r in right)} <= got
+    assert len(got) < 42 + len(right) + 40
+
+
+def test_pairs_that_share_a_name_are_never_left_out():
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefgø-"), rng.integers(2, 13))).strip("-") or "ab"
+
+    def mistyped(w):
+        for _ in range(rng.integers(0, 3)):
+            k = int(rng.integers(0, len(w)))
+            w = [w[:k] + w[k + 1 :], w[:k] + "x" + w[k:], w[:k] + "y" + w[k + 1 :], w[:k] + w[k : k + 2][::-1] + w[k + 2 :]][rng.integers(0, 4)] or "ab"
+        return w
+
+    lists = []
+    for _ in range(150):
+        names = [(word(), word() if rng.random() < 0.7 else "") for _ in range(rng.integers(0, 4))]
+        other = [(mistyped(f), mistyped(o) if o else "") for f, o in names]
+        other = [(o, f) if o and rng.random() < 0.3 else (f[int(rng.integers(0, 3)) :] or f, o) for f, o in other]
+        lists += [[f"{f}|{o}" for f, o in names], [f"{f}|{o}" for f, o in other]]
+    codes = [fingerprints.name_codes(" ".join(x), {}) for x in lists]
+    count = np.array([len(c) for c in codes])
+    words = np.cumsum(count) - count, count, np.array([x for c in codes for x in c], dtype=np.int64).view(np.uint64)
+    i, j = (x.ravel() for x in np.indices((len(lists), len(lists))))
+    may = fingerprints.may_share(words, i, j)
+    does = np.array([not lists[x] or not lists[y] or text.names_shared(lists[x], lists[y]) > 0 for x, y in zip(i, j)])
+    assert does.sum() > 300 and may[does].all() and (~may).sum() > 1000

@@ -8,6 +8,8 @@ record of the values themselves.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +24,49 @@ NOTICE = r"(?i)^\W*(?:[^\s.!?。]+\s+){0,12}?(?:(?:no|without(?: an)?|not|missin
 LEAST_WORDS = 5
 
 
+#: Marks that may stand behind the end of a sentence.
+CLOSERS = "\"'”’)]"
+#: What is left out as one tag has at most so many characters.
+TAG = 64
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _bare(c: Column) -> Column:
+    """Letters and digits only, without case and markup."""
+    low = F.when(c.contains("<") | c.contains("&"), F.regexp_replace(F.lower(c), r"</?[a-z][^<>]{0,60}>|&amp;", "")).otherwise(F.lower(c))
+    return F.regexp_replace(low, r"[^\p{L}\p{N}]+", "")
+
+
+def _is_copy(text: Column, title: Column, authors: Column, keywords: Column) -> Column:
+    none = F.array().cast("array<string>")
+    listed = lambda c: F.concat_ws("", F.coalesce(c, none))
+
+    def of(other: Column) -> Column:
+        most = F.greatest(F.length(other["title"]) + 25, F.length(other["authors"]), F.length(other["keywords"]))
+        # a text is longer than all it could copy if its beginning is, even with a tag across the end of it; else it is read as a whole
+        longer = _let(most, lambda n: F.length(_bare(text.substr(F.lit(1), (n + TAG) * 2))) - TAG > n)
+        # within 25 edits of the title: a title with other markup, typing errors or without its small words
+        same = lambda t: (F.levenshtein(t, _bare(other["title"]), 25) >= 0) | (t == _bare(other["authors"])) | (t == _bare(other["keywords"]))
+        return ~longer & _let(_bare(text), same)
+
+    return _let(F.struct(F.coalesce(title, F.lit("")).alias("title"), listed(authors).alias("authors"), listed(keywords).alias("keywords")), of)
+
+
 def abstract_is_complete(abstract: Column, title: Column, authors: Column, keywords: Column) -> Column:
     """A text that ends like a sentence, is not cut off, no stand-in and no copy of another field of its row, whatever its length."""
-    text = F.trim(F.translate(abstract, "\t\r\n\u00a0", "    "))
-    ends = text.rlike(r"[.!?。][\"'”’)\]]*$") & ~text.rlike(r"(\.\.|…|\[\.\.\.\])[\"'”’)\]]*$")
-    bare = lambda c: F.regexp_replace(F.regexp_replace(F.lower(c), r"</?[a-z][^<>]{0,60}>|&amp;", ""), r"[^\p{L}\p{N}]+", "")
-    none = F.array().cast("array<string>")
-    listed = lambda c: bare(F.concat_ws("", F.coalesce(c, none)))
-    # within 25 edits of the title: a title with other markup, typing errors or without its small words
-    copy = (F.levenshtein(bare(text), bare(F.coalesce(title, F.lit(""))), 25) >= 0) | (bare(text) == listed(authors)) | (bare(text) == listed(keywords))
-    words = text.rlike(r"\S+(\s+\S+){%d}" % (LEAST_WORDS - 1))
-    return F.coalesce(F.when(ends & words & ~text.rlike(NOTICE), ~copy), F.lit(False))
+
+    def of(text: Column) -> Column:
+        ends = _let(F.rtrim(text, F.lit(CLOSERS)), lambda t: F.right(t, F.lit(1)).isin(*".!?。") & ~t.endswith(".."))
+        words = text.rlike(r"\S+(\s+\S+){%d}" % (LEAST_WORDS - 1))
+        # no notice lacks both of these, which are found sooner
+        notice = (F.lower(text).contains("abstract") | text.rlike(r"(?i)^\W*n/?a\W*$")) & text.rlike(NOTICE)
+        return F.when(ends & words & ~notice, ~_is_copy(text, title, authors, keywords))
+
+    return F.coalesce(_let(F.trim(F.translate(abstract, "\t\r\n\u00a0", "    ")), of), F.lit(False))
 
 
 def count_is_real(count: Column) -> Column:

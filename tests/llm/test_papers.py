@@ -273,3 +273,18 @@ def test_pairs_that_share_a_name_are_never_left_out():
     may = fingerprints.may_share(words, i, j)
     does = np.array([not lists[x] or not lists[y] or text.names_shared(lists[x], lists[y]) > 0 for x, y in zip(i, j)])
     assert does.sum() > 300 and may[does].all() and (~may).sum() > 1000
+
+
+def test_texts_are_read_once_and_copies_found_with_markup(spark):
+    title, authors, keywords = "Glyphs that people read in the archives", ["Ann Bofisk", "Carl Dremont"], ["sparse data", "field notes", "more words"]
+    tag = f"<b style='{'a' * 50}'> "
+    cases = {
+        "title in tags": (tag * 12 + title + ".", False), "title and a tail": (f"<i>{title}</i>, in the big town.", False), "title among signs": (title + " . " + ". - & " * 100 + ".", False), "authors": (", ".join(authors) + " ; - .", False),
+        "keywords": ("; ".join(keywords) + '!")', False), "title twice": (title + " " + title + ".", True), "tags and a text": (tag * 12 + "Quite another text of some words. " * 4, True), "title first": (title + ". " + "They do so more and more. " * 30, True),
+        "closed": ("We say at length what people have read there in all those years (and “why.”)", True), "open": ("We say at length what people have read there in all those years (and “why..”)", False), "left out": ("We say at length what people have read there in all those years. [...]", False), "not there": ("- - - - n/a .", False),
+    }
+    df = spark.createDataFrame([(k, a, title, authors, keywords) for k, (a, _) in cases.items()], "k string, a string, t string, au array<string>, kw array<string>")
+    got = df.select("k", survivorship.abstract_is_complete(*(df[c] for c in ("a", "t", "au", "kw"))).alias("ok"))
+    assert {r.k: r.ok for r in got.collect()} == {k: v[1] for k, v in cases.items()}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1 and plan.count("levenshtein(") == 1
